@@ -81,6 +81,10 @@ def in_blocks(
     return fn(copies, [*series, "_block"]).where("_own").drop("_own", "_block")
 
 
+def _fold_with(decay: float):
+    return lambda carried, tail: carried * decay + tail
+
+
 def exponential_means(
     df: DataFrame,
     means: dict[str, tuple[Column, float]],
@@ -113,6 +117,6 @@ def exponential_means(
         scaled = F.when(F.col("_i") == 0, x).otherwise(x * a) * F.pow(F.lit(q), -F.col("_k"))
         local[f"_l_{out}"] = F.pow(F.lit(q), F.col("_k")) * F.sum(scaled).over(inner)
         tails = F.collect_list(F.when(F.col("_k") == block - 1, F.col(f"_l_{out}"))).over(earlier)
-        carry = F.aggregate(tails, F.lit(0.0), lambda acc, t, d=q**block: acc * d + t)
+        carry = F.aggregate(tails, F.lit(0.0), _fold_with(q**block))
         final[out] = F.col(f"_l_{out}") + F.pow(F.lit(q), F.col("_k") + 1) * carry
     return df.withColumns(local).withColumns(final).drop("_i", "_b", "_k", *local)

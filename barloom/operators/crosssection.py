@@ -38,13 +38,17 @@ def with_cluster(bars: DataFrame, universe: DataFrame) -> DataFrame:
     return bars.join(universe.select("instrument", "cluster_id"), "instrument")
 
 
+def with_returns(bars: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
+    """ret, the one-bar return of each series."""
+    return bars.withColumn("ret", Rows(by).pct_change(F.col("close")))
+
+
 def with_market(bars: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
     """ret and the mean return of the cluster at the same time.
 
     The mean is a window, not a group and join back: one exchange on the time.
     """
-    rows = Rows(by)
-    out = bars.withColumn("ret", rows.pct_change(F.col("close")))
+    out = with_returns(bars, by)
     return out.withColumn("market_ret", F.avg("ret").over(W.partitionBy(*STAMP)))
 
 

@@ -77,8 +77,13 @@ STRUCTURE = {
     "choch_min_distance_ticks": 4.0,
 }
 
-O, H, L, C = (F.col(n) for n in ("open", "high", "low", "close"))
-ATR, ROW, TICK = F.col("atr_anchor"), F.col("_row"), F.col("_tick")
+def _column(name: str):
+    return lambda: F.col(name)
+
+
+# Functions, since a column needs a running session.
+px_open, px_high, px_low, px_close = (_column(n) for n in ("open", "high", "low", "close"))
+px_atr, row_no, tick_px = _column("atr_anchor"), _column("_row"), _column("_tick")
 
 
 def with_basics(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
@@ -89,24 +94,24 @@ def with_basics(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] =
     out = bars.withColumns({"_tr": F.coalesce(rows.true_range(), F.lit(0.0)), "_row": rows.row(), "_tick": tick})
     out = out.withColumn("atr_anchor", rows.mean(F.col("_tr"), c["atr_window"], 1))
     w, m = c["atr_z_window"], c["atr_z_min_periods"]
-    return out.withColumn("atr_z", safe_div(ATR - rows.mean(ATR, w, m), rows.std(ATR, w, m))).drop("_tr")
+    return out.withColumn("atr_z", safe_div(px_atr() - rows.mean(px_atr(), w, m), rows.std(px_atr(), w, m))).drop("_tr")
 
 
 def _over_range(x: Column) -> Column:
-    return x / F.greatest(H - L, F.lit(EPS))
+    return x / F.greatest(px_high() - px_low(), F.lit(EPS))
 
 
 def displacement(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
     """displacement_*: wide bars closing at the far end; quality looks ahead."""
     c = settings(STRUCTURE, cfg)
     rows = Rows(by)
-    direction = F.when(C > O, "up").when(C < O, "down").otherwise("none")
+    direction = F.when(px_close() > px_open(), "up").when(px_close() < px_open(), "down").otherwise("none")
     out = bars.withColumns(
         {
             "displacement_dir": direction,
-            "displacement_range_atr": F.when(ATR > EPS, (H - L) / ATR).otherwise(0.0),
-            "displacement_body_ratio": _over_range(F.abs(C - O)),
-            "displacement_close_loc": _over_range(C - L),
+            "displacement_range_atr": F.when(px_atr() > EPS, (px_high() - px_low()) / px_atr()).otherwise(0.0),
+            "displacement_body_ratio": _over_range(F.abs(px_close() - px_open())),
+            "displacement_close_loc": _over_range(px_close() - px_low()),
         }
     )
     ratio, body, loc = (F.col(f"displacement_{n}") for n in ("range_atr", "body_ratio", "close_loc"))
@@ -125,9 +130,9 @@ def displacement(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str]
     ahead = max(0, c["displacement_followthrough_bars"])
     if ahead:
         after = rows.next(ahead)
-        follow = F.when(side == "up", F.max("high").over(after) - H).when(side == "down", L - F.min("low").over(after))
-        held = F.coalesce(follow >= 0.25 * ATR, F.lit(False))
-        quality = F.when(~flag, base).when(ATR <= EPS, 0.0).when(held, base).otherwise(base * 0.25)
+        follow = F.when(side == "up", F.max("high").over(after) - px_high()).when(side == "down", px_low() - F.min("low").over(after))
+        held = F.coalesce(follow >= 0.25 * px_atr(), F.lit(False))
+        quality = F.when(~flag, base).when(px_atr() <= EPS, 0.0).when(held, base).otherwise(base * 0.25)
     else:
         quality = base
     return out.withColumns({"displacement_flag": flag, "displacement_quality": quality})
@@ -137,19 +142,19 @@ def fair_value_gap(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str
     """fvg_* of the bar that completes a three-bar gap."""
     c = settings(STRUCTURE, cfg)
     rows = Rows(by)
-    high2, low2 = rows.shift(H, 2), rows.shift(L, 2)
-    bull, bear = L > high2, H < low2
+    high2, low2 = rows.shift(px_high(), 2), rows.shift(px_low(), 2)
+    bull, bear = px_low() > high2, px_high() < low2
     out = bars.withColumns(
         {
             "_bull": F.coalesce(bull, F.lit(False)),
-            "_lower": F.when(bull, high2).when(bear, H),
-            "_upper": F.when(bull, L).when(bear, low2),
-            "_impulse": F.when(rows.shift(ATR) > EPS, rows.shift(H - L) / rows.shift(ATR)).otherwise(0.0),
-            "_body": rows.shift(_over_range(F.abs(C - O))),
+            "_lower": F.when(bull, high2).when(bear, px_high()),
+            "_upper": F.when(bull, px_low()).when(bear, low2),
+            "_impulse": F.when(rows.shift(px_atr()) > EPS, rows.shift(px_high() - px_low()) / rows.shift(px_atr())).otherwise(0.0),
+            "_body": rows.shift(_over_range(F.abs(px_close() - px_open()))),
         }
     )
     gap = F.col("_upper") - F.col("_lower")
-    ticks = F.when(TICK > EPS, gap / TICK).otherwise(0.0)
+    ticks = F.when(tick_px() > EPS, gap / tick_px()).otherwise(0.0)
     valid = F.coalesce(
         (gap > 0)
         & (ticks >= c["fvg_min_gap_ticks"])
@@ -232,7 +237,7 @@ def gap_fills(gaps: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = D
     out = gaps.join(filled, [*by, "_row"], "left")
     is_gap = F.col("fvg_direction") != "none"
     fill = F.coalesce(F.least(F.greatest(F.col("_fill"), F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
-    duration = F.col("_touch") - ROW
+    duration = F.col("_touch") - row_no()
     return out.withColumns(
         {
             "fvg_fill_frac": fill,
@@ -258,11 +263,11 @@ def order_block(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] =
     """
     c = settings(STRUCTURE, cfg)
     rows = Rows(by)
-    block = F.struct(ROW.alias("row"), F.col("ts").alias("ts"), H.alias("high"), L.alias("low"))
+    block = F.struct(row_no().alias("row"), F.col("ts").alias("ts"), px_high().alias("high"), px_low().alias("low"))
     out = bars.withColumns(
         {
-            "_last_down": F.last(F.when(C < O, block), ignorenulls=True).over(rows.before),
-            "_last_up": F.last(F.when(C > O, block), ignorenulls=True).over(rows.before),
+            "_last_down": F.last(F.when(px_close() < px_open(), block), ignorenulls=True).over(rows.before),
+            "_last_up": F.last(F.when(px_close() > px_open(), block), ignorenulls=True).over(rows.before),
         }
     )
     up = F.col("displacement_dir") == "up"
@@ -277,8 +282,8 @@ def order_block(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] =
         F.last(F.when(F.col("displacement_flag"), found), ignorenulls=True).over(rows.last(c["ob_lookback_bars"] + 1)),
     )
     origin = F.col("_disp.block")
-    height = F.when(TICK > EPS, (origin["high"] - origin["low"]) / TICK).otherwise(0.0)
-    age = ROW - origin["row"]
+    height = F.when(tick_px() > EPS, (origin["high"] - origin["low"]) / tick_px()).otherwise(0.0)
+    age = row_no() - origin["row"]
     valid = F.coalesce(
         (F.col("_disp.ratio") >= c["ob_min_impulse_range_atr"])
         & (F.col("_disp.body") >= c["ob_min_body_ratio"])
@@ -298,7 +303,7 @@ def order_block(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] =
             "ob_height_ticks": F.when(is_ob, height),
             "ob_origin_ts": F.when(is_ob, origin["ts"]),
             "ob_age_bars": F.when(is_ob, age.cast("int")),
-            "ob_distance_ticks": F.when(is_ob, F.when(TICK > EPS, F.abs(C - mid) / TICK).otherwise(0.0)),
+            "ob_distance_ticks": F.when(is_ob, F.when(tick_px() > EPS, F.abs(px_close() - mid) / tick_px()).otherwise(0.0)),
             "_ob_row": F.when(is_ob, origin["row"]),
         }
     ).drop("_last_down", "_last_up", "_disp", "_ob")
@@ -351,8 +356,8 @@ def block_history(blocks: DataFrame, cfg: Mapping | None = None, by: Sequence[st
     )
     out = blocks.join(found, key, "left")
     is_ob = F.col("ob_type") != "none"
-    mitigated = F.coalesce(F.col("_touch") <= ROW, F.lit(False))
-    broken = is_ob & F.coalesce(F.col("_break") <= ROW, F.lit(False)) & F.lit(confirm > 0)
+    mitigated = F.coalesce(F.col("_touch") <= row_no(), F.lit(False))
+    broken = is_ob & F.coalesce(F.col("_break") <= row_no(), F.lit(False)) & F.lit(confirm > 0)
     return out.withColumns(
         {
             "ob_freshness_bucket": F.when(~is_ob, "none")
@@ -412,12 +417,12 @@ def equal_levels(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str]
     n = c["eq_lookback_bars"]
 
     def hit(price: Column, extreme: Column) -> Column:
-        return F.when(extreme, F.struct(ROW.alias("row"), price.alias("level"), TICK.alias("tick")))
+        return F.when(extreme, F.struct(row_no().alias("row"), price.alias("level"), tick_px().alias("tick")))
 
     out = bars.withColumns(
         {
-            "_hit_high": hit(H, (H >= rows.shift(H)) & (H >= rows.shift(H, -1))),
-            "_hit_low": hit(L, (L <= rows.shift(L)) & (L <= rows.shift(L, -1))),
+            "_hit_high": hit(px_high(), (px_high() >= rows.shift(px_high())) & (px_high() >= rows.shift(px_high(), -1))),
+            "_hit_low": hit(px_low(), (px_low() <= rows.shift(px_low())) & (px_low() <= rows.shift(px_low(), -1))),
         }
     )
     # An extreme needs both neighbours inside the window, which ends at the bar itself.
@@ -451,7 +456,7 @@ def liquidity_sweep(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[st
     c = settings(STRUCTURE, cfg)
     rows = Rows(by)
     n, ahead = c["sweep_reclaim_bars_max"], c["liq_grab_followthrough_bars"]
-    closes = [rows.shift(C, -k) for k in range(1, n + 1)]
+    closes = [rows.shift(px_close(), -k) for k in range(1, n + 1)]
     need_disp = c["sweep_requires_displacement"] == 1
     wide = []
     if need_disp:
@@ -468,8 +473,8 @@ def liquidity_sweep(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[st
         return chain
 
     high_px, low_px = F.col("eqh_level_px"), F.col("eql_level_px")
-    depth_min = c["sweep_depth_ticks_min"] * TICK
-    up_depth, down_depth = H - high_px, low_px - L
+    depth_min = c["sweep_depth_ticks_min"] * tick_px()
+    up_depth, down_depth = px_high() - high_px, low_px - px_low()
     out = out.withColumns(
         {
             "_up": F.when(up_depth >= depth_min, first(lambda x: x < high_px)),
@@ -478,7 +483,7 @@ def liquidity_sweep(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[st
     )
     up, down = F.col("_up").isNotNull(), F.col("_down").isNotNull()
     bars_taken = F.coalesce("_up", "_down")
-    ticks = F.when(TICK > EPS, F.when(up, up_depth).when(down, down_depth) / TICK).otherwise(F.when(up | down, 0.0))
+    ticks = F.when(tick_px() > EPS, F.when(up, up_depth).when(down, down_depth) / tick_px()).otherwise(F.when(up | down, 0.0))
     base = clamp01(
         (F.least(F.lit(1.0), ticks / max(c["sweep_depth_ticks_min"], EPS)) + 1.0 - bars_taken / float(n + 1)) / 2.0
     )
@@ -516,13 +521,13 @@ def liquidity_grab(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str
     """liq_grab_flag: long wicks, small body, and a later close the expected way (look-ahead)."""
     c = settings(STRUCTURE, cfg)
     after = Rows(by).next(max(1, c["liq_grab_followthrough_bars"]))
-    wicks = (H - F.greatest(O, C)) + (F.least(O, C) - L)
+    wicks = (px_high() - F.greatest(px_open(), px_close())) + (F.least(px_open(), px_close()) - px_low())
     shape = (_over_range(wicks) >= c["liq_grab_wick_ratio_cut"]) & (
-        _over_range(F.abs(C - O)) <= c["liq_grab_body_ratio_max"]
+        _over_range(F.abs(px_close() - px_open())) <= c["liq_grab_body_ratio_max"]
     )
     side = F.col("liq_sweep_side")
-    down = F.when(side == "eqh", True).when(side == "eql", False).otherwise(C < O)
-    follow = F.when(down, F.min("close").over(after) < C).otherwise(F.max("close").over(after) > C)
+    down = F.when(side == "eqh", True).when(side == "eql", False).otherwise(px_close() < px_open())
+    follow = F.when(down, F.min("close").over(after) < px_close()).otherwise(F.max("close").over(after) > px_close())
     return bars.withColumn("liq_grab_flag", shape & F.coalesce(follow, F.lit(False)))
 
 
@@ -545,8 +550,8 @@ def dealing_location(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[s
     frame = rows.last(n)
     out = bars.withColumns({"_hi": F.max("high").over(frame), "_lo": F.min("low").over(frame)})
     hi, lo = F.col("_hi"), F.col("_lo")
-    tall = F.coalesce((ATR > EPS) & (hi - lo >= c["dealing_range_min_height_atr"] * ATR), F.lit(False))
-    location = F.when(tall, clamp01((C - lo) / F.greatest(hi - lo, F.lit(EPS)))).otherwise(0.5)
+    tall = F.coalesce((px_atr() > EPS) & (hi - lo >= c["dealing_range_min_height_atr"] * px_atr()), F.lit(False))
+    location = F.when(tall, clamp01((px_close() - lo) / F.greatest(hi - lo, F.lit(EPS)))).otherwise(0.5)
     changed = (hi != rows.shift(hi)) | (lo != rows.shift(lo))
     out = out.withColumns({"pd_location_frac": location, "_changed": F.coalesce(changed, F.lit(True))})
     frac = F.col("pd_location_frac")
@@ -555,7 +560,7 @@ def dealing_location(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[s
         .when(frac >= c["pd_location_premium_min_frac"], "premium")
         .otherwise("equilibrium")
     )
-    since = ROW - F.last(F.when(F.col("_changed"), ROW), ignorenulls=True).over(rows.so_far)
+    since = row_no() - F.last(F.when(F.col("_changed"), row_no()), ignorenulls=True).over(rows.so_far)
     return out.withColumns(
         {
             "ict_struct_dealing_range_high": hi,
@@ -576,9 +581,9 @@ def compression(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] =
     rows = Rows(by)
     out = bars.withColumns(
         {
-            "_box_high": rows.max(H, n),
-            "_box_low": rows.min(L, n),
-            "_box_atr": rows.mean(ATR, n),
+            "_box_high": rows.max(px_high(), n),
+            "_box_low": rows.min(px_low(), n),
+            "_box_atr": rows.mean(px_atr(), n),
             "_box_z": rows.mean(F.col("atr_z"), n),
         }
     )
@@ -643,7 +648,7 @@ def market_phases(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str]
         "high",
         "low",
         "close",
-        F.coalesce(ATR, F.lit(0.0)).alias("atr"),
+        F.coalesce(px_atr(), F.lit(0.0)).alias("atr"),
         F.col("_compressed").alias("compressed"),
         F.col("_box_high").alias("box_high"),
         F.col("_box_low").alias("box_low"),
@@ -677,8 +682,8 @@ def swing_candidates(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[s
     return bars.withColumns(
         {
             "_inner": inner,
-            "_cand_high": inner & (H == F.max("high").over(around)),
-            "_cand_low": inner & (L == F.min("low").over(around)),
+            "_cand_high": inner & (px_high() == F.max("high").over(around)),
+            "_cand_low": inner & (px_low() == F.min("low").over(around)),
         }
     )
 
@@ -722,8 +727,8 @@ def swings(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY)
         cand.join(taken, [*by, "_row"], "left")
         .withColumns(
             {
-                "ict_struct_swing_high": F.when(F.col("_is_high"), H),
-                "ict_struct_swing_low": F.when(F.col("_is_low"), L),
+                "ict_struct_swing_high": F.when(F.col("_is_high"), px_high()),
+                "ict_struct_swing_low": F.when(F.col("_is_low"), px_low()),
                 "ict_struct_swing_strength": F.col("_strength"),
             }
         )
@@ -744,7 +749,7 @@ def swing_trend(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] =
     def point(px: str, kind: str) -> Column:
         return F.when(
             F.col(px).isNotNull(),
-            F.struct(ROW.cast("double").alias("x"), F.lit(kind).alias("kind"), F.col(px).alias("y")),
+            F.struct(row_no().cast("double").alias("x"), F.lit(kind).alias("kind"), F.col(px).alias("y")),
         )
 
     here = F.array_compact(F.array(point("ict_struct_swing_high", "high"), point("ict_struct_swing_low", "low")))
@@ -754,7 +759,7 @@ def swing_trend(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] =
     recent = F.flatten(F.collect_list("_here").over(Rows([*by, "_has"]).last(max(n, 1))))
     recent = F.slice(recent, F.greatest(F.size(recent) - n + 1, F.lit(1)), F.lit(max(n, 1)))
     out = out.withColumn("_recent", F.when(F.col("_has"), recent))
-    none = F.slice(F.array(F.struct(ROW.cast("double").alias("x"), F.lit("").alias("kind"), C.alias("y"))), 1, 0)
+    none = F.slice(F.array(F.struct(row_no().cast("double").alias("x"), F.lit("").alias("kind"), px_close().alias("y"))), 1, 0)
     out = out.withColumn(
         "_points", F.coalesce(F.last("_recent", ignorenulls=True).over(rows.so_far), none)
     )
@@ -800,7 +805,7 @@ def structure_break(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[st
     rows = Rows(by)
 
     def latest(px: str) -> Column:
-        return F.last(F.when(F.col(px).isNotNull(), F.struct(ROW.alias("row"), F.col(px).alias("px"))), ignorenulls=True)
+        return F.last(F.when(F.col(px).isNotNull(), F.struct(row_no().alias("row"), F.col(px).alias("px"))), ignorenulls=True)
 
     out = bars.withColumns(
         {
@@ -810,29 +815,29 @@ def structure_break(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[st
     )
     top, bottom = F.col("_swing_high"), F.col("_swing_low")
     lo, hi = c["bos_window_bars_min"], c["bos_window_bars_max"]
-    margin = c["bos_min_distance_ticks"] * TICK
+    margin = c["bos_min_distance_ticks"] * tick_px()
 
     def in_time(s: Column) -> Column:
-        return (ROW - s["row"]).between(lo, hi)
+        return (row_no() - s["row"]).between(lo, hi)
 
     out = out.withColumns(
         {
-            "_bos_up": F.coalesce(F.col("_inner") & in_time(top) & (C > top["px"] + margin), F.lit(False)),
-            "_bos_down": F.coalesce(F.col("_inner") & in_time(bottom) & (C < bottom["px"] - margin), F.lit(False)),
+            "_bos_up": F.coalesce(F.col("_inner") & in_time(top) & (px_close() > top["px"] + margin), F.lit(False)),
+            "_bos_down": F.coalesce(F.col("_inner") & in_time(bottom) & (px_close() < bottom["px"] - margin), F.lit(False)),
         }
     )
     up, down = F.col("_bos_up"), F.col("_bos_down")
-    last = F.last(F.when(up | down, ROW), ignorenulls=True).over(rows.so_far)
+    last = F.last(F.when(up | down, row_no()), ignorenulls=True).over(rows.so_far)
     # Where both sides break on one bar the downward one is reported.
-    distance = F.when(down, bottom["px"] - C).when(up, C - top["px"])
+    distance = F.when(down, bottom["px"] - px_close()).when(up, px_close() - top["px"])
     return out.withColumns(
         {
             "bos_flag": up | down,
             "bos_dir": F.when(down, "bearish").when(up, "bullish").otherwise("none"),
             "bos_level_px": F.when(down, bottom["px"]).when(up, top["px"]),
-            "bos_distance_ticks": F.when(TICK > EPS, distance / TICK).otherwise(F.when(up | down, 0.0)),
+            "bos_distance_ticks": F.when(tick_px() > EPS, distance / tick_px()).otherwise(F.when(up | down, 0.0)),
             "bos_type": F.when(down, "bos_down").when(up, "bos_up").otherwise("none"),
-            "bos_age_bars": (ROW - last).cast("int"),
+            "bos_age_bars": (row_no() - last).cast("int"),
         }
     )
 
@@ -846,7 +851,7 @@ def character_change(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[s
     """
     c = settings(STRUCTURE, cfg)
     rows = Rows(by)
-    margin = c["choch_min_distance_ticks"] * TICK
+    margin = c["choch_min_distance_ticks"] * tick_px()
     flag = F.col("bos_flag")
     out = bars.withColumns(
         {
@@ -857,7 +862,7 @@ def character_change(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[s
     trend = F.col("_trend")
     wide = F.col("_inner") & (F.coalesce("atr_z", F.lit(0.0)) >= c["choch_z_cut"])
     top, bottom = F.col("_swing_high.px"), F.col("_swing_low.px")
-    against = F.when(trend == "bullish", C < bottom - margin).when(trend == "bearish", C > top + margin)
+    against = F.when(trend == "bullish", px_close() < bottom - margin).when(trend == "bearish", px_close() > top + margin)
     out = out.withColumn("_against", F.coalesce(wide & against, F.lit(False)))
     island = Rows([*by, "_island"])
     hits = F.sum(F.col("_against").cast("int")).over(island.so_far)
@@ -865,16 +870,16 @@ def character_change(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[s
     choch = F.col("_against") & (F.col("_hits") == 1)
     out = out.withColumn("choch_flag", choch)
     down = trend == "bullish"
-    last = F.last(F.when(F.col("choch_flag"), ROW), ignorenulls=True).over(rows.so_far)
+    last = F.last(F.when(F.col("choch_flag"), row_no()), ignorenulls=True).over(rows.so_far)
     level = F.when(down, bottom).otherwise(top)
-    distance = F.when(TICK > EPS, F.abs(C - level) / TICK).otherwise(0.0)
+    distance = F.when(tick_px() > EPS, F.abs(px_close() - level) / tick_px()).otherwise(0.0)
     is_choch = F.col("choch_flag")
     return out.withColumns(
         {
             "choch_dir": F.when(is_choch, F.when(down, "bearish").otherwise("bullish")).otherwise("none"),
             "choch_level_px": F.when(is_choch, level),
             "choch_distance_ticks": F.when(is_choch, distance),
-            "choch_age_bars": (ROW - last).cast("int"),
+            "choch_age_bars": (row_no() - last).cast("int"),
             "struct_state": F.when(trend.isNull(), "range").when(F.col("_hits") > 0, "transition").otherwise(trend),
         }
     ).drop("_island", "_trend", "_against", "_hits")
