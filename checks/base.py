@@ -175,7 +175,7 @@ def query(ctes: str, body: str, doubles: str = "", digits: int = 6) -> str:
     if doubles:
         swap = ", ".join(f"{rounded(c, digits)} AS {c}" for c in doubles.split())
         body = f"SELECT * REPLACE ({swap}) FROM ({body})"
-    return f"WITH {ctes} {body}" if ctes else body
+    return f"WITH RECURSIVE {ctes} {body}" if ctes else body
 
 
 def over(n: int, by: str, order: str = "ts", skip: int = 0) -> str:
