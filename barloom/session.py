@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +26,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="barloom-"))
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the cluster's shared one (or a temporary one in local tests)."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="barloom-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -17,6 +17,7 @@ from ..functions.timegrid import tf_interval
 from ..operators.bars import order_key
 from ..operators.calendar import blackout_slots
 from ..operators.flow import label_flow
+from ..session import shared_folder
 from ..operators.range_phase import (
     FOLD_INPUT,
     PHASE_COLUMNS,
@@ -168,3 +169,22 @@ def live_phases(bars: DataFrame, cfg: Mapping | None = None) -> DataFrame:
         outputMode="append",
         timeMode="none",
     )
+
+
+def drain(stream: DataFrame, spark, name: str, mode: str = "append", options: Mapping | None = None) -> DataFrame:
+    """Run a stream over what is available into Parquet files and read them back.
+
+    Files and checkpoint lie in the shared folder, so a restart goes on where it stopped.
+    """
+    folder = shared_folder(spark, name)
+    query = (
+        stream.writeStream.outputMode(mode)
+        .format("parquet")
+        .options(**(options or {}))
+        .option("path", f"{folder}/rows")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
