@@ -200,7 +200,13 @@ def _later_rows(origin: DataFrame, row: str, later: DataFrame, by: Sequence[str]
 
 
 def gap_fills(gaps: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
-    """fvg fill state of every bar (look-ahead up to the origin age).
+    """fvg fill state of every bar (look-ahead up to the origin age)."""
+    measured = gaps.join(fill_measures(gaps, cfg, by), [*by, "_row"], "left")
+    return label_fills(measured, cfg, by)
+
+
+def fill_measures(gaps: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
+    """Largest fill, first touch and reaction per gap, keyed by the gap's row.
 
     Only gap rows are joined to the later bars of their series, and each joined
     pair is reduced to the gap at once.
@@ -229,16 +235,20 @@ def gap_fills(gaps: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = D
     reaction = F.when(bull, F.col("_max_next") - touch).otherwise(touch - F.col("_min_next"))
     reacted = (F.col("_a") > EPS) & (reaction >= c["fvg_min_reaction_atr"] * F.col("_a"))
     seen = F.when(part > 0, F.col("_j"))
-    filled = pairs.groupBy(*by, "_row").agg(
+    return pairs.groupBy(*by, "_row").agg(
         F.max(part).alias("_fill"),
         F.min(seen).alias("_touch"),
         F.min_by(reacted.cast("int"), seen).alias("_reacted"),
     )
-    out = gaps.join(filled, [*by, "_row"], "left")
+
+
+def label_fills(measured: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
+    """fvg_fill_* and fvg_quality from the measures on each bar."""
+    c = settings(STRUCTURE, cfg)
     is_gap = F.col("fvg_direction") != "none"
     fill = F.coalesce(F.least(F.greatest(F.col("_fill"), F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
     duration = F.col("_touch") - row_no()
-    return out.withColumns(
+    return measured.withColumns(
         {
             "fvg_fill_frac": fill,
             "fvg_fill_state": F.when(~is_gap, "none")
@@ -310,10 +320,15 @@ def order_block(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] =
 
 
 def block_history(blocks: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
-    """Freshness, reaction quality and breaker of the order block named on each bar.
+    """Freshness, reaction quality and breaker of the order block named on each bar."""
+    measured = blocks.join(block_measures(blocks, cfg, by), [*by, "_ob_row", "ob_type"], "left")
+    return label_blocks(measured, cfg, by)
+
+
+def block_measures(blocks: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
+    """First touch, reaction and first confirmed break, once per distinct block.
 
-    First touch and first confirmed break are found once per distinct block, then
-    compared with the bar's own row. The reaction looks ahead.
+    The reaction looks ahead.
     """
     c = settings(STRUCTURE, cfg)
     by = list(by)
@@ -348,28 +363,33 @@ def block_history(blocks: DataFrame, cfg: Mapping | None = None, by: Sequence[st
             "_ok": reacted.cast("int"),
         }
     )
-    found = pairs.groupBy(*key).agg(
-        F.min("_seen").alias("_touch"),
-        F.min_by("_ok", "_seen").alias("_reacted"),
-        F.min("_broken").alias("_break"),
-        F.min_by("_start", "_broken").alias("_break_ts"),
+    return pairs.groupBy(*key).agg(
+        F.min("_seen").alias("_ob_touch"),
+        F.min_by("_ok", "_seen").alias("_ob_reacted"),
+        F.min("_broken").alias("_ob_break"),
+        F.min_by("_start", "_broken").alias("_ob_break_ts"),
     )
-    out = blocks.join(found, key, "left")
+
+
+def label_blocks(measured: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
+    """ob_freshness_bucket, ob_quality and ob_breaker_*: the measures against the bar's own row."""
+    c = settings(STRUCTURE, cfg)
+    confirm = c["ob_breaker_confirm_bars"]
     is_ob = F.col("ob_type") != "none"
-    mitigated = F.coalesce(F.col("_touch") <= row_no(), F.lit(False))
-    broken = is_ob & F.coalesce(F.col("_break") <= row_no(), F.lit(False)) & F.lit(confirm > 0)
-    return out.withColumns(
+    mitigated = F.coalesce(F.col("_ob_touch") <= row_no(), F.lit(False))
+    broken = is_ob & F.coalesce(F.col("_ob_break") <= row_no(), F.lit(False)) & F.lit(confirm > 0)
+    return measured.withColumns(
         {
             "ob_freshness_bucket": F.when(~is_ob, "none")
             .when(mitigated, "mitigated")
             .when(F.col("ob_age_bars") > c["ob_mitigation_bars_max"], "old")
             .otherwise("fresh"),
-            "ob_quality": F.when(~is_ob, 0.0).when(mitigated & (F.col("_reacted") == 0), 0.0).otherwise(1.0),
+            "ob_quality": F.when(~is_ob, 0.0).when(mitigated & (F.col("_ob_reacted") == 0), 0.0).otherwise(1.0),
             "ob_breaker_flag": broken,
             "ob_breaker_dir": F.when(broken, F.when(F.col("ob_type") == "bullish", "down").otherwise("up")),
-            "ob_breaker_ts": F.when(broken, F.col("_break_ts")),
+            "ob_breaker_ts": F.when(broken, F.col("_ob_break_ts")),
         }
-    ).drop("_touch", "_reacted", "_break", "_break_ts")
+    ).drop("_ob_touch", "_ob_reacted", "_ob_break", "_ob_break_ts")
 
 
 def _greedy_clusters(hits: Column, c: Mapping) -> Column:
@@ -634,7 +654,12 @@ def _fold_phases(pdf: pd.DataFrame, c: Mapping) -> pd.DataFrame:
 
 
 def market_phases(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
-    """mms_*: the phase fold over a bounded group, and its confidence.
+    """mms_*: the phase fold over a bounded group, and its confidence."""
+    return phase_confidence(bars.join(phase_fold(bars, cfg, by), [*by, "_row"]))
+
+
+def phase_fold(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
+    """The phases keyed by row.
 
     bars carry displacement, sweep, grab and compression columns. Only what the
     transition reads goes through Python.
@@ -664,14 +689,17 @@ def market_phases(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str]
         pdf = pdf.sort_values("_row")
         return pd.concat([pdf[[*by, "_row"]], _fold_phases(pdf, c)], axis=1)
 
-    phases = slim.groupBy(*by).applyInPandas(fold, schema)
+    return slim.groupBy(*by).applyInPandas(fold, schema)
+
+
+def phase_confidence(bars: DataFrame) -> DataFrame:
     score = (
         F.col("_compressed").cast("double")
         + F.when(F.col("liq_sweep_flag"), F.col("liq_sweep_quality")).otherwise(0.0)
         + F.col("displacement_quality")
         + (F.col("mms_phase") == "distribution").cast("double")
     )
-    return bars.join(phases, [*by, "_row"]).withColumn("mms_confidence", clamp01(score / 4.0))
+    return bars.withColumn("mms_confidence", clamp01(score / 4.0))
 
 
 def swing_candidates(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
@@ -706,13 +734,15 @@ def _fold_swings(pdf: pd.DataFrame, gap: int) -> pd.DataFrame:
 
 
 def swings(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
-    """ict_struct_swing_high / _low / _strength.
+    """ict_struct_swing_high / _low / _strength."""
+    cand = swing_candidates(bars, cfg, by)
+    return label_swings(cand.join(accepted_swings(cand, cfg, by), [*by, "_row"], "left"))
 
-    The fold sees only the candidate rows of a bounded group.
-    """
+
+def accepted_swings(cand: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
+    """Accepted candidates keyed by row; the fold sees only the candidate rows of a bounded group."""
     c = settings(STRUCTURE, cfg)
     by = list(by)
-    cand = swing_candidates(bars, c, by)
     slim = cand.where("_cand_high or _cand_low").select(*by, "_row", "_cand_high", "_cand_low")
     kinds = dict(slim.dtypes)
     schema = ", ".join(f"{k} {kinds[k]}" for k in [*by, "_row"])
@@ -722,18 +752,17 @@ def swings(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY)
         pdf = pdf.sort_values("_row")
         return pd.concat([pdf[[*by, "_row"]], _fold_swings(pdf, gap)], axis=1)
 
-    taken = slim.groupBy(*by).applyInPandas(fold, schema + ", _is_high boolean, _is_low boolean, _strength double")
-    return (
-        cand.join(taken, [*by, "_row"], "left")
-        .withColumns(
-            {
-                "ict_struct_swing_high": F.when(F.col("_is_high"), px_high()),
-                "ict_struct_swing_low": F.when(F.col("_is_low"), px_low()),
-                "ict_struct_swing_strength": F.col("_strength"),
-            }
-        )
-        .drop("_is_high", "_is_low", "_strength", "_cand_high", "_cand_low")
-    )
+    return slim.groupBy(*by).applyInPandas(fold, schema + ", _is_high boolean, _is_low boolean, _strength double")
+
+
+def label_swings(joined: DataFrame) -> DataFrame:
+    return joined.withColumns(
+        {
+            "ict_struct_swing_high": F.when(F.col("_is_high"), px_high()),
+            "ict_struct_swing_low": F.when(F.col("_is_low"), px_low()),
+            "ict_struct_swing_strength": F.col("_strength"),
+        }
+    ).drop("_is_high", "_is_low", "_strength", "_cand_high", "_cand_low")
 
 
 def swing_trend(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
@@ -885,32 +914,44 @@ def character_change(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[s
     ).drop("_island", "_trend", "_against", "_hits")
 
 
-def structure(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
-    """All structure columns on the bars of a bounded group."""
-    out = with_basics(bars, cfg, by)
+def structure(
+    bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY, materialise=lambda df: df
+) -> DataFrame:
+    """All structure columns on the bars of a bounded group.
+
+    First come all detectors that only need windows: one exchange. Then the four
+    that look at other rows by a join or a fold, each as a narrow frame keyed by
+    row and taken from the same core, so that none of them repeats another. The
+    core is read five times: pass ``cut_lineage`` as ``materialise`` on big data.
+    """
+    by = list(by)
+    core = with_basics(bars, cfg, by)
     for step in (
         displacement,
         fair_value_gap,
-        gap_fills,
         order_block,
-        block_history,
         equal_levels,
         liquidity_sweep,
         liquidity_grab,
         dealing_location,
         compression,
-        market_phases,
-        swings,
-        swing_trend,
-        structure_break,
-        character_change,
+        swing_candidates,
     ):
+        core = step(core, cfg, by)
+    core = materialise(core)
+    row = [*by, "_row"]
+    out = (
+        core.join(fill_measures(core, cfg, by), row, "left")
+        .join(block_measures(core, cfg, by), [*by, "_ob_row", "ob_type"], "left")
+        .join(phase_fold(core, cfg, by), row, "left")
+        .join(accepted_swings(core, cfg, by), row, "left")
+    )
+    out = label_swings(phase_confidence(label_blocks(label_fills(out, cfg, by), cfg, by)))
+    for step in (swing_trend, structure_break, character_change):
         out = step(out, cfg, by)
     return out.drop(*[c for c in out.columns if c.startswith("_")])
 
 
-
-
 def structure_events(struct: DataFrame) -> DataFrame:
     """One row per detector hit: bars unpivoted by an array of events, no shuffle.
 
