@@ -30,11 +30,16 @@ from ..operators.range_phase import (
 )
 
 
+def _event_time(df: DataFrame) -> DataFrame:
+    """Watermarks need a zoned time; the session is in UTC, so the instant is the same."""
+    return df.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def live_bars(ticks: DataFrame, tf: str, delay: str = "10 minutes", tie: str | None = None) -> DataFrame:
     """Ticks to candles, emitted once a bucket falls behind the watermark; later ticks are dropped."""
     key = order_key(F.col("ts"), F.col(tie) if tie else None)
     return (
-        ticks.withColumn("_order", key)
+        _event_time(ticks.withColumn("_order", key))
         .withWatermark("ts", delay)
         .groupBy("instrument", F.window("ts", tf_interval(tf)).alias("w"))
         .agg(
@@ -45,7 +50,7 @@ def live_bars(ticks: DataFrame, tf: str, delay: str = "10 minutes", tie: str | N
             F.sum("size").alias("volume"),
         )
         .select(
-            "instrument", F.lit(tf).alias("tf"), F.col("w.start").alias("ts"), "open", "high", "low", "close", "volume"
+            "instrument", F.lit(tf).alias("tf"), F.col("w.start").cast("timestamp_ntz").alias("ts"), "open", "high", "low", "close", "volume"
         )
     )
 
@@ -53,14 +58,15 @@ def live_bars(ticks: DataFrame, tf: str, delay: str = "10 minutes", tie: str | N
 def live_flow(signed: DataFrame, tf: str, delay: str = "10 minutes", cfg: Mapping | None = None) -> DataFrame:
     """Flow buckets of ticks that carry signed_size (side-signed; the tick rule needs order)."""
     sums = (
-        signed.withWatermark("ts", delay)
+        _event_time(signed)
+        .withWatermark("ts", delay)
         .groupBy("instrument", F.window("ts", tf_interval(tf)).alias("w"))
         .agg(
             F.sum("size").alias("total_size"),
             F.sum("signed_size").alias("delta_size"),
             F.count("signed_size").alias("ticks"),
         )
-        .select("instrument", F.lit(tf).alias("anchor_tf"), F.col("w.start").alias("ts"), "total_size", "delta_size", "ticks")
+        .select("instrument", F.lit(tf).alias("anchor_tf"), F.col("w.start").cast("timestamp_ntz").alias("ts"), "total_size", "delta_size", "ticks")
     )
     return label_flow(sums, cfg)
 

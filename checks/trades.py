@@ -18,7 +18,7 @@ from barloom.operators.volatility import return_zscores
 from barloom.operators.windows import assemble, context_windows, expand_entries, full_join, reduce_features, zone_context
 from barloom.plans.features import feature_table, family_frame, zones_table
 from barloom.plans.run import run
-from barloom.session import shared_folder
+from barloom.session import cut_lineage, shared_folder
 from barloom.streaming import live
 
 from .base import BY_DAY, CALENDAR, D1, M15, TICKS, YEAR, bars_cte, check, div, lag, mean, over, query, rounded, std, total
@@ -457,7 +457,7 @@ def _(d):
 @check("O-chain", query("", """SELECT 'fills' AS "table", true AS paired"""))
 def _(d):
     """The whole chain; each trade has an entry and an exit fill."""
-    tables = run(CTX, d.candles(), ["M15"], ["M15"], d.ticks(), d.calendar(), cfg={"ict_struct": CFG, "dealing_range_state": RANGE}, ticks_have_sides=True)
+    tables = run(CTX, d.candles(), ["M15"], ["M15"], d.ticks(), d.calendar(), cfg={"ict_struct": CFG, "dealing_range_state": RANGE}, ticks_have_sides=True, materialise=cut_lineage)
     fills = tables["fills"].groupBy("trade_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("fill_type").alias("k"))
     return fills.agg(F.bool_and((F.col("n") == 2) & (F.col("k") == 2)).alias("paired")).select(F.lit("fills").alias("table"), "paired")
 
