@@ -144,9 +144,34 @@ def lagged_correlation(bars: DataFrame, cfg: Mapping | None = None, by: Sequence
     w, most = max(5, c["corr_window_bars"]), max(0, c["corr_lag_max_bars"])
     rows = Rows(by)
     lags = range(-most, most + 1)
-    out = bars.withColumns({f"_mkt_{i}": rows.shift(F.col("market_ret"), lag) for i, lag in enumerate(lags)})
+    ret, mkt = F.col("ret"), F.col("market_ret")
+    out = bars.withColumns(
+        {
+            "_m_ret": rows.mean(ret, w),
+            "_s_ret": rows.std(ret, w),
+            "_m_mkt": rows.mean(mkt, w),
+            "_s_mkt": rows.std(mkt, w),
+            **{f"_xy_{i}": ret * rows.shift(mkt, lag) for i, lag in enumerate(lags)},
+        }
+    )
+    # The rolling moments of a shifted series are the shifted rolling moments, so
+    # only the products need a frame of their own per lag.
+    out = out.withColumns(
+        {
+            **{f"_xy_{i}": rows.mean(F.col(f"_xy_{i}"), w) for i in range(len(lags))},
+            **{f"_my_{i}": rows.shift(F.col("_m_mkt"), lag) for i, lag in enumerate(lags)},
+            **{f"_sy_{i}": rows.shift(F.col("_s_mkt"), lag) for i, lag in enumerate(lags)},
+        }
+    )
     out = out.withColumns(
-        {f"_xc_{i}": F.abs(_mixed_corr(rows, F.col("ret"), F.col(f"_mkt_{i}"), w)) for i in range(len(lags))}
+        {
+            f"_xc_{i}": F.abs(
+                safe_div(
+                    F.col(f"_xy_{i}") - F.col("_m_ret") * F.col(f"_my_{i}"), F.col("_s_ret") * F.col(f"_sy_{i}"), None
+                )
+            )
+            for i in range(len(lags))
+        }
     )
     sizes = [F.col(f"_xc_{i}") for i in range(len(lags))]
     largest = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
@@ -155,7 +180,11 @@ def lagged_correlation(bars: DataFrame, cfg: Mapping | None = None, by: Sequence
     for lag, size in zip(lags, sizes):
         lag_at = F.when(size == F.col("corr_ref1_xcorr_max"), F.lit(lag).cast("long")).otherwise(lag_at)
     return out.withColumn("corr_ref1_xcorr_lag_bars", lag_at).drop(
-        *[f"_mkt_{i}" for i in range(len(lags))], *[f"_xc_{i}" for i in range(len(lags))]
+        "_m_ret",
+        "_s_ret",
+        "_m_mkt",
+        "_s_mkt",
+        *[f"_{part}_{i}" for part in ("xy", "my", "sy", "xc") for i in range(len(lags))],
     )
 
 
