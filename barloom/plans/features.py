@@ -68,8 +68,9 @@ def family_frame(
     by: Sequence[str] = DAY,
     continuous: bool = False,
     drop_policy: bool = False,
+    **extra,
 ) -> DataFrame:
-    """Keys and output columns of one family.
+    """Keys and output columns of one family; extra goes to its function.
 
     continuous=True runs a family with a bounded reach over the series without
     a day cut, in blocks with a halo.
@@ -82,7 +83,7 @@ def family_frame(
             bars, ["instrument", "anchor_tf"], ["ts"], lambda df, b: f.add(df, cfg, b), back=f.back, ahead=f.ahead
         )
     else:
-        out = f.add(bars, cfg, by)
+        out = f.add(bars, cfg, by, **extra)
     inputs = set(bars.columns) | {"anchor_ts"}
     fresh = [c for c in out.columns if c not in inputs and not (drop_policy and c in POLICY)]
     keys = ["instrument", "anchor_tf"]
@@ -97,13 +98,18 @@ def feature_table(
     cfg: Mapping[str, Mapping] | None = None,
     tfs: Sequence[str] = (),
     families: Sequence[str] = ("ta_trend", "ta_vol", "stat_ts", "jump_variation", "impact_lambda", "ict_struct"),
+    materialise: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The features table of many instruments and days in one plan.
 
     Families share the exchange of the bars by (instrument, anchor_tf, dt).
+    materialise is handed to the structure family, which reads its core several times.
     """
     cfg = cfg or {}
-    frames = {n: family_frame(n, bars, cfg.get(n), drop_policy=True) for n in families}
+    frames = {}
+    for n in families:
+        extra = {"materialise": materialise} if n == "ict_struct" and materialise else {}
+        frames[n] = family_frame(n, bars, cfg.get(n), drop_policy=True, **extra)
     if calendar is not None:
         grid = bars.select("instrument", "anchor_tf", "ts").distinct()
         frames["macro_calendar"] = blackout_flags(grid, calendar, tfs)

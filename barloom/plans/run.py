@@ -34,17 +34,17 @@ def run(
     backtest: bool = True,
     materialise: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> dict[str, DataFrame]:
-    """All tables by name, nothing computed yet.
+    """All tables by name; without ``materialise`` nothing is computed yet.
 
-    ``materialise`` is applied to the feature table and to the candidates, which
-    several later tables read: pass ``cut_lineage`` or a write-and-read.
+    It is applied to the structure core, the feature table and the candidates,
+    which several later tables read: pass ``cut_lineage`` or a write-and-read.
     """
     cfg = cfg or {}
     bars = to_bars(candles, tfs)
     signed = None
     if ticks is not None:
         signed = side_signed(ticks) if ticks_have_sides else signed_ticks(ticks)
-    features = materialise(feature_table(bars, calendar, signed, cfg, tfs))
+    features = materialise(feature_table(bars, calendar, signed, cfg, tfs, materialise=materialise))
     features = features.withColumn("dt", F.to_date("ts"))
     zones = zones_table(bars, cfg)
     phases = range_phases(bars, cfg.get("dealing_range_state"))

@@ -8,6 +8,7 @@ from barloom.operators import flow, liquidity
 from barloom.operators import structure as st
 from barloom.operators.range_phase import attach_phases, range_descriptors, range_evidence, range_phases
 from barloom.plans.features import POLICY
+from barloom.session import cut_lineage
 
 from .base import BY_DAY, M15, check, div, lag, mean, over, query, std, total, true_range
 
@@ -391,7 +392,7 @@ def _(d):
 
 
 def full(d):
-    return st.structure(d.bars(), CFG)
+    return st.structure(d.bars(), CFG, materialise=cut_lineage)
 
 
 @check(

@@ -254,7 +254,7 @@ TRADE = "trade_id, instrument, anchor_tf, anchor_ts, tf_entry, side"
 @check("O-01", query(f"{ZS}", f"""SELECT {K}, r AS stat_ts_return, z AS stat_ts_vol_zscore, {div(total('dp * q', 50, BY_DAY, 10), total('q * q', 50, BY_DAY, 10), 'NULL')} AS impact_kyle_lambda, {std('r', 20, BY_DAY, 2)} AS ta_vol__ret1_std
   FROM (SELECT *, volume * CASE WHEN dp > 0 THEN 1.0 WHEN dp < 0 THEN -1.0 ELSE 0.0 END AS q FROM (SELECT *, close - {lag('close', BY_DAY)} AS dp FROM zs))""", "stat_ts_return stat_ts_vol_zscore impact_kyle_lambda ta_vol__ret1_std"))
 def _(d):
-    table = feature_table(d.bars(), d.calendar(), side_signed(d.ticks()), {"ict_struct": CFG}, ["M15"])
+    table = feature_table(d.bars(), d.calendar(), side_signed(d.ticks()), {"ict_struct": CFG}, ["M15"], materialise=cut_lineage)
     return table.select(*KEYS, "stat_ts_return", "stat_ts_vol_zscore", "impact_kyle_lambda", "ta_vol__ret1_std")
 
 
