@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.functions.rolling import DAY
 from barloom.operators.bars import ticks_to_bars, to_bars
 from barloom.session import prepare
 

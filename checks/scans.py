@@ -13,8 +13,8 @@ from barloom.plans.features import family_frame, zones_table
 from barloom.sources import importers as imp
 from barloom.sources import store
 
-from .base import BY_DAY, CALENDAR, M15, TICKS, bars_cte, check, lag, query, rounded, std, total
-from .structures import CFG, DISP, GAP, GAP_COLUMNS
+from .base import BY_DAY, M15, TICKS, bars_cte, check, lag, query, rounded, std
+from .structures import CFG, GAP, GAP_COLUMNS
 from .tables import CTX, PARSED, RAW, raw_start
 
 KEYS = ("instrument", "anchor_tf", "ts")

@@ -10,7 +10,7 @@ from barloom.operators.range_phase import attach_phases, range_descriptors, rang
 from barloom.plans.features import POLICY
 from barloom.session import cut_lineage
 
-from .base import BY_DAY, M15, check, div, lag, mean, over, query, std, total, true_range
+from .base import BY_DAY, M15, check, div, lag, mean, query, std, total, true_range
 
 KEYS = ("instrument", "anchor_tf", "ts")
 K = "instrument, anchor_tf, ts"
@@ -27,8 +27,6 @@ CFG = {
     "fvg_max_origin_age_bars": 20,
     "ob_max_origin_age_bars": 25,
 }
-B = "w AS (PARTITION BY instrument, anchor_tf, dt ORDER BY ts)"
-
 
 def w(start: str, end: str) -> str:
     return f"OVER (PARTITION BY {BY_DAY} ORDER BY ts ROWS BETWEEN {start} AND {end})"

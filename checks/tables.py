@@ -13,10 +13,9 @@ from barloom.operators import conform as cf
 from barloom.operators.bars import keep_first, keep_last, resample, ticks_to_bars
 from barloom.operators.decisions import pick_candidates
 from barloom.operators.volatility import return_zscores
-from barloom.operators.windows import assemble, base_windows, expand_entries
-from barloom.plans.features import family_frame
+from barloom.operators.windows import base_windows, expand_entries
 
-from .base import BY_DAY, CUT, M15, TICKS, bars_cte, check, div, lag, mean, query, rounded, std
+from .base import BY_DAY, M15, TICKS, bars_cte, check, div, lag, mean, query, rounded, std
 
 CTX = cf.RunContext("research", "backtest", "snap1", "run1")
 K = "instrument, anchor_tf, ts"

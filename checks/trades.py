@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barloom.functions.rolling import Rows
@@ -13,20 +12,20 @@ from barloom.operators import quality as qa
 from barloom.operators.flow import bucketed_flow, day_range_zone, side_signed
 from barloom.operators.paths import path_classes
 from barloom.operators.range_phase import range_phases
-from barloom.operators.structure import fair_value_gap, structure_events, with_basics
+from barloom.operators.structure import fair_value_gap, with_basics
 from barloom.operators.volatility import return_zscores
-from barloom.operators.windows import assemble, context_windows, expand_entries, full_join, reduce_features, zone_context
+from barloom.operators.windows import context_windows, expand_entries, full_join, reduce_features, zone_context
 from barloom.plans.features import feature_table, family_frame, zones_table
 from barloom.plans.run import run
 from barloom.session import cut_lineage, shared_folder
 from barloom.streaming import live
 
-from .base import BY_DAY, CALENDAR, D1, M15, TICKS, YEAR, bars_cte, check, div, lag, mean, over, query, rounded, std, total
-from .families import CORR, FLOW_CFG, FLOW_SQL, MARKET, PANEL, SIDE_SIGNED, TOP_BODY, TOP_SQL, VOL_SQL, corr_sql, market
-from .scans import COMMON, EVAL_SQL, SHOWN, trades
-from .structures import CFG, FOLD, FOLD_SELECT, GAP, RANGE, RUN
-from .tables import CTX, EVAL_SRC, LINES
-from .windowing import EVALS, scored
+from .base import BY_DAY, CALENDAR, M15, TICKS, YEAR, bars_cte, check, div, lag, mean, query, rounded, std, total
+from .families import CORR, FLOW_CFG, FLOW_SQL, MARKET, PANEL, SIDE_SIGNED, TOP_SQL, VOL_SQL, corr_sql, market
+from .scans import trades
+from .structures import CFG, FOLD, FOLD_SELECT, GAP, RANGE
+from .tables import CTX
+from .windowing import scored
 
 KEYS = ("instrument", "anchor_tf", "ts")
 K = "instrument, anchor_tf, ts"

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barloom.functions.rolling import Rows, average_rank, scaled_rank
 from barloom.functions.timegrid import off_grid, snap
 from barloom.operators import calendar as cal
 from barloom.operators import decisions as dc
-from barloom.operators.bars import keep_first, keep_last
 from barloom.operators.blocks import exponential_means
 from barloom.operators.flow import day_range_zone, flow_sums, side_signed
 from barloom.operators.volatility import return_zscores
@@ -17,7 +15,7 @@ from barloom.operators.windows import first_per_column
 from barloom.sources.tables import EVALUATION
 
 from .base import BY_DAY, CALENDAR, M15, TICKS, check, lag, mean, over, query, rolled, rounded, std, total, true_range
-from .families import CORR, PANEL, TOP_SQL, corr_sql, cs, ewm, market
+from .families import PANEL, TOP_SQL, ewm, market
 from .tables import CTX, LINES, lines
 
 KEYS = ("instrument", "anchor_tf", "ts")
