@@ -149,7 +149,7 @@ class PhaseProcessor(StatefulProcessor):
             evidence["us"] = bars["us"]
             new = evidence.iloc[len(old) :]
             folded = [step(state, b, self.cfg) for b in bar_dicts(new[["us", *FOLD_INPUT]])]
-            result = pd.DataFrame(folded, columns=PHASE_COLUMNS)
+            result = pd.DataFrame(folded, columns=PHASE_COLUMNS, dtype=object)
             result.insert(0, "us", new["us"].to_numpy())
             out.append(result)
             old = bars.iloc[-self.keep :]
@@ -165,7 +165,10 @@ class PhaseProcessor(StatefulProcessor):
 
 
 def live_phases(bars: DataFrame, cfg: Mapping | None = None) -> DataFrame:
-    """Range phases of arriving bars (instrument, anchor_tf, ts, high, low, close)."""
+    """Range phases of arriving bars (instrument, anchor_tf, ts, high, low, close).
+
+    Needs the RocksDB state store provider to be set in the session.
+    """
     slim = bars.select(
         "instrument", "anchor_tf", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "high", "low", "close"
     )
