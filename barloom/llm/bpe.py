@@ -16,6 +16,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .frames import extended
+
 # The public pre-tokenization pattern of this vocabulary, white space as in Unicode.
 SPACE = r"\t-\r \x85\xa0  -     　"
 PATTERN = (
@@ -145,8 +147,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", out: tuple[
             counts = pa.array([len(c) // 4 for c in coded], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(coded, pa.binary()), counts], names=[*batch.schema.names, *out])
 
-    schema = source.schema.add(out[0], "binary").add(out[1], "long")
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, extended(source.schema, **{out[0]: "binary", out[1]: "long"}))
 
 
 def decode_documents(coded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -161,4 +162,4 @@ def decode_documents(coded: DataFrame, path: str, ids: str = "ids", out: str = "
             texts = [decode_ids(vocabulary, i.as_py()) if i.is_valid else "" for i in batch.column(place)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out])
 
-    return source.mapInArrow(run, source.schema.add(out, "string"))
+    return source.mapInArrow(run, extended(source.schema, **{out: "string"}))

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,6 +35,14 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def extended(schema: T.StructType, **columns: str) -> T.StructType:
+    """schema and more columns by name and simple type; schema itself stays as it is."""
+    more = T.StructType()
+    for name, kind in columns.items():
+        more.add(name, kind)
+    return T.StructType([*schema.fields, *more.fields])
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """UTF-8 bytes of all texts."""
     return docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
