@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import decode_documents, encode_documents
+from .phrases import find_phrases
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -26,5 +27,17 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe": op1_bpe}
+def op7_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_phrases(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op7_phrases": op7_phrases}
 SQL: dict[str, str] = {}
