@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+import os
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import decode_documents, encode_documents
+from .frames import crc_of_id
+from .language import fit_languages, identify
+from .neardup import near_duplicates
 from .phrases import find_phrases
+from .pii import replace_entities
+from .quality import fit_quality, score_quality
+from .rules import judge
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
+#: Surrogates of one key can't be told from random without it; set your own.
+KEY = os.environ.get("CORPUS_SURROGATE_KEY", "surrogates of the corpus pipeline")
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -39,5 +50,40 @@ def op7_phrases(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op7_phrases": op7_phrases}
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    away = crc_of_id(F.col("doc_id")) % 5 == 0
+    found = identify(docs, fit_languages(docs.where(~away)))
+    return found.select("doc_id", away.alias("held_out"), "lang_pred", "score")
+
+
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    away = crc_of_id(F.col("doc_id")) % 3 == 1
+    scored = score_quality(docs.select("doc_id", "text"), fit_quality(docs, labels.where(~away)))
+    return scored.select("doc_id", away.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return replace_entities(docs, KEY, counted="n_entities")
+
+
+QUERIES = {
+    "op1_bpe": op1_bpe,
+    "op2_language": op2_language,
+    "op3_quality": op3_quality,
+    "op6_minhash": op6_minhash,
+    "op7_phrases": op7_phrases,
+    "op8_rules": op8_rules,
+    "op9_pii": op9_pii,
+}
 SQL: dict[str, str] = {}

@@ -115,7 +115,7 @@ def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
     n = len(h) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.full(n, np.uint64(size) * GOLDEN, np.uint64)
+    out = np.full(n, size * int(GOLDEN) % 2**64, np.uint64)
     for k in range(size):
         out = mix(out ^ h[k : k + n]) + GOLDEN
     return out
@@ -136,6 +136,13 @@ def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(shift, counts)
 
 
+def per_row(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """How many flags are set between each two bounds."""
+    total = np.zeros(len(flags) + 1, np.int32)
+    np.cumsum(flags, out=total[1:])
+    return (total[bounds[1:]] - total[bounds[:-1]]).astype(np.int64)
+
+
 def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     """Which of n places lie in any span [start, end)."""
     depth = np.zeros(n + 1, np.int32)
