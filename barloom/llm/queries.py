@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import decode_documents, encode_documents
 from .frames import crc_of_id
 from .language import fit_languages, identify
+from .language_model import score_texts
 from .neardup import near_duplicates
 from .phrases import find_phrases
 from .pii import replace_entities
@@ -68,6 +69,13 @@ def op8_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op4_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    away = crc_of_id(F.col("doc_id")) % 7 == 2
+    scored = score_texts(docs, ~away)
+    return scored.select("doc_id", away.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -81,6 +89,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_language": op2_language,
     "op3_quality": op3_quality,
+    "op4_language_model": op4_language_model,
     "op6_minhash": op6_minhash,
     "op7_phrases": op7_phrases,
     "op8_rules": op8_rules,
