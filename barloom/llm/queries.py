@@ -13,10 +13,12 @@ from .frames import crc_of_id
 from .language import fit_languages, identify
 from .language_model import score_texts
 from .neardup import near_duplicates
+from .passages import remove_passages
 from .phrases import find_phrases
 from .pii import replace_entities
 from .quality import fit_quality, score_quality
 from .rules import judge
+from .substrings import remove_substrings
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -76,6 +78,11 @@ def op4_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", away.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op5_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    cut = remove_substrings(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -85,14 +92,21 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     return replace_entities(docs, KEY, counted="n_entities")
 
 
+def op10_passages(spark: SparkSession, folder: str) -> DataFrame:
+    cut = remove_passages(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_language": op2_language,
     "op3_quality": op3_quality,
     "op4_language_model": op4_language_model,
+    "op5_suffix_array": op5_suffix_array,
     "op6_minhash": op6_minhash,
     "op7_phrases": op7_phrases,
     "op8_rules": op8_rules,
     "op9_pii": op9_pii,
+    "op10_passages": op10_passages,
 }
 SQL: dict[str, str] = {}
