@@ -17,6 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .frames import extended
+from .text import pieces
 
 # The public pre-tokenization pattern of this vocabulary, white space as in Unicode.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -24,7 +25,8 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N}]+"
     r"|[" + SPACE + r"]+(?![^" + SPACE + r"])|[" + SPACE + r"]+"
 )
-CACHE = 150_000
+CACHE = 100_000
+SLICE = 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -143,9 +145,11 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", out: tuple[
     def run(batches):
         encoder = Encoder(Vocabulary(path))
         for batch in batches:
-            coded = [encoder.encode(t) if t else b"" for t in batch.column(place).to_pylist()]
-            counts = pa.array([len(c) // 4 for c in coded], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(coded, pa.binary()), counts], names=[*batch.schema.names, *out])
+            for a, b in pieces(batch.column(place), SLICE):
+                part = batch.slice(a, b - a)
+                coded = [encoder.encode(t) if t else b"" for t in part.column(place).to_pylist()]
+                counts = pa.array([len(c) // 4 for c in coded], pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(coded, pa.binary()), counts], names=[*batch.schema.names, *out])
 
     return source.mapInArrow(run, extended(source.schema, **{out[0]: "binary", out[1]: "long"}))
 
@@ -159,7 +163,9 @@ def decode_documents(coded: DataFrame, path: str, ids: str = "ids", out: str = "
     def run(batches):
         vocabulary = Vocabulary(path)
         for batch in batches:
-            texts = [decode_ids(vocabulary, i.as_py()) if i.is_valid else "" for i in batch.column(place)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out])
+            for a, b in pieces(batch.column(place), 4 * SLICE):
+                part = batch.slice(a, b - a)
+                texts = [decode_ids(vocabulary, i.as_py()) if i.is_valid else "" for i in part.column(place)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out])
 
     return source.mapInArrow(run, extended(source.schema, **{out: "string"}))

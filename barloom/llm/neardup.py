@@ -24,7 +24,9 @@ from .text import GOLDEN, NOT_SPACE, buffer_of, hash_spans, mix, pieces, spread,
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5
-SLICE = 2 << 20
+SLICE = 1 << 20
+#: Texts whose darts are thrown at once: short ones get as many as long ones.
+THROWN = 256
 # Cumulated Poisson(1) probabilities, as 64-bit thresholds.
 _CDF = np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 16)]))
 POISSON = np.minimum(_CDF * 2.0**64, float(2**64 - 2048)).astype(np.uint64)
@@ -96,7 +98,13 @@ def sketches(docs: DataFrame, words: int, bands: int, rows: int, weighted: bool)
                 if len(some):
                     weights = np.concatenate([sets[j][1] for j in some]).astype(np.float64)
                     elements = np.concatenate([sets[j][0] for j in some])
-                    signature = throw(elements, weights if weighted else np.ones_like(weights), np.repeat(np.arange(len(some)), sizes[some]), len(some), k)
+                    weights = weights if weighted else np.ones_like(weights)
+                    cuts, parts = np.concatenate([[0], np.cumsum(sizes[some])]), []
+                    for p in range(0, len(some), THROWN):
+                        own = sizes[some[p : p + THROWN]]
+                        span = slice(cuts[p], cuts[p + len(own)])
+                        parts.append(throw(elements[span], weights[span], np.repeat(np.arange(len(own)), own), len(own), k))
+                    signature = np.concatenate(parts)
                     banded = signature.reshape(len(some), bands, rows)
                     key = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(some), bands))
                     for r in range(rows):

@@ -29,7 +29,7 @@ for _k, _mark in enumerate(b".,;:!?'\"()-_/|#*$%&<>=@+[]"):
     CLASS[_mark] = min(6 + _k, 31)
 TRIPLES, BANDS = 32**3, 16
 TERMS = TRIPLES + 4 * BANDS
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 
 def term_counts(data: np.ndarray, bounds: np.ndarray):

@@ -20,7 +20,7 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 STARTS_CHAR = ~byte_set((0x80, 0xBF))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 WINDOW = 5
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 def equal_earlier(keys: list[np.ndarray]) -> np.ndarray:
