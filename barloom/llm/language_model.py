@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .frames import shards_for, text_bytes
 from .text import GOLDEN, LOWER, NOT_SPACE, buffer_of, hash_spans, mix, words_of
 
-SHARD_BYTES, BUCKET_BYTES = 6 << 20, 12 << 20
+SHARD_BYTES, BUCKET_BYTES = 9 << 20, 12 << 20
 #: Weight of the lower order, as a number of observations.
 PRIOR = 200.0
 END, START = np.uint64(1), np.uint64(2)
@@ -52,64 +52,70 @@ class Texts:
         self.own = np.bincount(self.word[self.trains], minlength=len(self.words))
 
 
+def narrow(counts: np.ndarray) -> bytes:
+    """Counts as unsigned integers of 1, 2, 4 or 8 bytes, as the largest needs."""
+    top = int(counts.max()) if len(counts) else 0
+    return counts.astype(next(k for k in ("u1", "<u2", "<u4", "<u8") if top <= np.iinfo(k).max)).tobytes()
+
+
+def widened(buffer, n: int) -> np.ndarray:
+    return np.frombuffer(buffer, {0: "u1", 1: "u1", 2: "<u2", 4: "<u4", 8: "<u8"}[len(buffer) // max(n, 1)]).astype(np.int64)
+
+
 def packed(shard: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.Table:
     """One row a bucket, keys ascending in each."""
     bucket = (mix(keys) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     cuts = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
     some = np.flatnonzero(np.diff(cuts))
-    keys, counts = keys[order], counts[order].astype("<u4")
+    keys, counts = keys[order], counts[order]
     return pa.table(
         {
             "bucket": pa.array(some.astype(np.int32)),
             "shard": pa.array(np.full(len(some), shard, np.int32)),
             "keys": pa.array([keys[cuts[b] : cuts[b + 1]].tobytes() for b in some], pa.binary()),
-            "counts": pa.array([counts[cuts[b] : cuts[b + 1]].tobytes() for b in some], pa.binary()),
+            "counts": pa.array([narrow(counts[cuts[b] : cuts[b + 1]]) for b in some], pa.binary()),
         }
     )
 
 
-def unpacked(rows: pa.Table, keys: np.ndarray, own: np.ndarray, buckets: int) -> np.ndarray:
-    """What ``summed`` answers for the keys and counts that ``packed`` sent: it leaves out keys that no other shard asked for."""
+def unpacked(rows: pa.Table, keys: np.ndarray, buckets: int) -> np.ndarray:
+    """What ``summed`` returned for the keys that ``packed`` sent."""
     bucket = (mix(keys) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    out = own.astype(np.int64) * 2
+    out = np.zeros(len(keys), np.int64)
     cuts = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
-    for b, places, counts in zip(rows.column("bucket").to_pylist(), rows.column("places"), rows.column("counts"), strict=True):
-        out[order[cuts[b] + np.frombuffer(places.as_buffer(), "<u4")]] = np.frombuffer(counts.as_buffer(), "<i8")
+    for b, counts in zip(rows.column("bucket").to_pylist(), rows.column("counts"), strict=True):
+        out[order[cuts[b] : cuts[b + 1]]] = widened(counts.as_buffer(), cuts[b + 1] - cuts[b])
     return out
 
 
 def summed(asked: DataFrame) -> DataFrame:
-    """Answers (shard, bucket, places, counts) for keys that several shards asked for: global counts times two, plus one.
-
-    places are numbers in the order asked; a key that one shard alone asked for has that shard's count.
+    """Answers (shard, bucket, counts) in the order asked: global counts times two, plus one if other shards asked too.
 
     n and v of a bucket stand in its first row.
     """
 
     def run(rows: pa.Table) -> pa.Table:
         parts = [np.frombuffer(k.as_buffer(), "<u8") for k in rows.column("keys")]
-        counts = np.concatenate([np.frombuffer(c.as_buffer(), "<u4") for c in rows.column("counts")])
+        counts = np.concatenate([widened(c.as_buffer(), len(p)) for c, p in zip(rows.column("counts"), parts, strict=True)])
         keys, at = np.unique(np.concatenate(parts), return_inverse=True)
         total = np.bincount(at, counts, minlength=len(keys)).astype(np.int64)
         shared = np.bincount(at, minlength=len(keys)) > 1
-        back, some, cuts = total[at] * 2 + 1, shared[at], np.cumsum([0, *map(len, parts)])
-        answers = [(np.flatnonzero(some[a:b]).astype("<u4").tobytes(), back[a:b][some[a:b]].tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        back, cuts = (total * 2 + shared)[at], np.cumsum([0, *map(len, parts)])
         plain = keys != START
         zeros = [0] * (len(parts) - 1)
         return pa.table(
             {
                 "shard": rows.column("shard"),
                 "bucket": rows.column("bucket"),
-                "places": pa.array([a[0] for a in answers], pa.binary()),
-                "counts": pa.array([a[1] for a in answers], pa.binary()),
+                "counts": pa.array([narrow(back[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
                 "n": pa.array([int(total[plain].sum()), *zeros], pa.int64()),
                 "v": pa.array([int((total[plain] > 0).sum()), *zeros], pa.int64()),
             }
         )
 
-    return asked.groupBy("bucket").applyInArrow(run, "shard int, bucket int, places binary, counts binary, n long, v long")
+    return asked.groupBy("bucket").applyInArrow(run, "shard int, bucket int, counts binary, n long, v long")
 
 
 class Automaton:
@@ -172,19 +178,19 @@ def score_texts(docs: DataFrame, trains, shard_bytes: int = SHARD_BYTES, bucket_
 
     def ask_pairs(table: pa.Table, answers: pa.Table) -> pa.Table:
         t = Texts(table)
-        keys, _, _, _, own, asks = pairs_of(t, unpacked(answers, np.append(t.words, START), np.append(t.own, t.texts), buckets))
+        keys, _, _, _, own, asks = pairs_of(t, unpacked(answers, np.append(t.words, START), buckets))
         return packed(table.column("shard")[0].as_py(), keys[asks], own[asks], buckets)
 
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         t = Texts(table)
         paired = np.asarray(answers.column("pairs").combine_chunks())
         words, more = answers.filter(pa.array(~paired)), answers.filter(pa.array(paired))
-        answer = unpacked(words, np.append(t.words, START), np.append(t.own, t.texts), buckets)
+        answer = unpacked(words, np.append(t.words, START), buckets)
         c, begun = answer[:-1] // 2, answer[-1] // 2
         n, v = words.column("total_n")[0].as_py(), words.column("total_v")[0].as_py()
         keys, at, pair, history, own, asks = pairs_of(t, answer)
         both = own.astype(np.int64)
-        both[asks] = unpacked(more, keys[asks], own[asks], buckets) // 2
+        both[asks] = unpacked(more, keys[asks], buckets) // 2
         unigram = (c + 1.0) / (n + v + 1.0)
         seen = np.append(c, begun)
         arc = both > 0
@@ -209,8 +215,8 @@ def score_texts(docs: DataFrame, trains, shard_bytes: int = SHARD_BYTES, bucket_
     grouped = spread.groupBy("shard")
     words = summed(grouped.applyInArrow(ask_words, ASKED))
     totals = words.agg(F.struct(F.sum("n").alias("n"), F.sum("v").alias("v")).alias("t")).scalar()
-    word_answers = words.select(F.col("shard").alias("at"), "bucket", "places", "counts")
-    pair_answers = summed(grouped.cogroup(word_answers.groupBy("at")).applyInArrow(ask_pairs, ASKED)).select(F.col("shard").alias("at"), "bucket", "places", "counts")
+    word_answers = words.select(F.col("shard").alias("at"), "bucket", "counts")
+    pair_answers = summed(grouped.cogroup(word_answers.groupBy("at")).applyInArrow(ask_pairs, ASKED)).select(F.col("shard").alias("at"), "bucket", "counts")
     both = word_answers.withColumn("pairs", F.lit(False)).unionByName(pair_answers.withColumn("pairs", F.lit(True)))
-    both = both.withColumn("t", totals).select("at", "bucket", "places", "counts", "pairs", F.col("t.n").alias("total_n"), F.col("t.v").alias("total_v"))
+    both = both.withColumn("t", totals).select("at", "bucket", "counts", "pairs", F.col("t.n").alias("total_n"), F.col("t.v").alias("total_v"))
     return grouped.cogroup(both.groupBy("at")).applyInArrow(score, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
