@@ -18,10 +18,10 @@ from .anchors import REPEATS, Runs, Verdict, late_windows, repeated_windows
 from .text import buffer_of, covered, mix, per_row, spread
 
 LENGTH, SEED = 200, 40
-SHARD_BYTES, BUCKET_BYTES = 1 << 20, 8 << 20
+SHARD_BYTES, BUCKET_BYTES = 1 << 20, 3 << 20
 BREAK = 0xFF  # no byte of UTF-8
 CODES = mix(np.arange(1, 257, dtype=np.uint64))
-LANE = 512
+LANE = 256
 PACK = 21
 
 
