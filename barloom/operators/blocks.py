@@ -97,26 +97,33 @@ def exponential_means(
     Inside a block of rows the mean is a running sum of rescaled inputs; the
     block tails are folded to the carry of the next block. ``by`` groups must be
     bounded (a day of bars, or a block of ``in_blocks`` with back = 50/a rows, by
-    which (1-a)**back is below double precision). Inputs must not be null.
+    which (1-a)**back is below double precision). A null input leaves the mean as it
+    was; before the first value it is null.
     """
     alphas = [a for _, a in means.values()]
     for a in alphas:
         while block > 1 and (1 - a) ** -block > 1e12 if a < 1 else False:
             block //= 2
     series = W.partitionBy(*by).orderBy(*order)
-    df = df.withColumn("_i", F.row_number().over(series) - 1)
-    df = df.withColumns({"_b": F.floor(F.col("_i") / block), "_k": F.col("_i") % block})
-    inner = W.partitionBy(*by, "_b").orderBy("_i").rowsBetween(W.unboundedPreceding, 0)
-    earlier = W.partitionBy(*by).orderBy("_i").rowsBetween(W.unboundedPreceding, -1)
-    local, final = {}, {}
+    earlier = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    counts, names, local, final = {}, {}, {}, {}
+    for x, _ in means.values():  # rows are numbered by the values met so far, once for each input
+        if str(x) not in names:
+            names[str(x)] = f"_i{len(names)}"
+            counts[names[str(x)]] = F.count(x).over(series.rowsBetween(W.unboundedPreceding, 0)) - 1
+    df = df.withColumns(counts)
+    df = df.withColumns({f"{i}{part}": f(F.col(i)) for i in counts for part, f in (("b", lambda c: F.floor(c / block)), ("k", lambda c: F.pmod(c, F.lit(block))))})
     for out, (x, a) in means.items():
+        i = names[str(x)]
+        n, k = F.col(i), F.col(f"{i}k")
+        inner = W.partitionBy(*by, f"{i}b").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
         q = 1.0 - a
         if q <= 0:
-            local[f"_l_{out}"], final[out] = x, F.col(f"_l_{out}")
+            local[f"_l_{out}"], final[out] = F.last(x, ignorenulls=True).over(series.rowsBetween(W.unboundedPreceding, 0)), F.col(f"_l_{out}")
             continue
-        scaled = F.when(F.col("_i") == 0, x).otherwise(x * a) * F.pow(F.lit(q), -F.col("_k"))
-        local[f"_l_{out}"] = F.pow(F.lit(q), F.col("_k")) * F.sum(scaled).over(inner)
-        tails = F.collect_list(F.when(F.col("_k") == block - 1, F.col(f"_l_{out}"))).over(earlier)
-        carry = F.aggregate(tails, F.lit(0.0), _fold_with(q**block))
-        final[out] = F.col(f"_l_{out}") + F.pow(F.lit(q), F.col("_k") + 1) * carry
-    return df.withColumns(local).withColumns(final).drop("_i", "_b", "_k", *local)
+        scaled = F.when(n == 0, x).otherwise(x * a) * F.pow(F.lit(q), -k)
+        local[f"_l_{out}"] = F.when(n >= 0, F.pow(F.lit(q), k) * F.sum(scaled).over(inner))
+        tails = F.collect_list(F.when((k == block - 1) & x.isNotNull(), F.col(f"_l_{out}"))).over(earlier)
+        carry = F.aggregate(F.slice(tails, F.lit(1), F.greatest(F.col(f"{i}b").cast("int"), F.lit(0))), F.lit(0.0), _fold_with(q**block))
+        final[out] = F.col(f"_l_{out}") + F.pow(F.lit(q), k + 1) * carry
+    return df.withColumns(local).withColumns(final).drop(*[f"{i}{part}" for i in counts for part in ("", "b", "k")], *local)

@@ -170,17 +170,44 @@ def blackout_slots(calendar: DataFrame, tf: str) -> DataFrame:
     )
 
 
+def blackout_cells(calendar: DataFrame, tf: str) -> DataFrame:
+    """Intervals by the grid cells of one timeframe that they only partly cover."""
+    step = tf_micros(F.lit(tf))
+    start, end = micros(F.col("blackout_start_ts")), micros(F.col("blackout_end_ts"))
+    first, last = start - F.pmod(start, step), end - 1 - F.pmod(end - 1, step)
+    edges = F.array_distinct(F.array(first, last))
+    cells = calendar.where(start < end).select("impact", start.alias("_from"), end.alias("_to"), F.explode(edges).alias("_us"))
+    return cells.where((F.col("_from") > F.col("_us")) | (F.col("_to") < F.col("_us") + step)).select(
+        F.lit(tf).alias("anchor_tf"), "_us", "_from", "_to", "impact"
+    )
+
+
 def blackout_flags(grid: DataFrame, calendar: DataFrame, tfs) -> DataFrame:
-    """macro_is_blackout and largest impact for bars that lie on their grid.
+    """macro_is_blackout and largest impact of the intervals [start, end) that hold a bar's own time.
 
-    An equi-join on (anchor_tf, ts) in place of a range join: exact because both
-    sides hold grid times, and without a broadcast that would grow with the calendar.
+    Equi-joins in place of a range join, without a broadcast that grows with the calendar:
+    bars on the grid meet one row per grid time. Bars off the grid meet the cells of their
+    grid: those that an interval covers whole, and those that one covers in part, where
+    the bar's own time decides.
     """
-    slots = None
+    slots, cells, steps = None, None, None
     for tf in tfs:
-        one = blackout_slots(calendar, tf)
-        slots = one if slots is None else slots.unionByName(one)
-    return grid.join(slots, ["anchor_tf", "ts"], "left").withColumns(
+        slot, cell = blackout_slots(calendar, tf), blackout_cells(calendar, tf)
+        slots = slot if slots is None else slots.unionByName(slot)
+        cells = cell if cells is None else cells.unionByName(cell)
+        step = F.when(F.col("anchor_tf") == tf, tf_micros(F.lit(tf)))
+        steps = step if steps is None else F.coalesce(steps, step)
+    at = micros(F.col("ts"))
+    placed = grid.withColumn("_us", at - F.pmod(at, steps))
+    off = placed.where(F.col("_us") != at).select("anchor_tf", "ts", "_us").distinct()
+    partly = (
+        off.join(cells, ["anchor_tf", "_us"])
+        .where((F.col("_from") <= micros(F.col("ts"))) & (micros(F.col("ts")) < F.col("_to")))
+        .select("anchor_tf", "ts", "impact")
+    )
+    whole = off.join(covered_cells(calendar, tfs), ["anchor_tf", "_us"]).select("anchor_tf", "ts", "impact")
+    inside = partly.unionByName(whole).groupBy("anchor_tf", "ts").agg(F.max("impact").cast("int").alias("macro_blackout_max_impact"))
+    return grid.join(slots.unionByName(inside), ["anchor_tf", "ts"], "left").withColumns(
         {
             "macro_is_blackout": F.col("macro_blackout_max_impact").isNotNull(),
             "macro_blackout_max_impact": F.coalesce("macro_blackout_max_impact", F.lit(0)),
@@ -188,6 +215,19 @@ def blackout_flags(grid: DataFrame, calendar: DataFrame, tfs) -> DataFrame:
     )
 
 
+def covered_cells(calendar: DataFrame, tfs) -> DataFrame:
+    """Grid cells that an interval covers whole, with the largest impact."""
+    out = None
+    for tf in tfs:
+        step = tf_micros(F.lit(tf))
+        start, end = micros(F.col("blackout_start_ts")), micros(F.col("blackout_end_ts"))
+        first = start + F.pmod(-start, step)
+        cells = calendar.where(first + step <= end).select("impact", F.explode(F.sequence(first, end - step, step)).alias("_us"))
+        one = cells.groupBy("_us").agg(F.max("impact").alias("impact")).select(F.lit(tf).alias("anchor_tf"), "_us", "impact")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def macro_regime(macro: DataFrame) -> DataFrame:
     """macro_regime_* from macro_state and impact_level."""
     state = column_or(macro, "macro_state", "string")

@@ -157,12 +157,34 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
+FLOATS = ("float", "double")
+
+
+def wider_type(a: str, b: str) -> str:
+    """The type that holds both: the longer integer, double beside a float, decimal with room for both; else raises."""
+    if a == b:
+        return a
+    if a in INTEGERS and b in INTEGERS:
+        return max(a, b, key=INTEGERS.index)
+    numeric = (*INTEGERS, *FLOATS)
+    if all(t in numeric or t.startswith("decimal") for t in (a, b)):
+        if a in FLOATS or b in FLOATS:
+            return "double"
+        whole = dict(zip(INTEGERS, (3, 5, 10, 19), strict=True))
+        sizes = [(whole[t], 0) if t in whole else tuple(int(x) for x in t[8:-1].split(",")) for t in (a, b)]
+        scale = max(s for _, s in sizes)
+        digits = max(p - s for p, s in sizes) + scale
+        if digits <= 38:
+            return f"decimal({digits},{scale})"
+    raise ValueError(f"no common type of {a} and {b}")
+
+
 def union_widened(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Union of equal columns where numeric types differ: both sides widen to double."""
+    """Union of equal columns; where types differ both sides take the type that holds both."""
     types_b = dict(b.dtypes)
-    wide = [n for n, t in a.dtypes if t != types_b[n]]
-    widen = {n: F.col(n).cast("double") for n in wide}
-    return a.withColumns(widen).unionByName(b.withColumns(widen)) if wide else a.unionByName(b)
+    wide = {n: F.col(n).cast(wider_type(t, types_b[n])) for n, t in a.dtypes if t != types_b[n]}
+    return a.withColumns(wide).unionByName(b.withColumns(wide)) if wide else a.unionByName(b)
 
 
 def require_filled(df: DataFrame, flag: str, fields: Sequence[str], show: Sequence[str], sample=5) -> None:

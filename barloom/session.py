@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,21 +13,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise df so that later stages restart from files after an executor loss.
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or what setCheckpointDir was given. Raises without."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return root.rstrip("/")
+
 
-    Uses the shared folder named by spark.checkpoint.dir. Only where the cluster
-    names none (local tests) a folder of this run is taken.
-    """
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise df in the shared folder, so that later stages restart from files after an executor loss."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="barloom-"))
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_root(spark))
     return df.checkpoint()
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared one (or a temporary one in local tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="barloom-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared one."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"

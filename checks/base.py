@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -29,6 +30,9 @@ class Data:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = prepare(spark)
         self.folder = folder.rstrip("/")
+        context = spark.sparkContext
+        if spark.conf.get("spark.checkpoint.dir", None) is None and context.getCheckpointDir() is None:
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="checks-"))  # a local session that names no shared folder
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
