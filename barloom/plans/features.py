@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rolling import DAY
 from ..operators import crosssection, flow, liquidity, range_phase, structure, trend, volatility
+from ..operators.bars import keep_last
 from ..operators.blocks import in_blocks
 from ..operators.calendar import blackout_flags
 from ..operators.conform import union_all
@@ -23,7 +24,9 @@ class Family:
     """A function that adds columns to bars.
 
     back is how many earlier rows it reads at its default settings; families
-    without it need their whole (bounded) group.
+    without it need their whole (bounded) group. Given settings add ``reach`` rows for
+    each row that they name, which is never too few: windows of a family are nested at
+    most twice, and a recursive mean of n rows remembers 50 n.
     """
 
     add: Callable[..., DataFrame]
@@ -31,6 +34,12 @@ class Family:
     key: str = "ts"
     back: int | None = None
     ahead: int = 0
+    reach: int = 2
+
+    def halo(self, cfg: Mapping | None) -> tuple[int, int]:
+        """Rows back and ahead that a block needs under these settings."""
+        named = sum(v for v in (cfg or {}).values() if isinstance(v, int) and not isinstance(v, bool) and v > 0)
+        return self.back + self.reach * named, self.ahead + (self.reach * named if self.ahead else 0)
 
 
 def _trend(bars, cfg=None, by=DAY):
@@ -43,7 +52,7 @@ def _vol(bars, cfg=None, by=DAY):
 
 FAMILIES = {
     "ta_trend": Family(_trend),
-    "ta_vol": Family(_vol, back=trend.memory_rows(1 / 14) + 1),
+    "ta_vol": Family(_vol, back=trend.memory_rows(1 / 14) + 1, reach=51),
     "stat_ts": Family(volatility.return_zscores),
     "vol_range": Family(volatility.range_regime, "windows", "anchor_ts", back=200),
     "consolidation_bar": Family(volatility.consolidation, "windows", "anchor_ts", back=221),
@@ -79,8 +88,11 @@ def family_frame(
     if continuous:
         if f.back is None:
             raise ValueError(f"{name} needs its whole group and has no continuous form")
+        if (cfg or {}).get("level_rank_method") == "recency_weighted":
+            raise ValueError("recency-weighted levels look back without bound and have no continuous form")
+        back, ahead = f.halo(cfg)
         out = in_blocks(
-            bars, ["instrument", "anchor_tf"], ["ts"], lambda df, b: f.add(df, cfg, b), back=f.back, ahead=f.ahead
+            bars, ["instrument", "anchor_tf"], ["ts"], lambda df, b: f.add(df, cfg, b), back=back, ahead=ahead
         )
     else:
         out = f.add(bars, cfg, by, **extra)
@@ -102,10 +114,12 @@ def feature_table(
 ) -> DataFrame:
     """The features table of many instruments and days in one plan.
 
-    Families share the exchange of the bars by (instrument, anchor_tf, dt).
+    Families share the exchange of the bars by (instrument, anchor_tf, dt). Of bars that
+    repeat a key one is kept, by a hash of its values, so that copies don't multiply rows.
     materialise is handed to the structure family, which reads its core several times.
     """
     cfg = cfg or {}
+    bars = keep_last(bars, ["instrument", "anchor_tf", "ts"], F.xxhash64(*bars.columns))
     frames = {}
     for n in families:
         extra = {"materialise": materialise} if n == "ict_struct" and materialise else {}

@@ -138,6 +138,10 @@ class PhaseProcessor(StatefulProcessor):
             if self.bars.exists()
             else fresh.iloc[:0][["us", "high", "low", "close"]]
         )
+        if len(old):  # a bar that is not after the last one comes too late and is dropped
+            fresh = fresh[fresh["us"] > old["us"].iloc[-1]]
+        if not len(fresh):
+            return
         out = []
         for day, part in fresh.groupby(fresh["us"] // 86_400_000_000, sort=True):
             if len(old) and old["us"].iloc[-1] // 86_400_000_000 != day:
@@ -167,7 +171,8 @@ class PhaseProcessor(StatefulProcessor):
 def live_phases(bars: DataFrame, cfg: Mapping | None = None) -> DataFrame:
     """Range phases of arriving bars (instrument, anchor_tf, ts, high, low, close).
 
-    Needs the RocksDB state store provider to be set in the session.
+    Bars that arrive after a later one of their series are dropped. Needs the RocksDB
+    state store provider to be set in the session.
     """
     slim = bars.select(
         "instrument", "anchor_tf", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "high", "low", "close"
@@ -184,6 +189,7 @@ def drain(stream: DataFrame, spark, name: str, mode: str = "append", options: Ma
     """Run a stream over what is available into Parquet files and read them back.
 
     Files and checkpoint lie in the shared folder, so a restart goes on where it stopped.
+    In append mode buckets that the watermark has not passed are still open and missing.
     """
     folder = shared_folder(spark, name)
     query = (

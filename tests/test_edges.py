@@ -49,3 +49,25 @@ def test_widening_keeps_digits(spark):
 def test_declared_columns():
     assert len(TABLES["trade_paths"].columns) == len(set(TABLES["trade_paths"].columns)) > 40
     assert all(kind in {"string", "date", "timestamp", "double", "int", "boolean"} for t in TABLES.values() for kind in t.columns.values())
+
+
+def test_longer_windows_than_default_reach_back_far_enough(spark):
+    from barloom.plans.features import family_frame
+
+    rows = [("a", "M1", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=k), 100 + (k * 7919 % 101) / 10.0) for k in range(4000)]
+    bars = spark.createDataFrame(rows, "instrument string, anchor_tf string, ts timestamp_ntz, close double")
+    bars = bars.withColumns({"open": F.col("close"), "high": F.col("close") + 1, "low": F.col("close") - 1, "volume": F.lit(1.0), "dt": F.to_date("ts")})
+    cfg = {"jump_window_bars": 400}
+    one = family_frame("jump_variation", bars, cfg, by=("instrument", "anchor_tf"))
+    many = family_frame("jump_variation", bars, cfg, continuous=True)
+    key = lambda df: sorted((r.ts, *[None if v is None or v != v else round(v, 9) if isinstance(v, float) else v for v in r[3:]]) for r in df.select(*one.columns).collect())
+    assert key(one) == key(many)
+
+
+def test_copies_of_a_candle_don_t_multiply(spark):
+    from barloom.plans.features import feature_table
+
+    rows = [("a", "M5", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=5 * k), 100.0 + k) for k in [0, 1, 2, 3, 3, 4, 5]]
+    bars = spark.createDataFrame(rows, "instrument string, anchor_tf string, ts timestamp_ntz, close double")
+    bars = bars.withColumns({"open": F.col("close"), "high": F.col("close") + 1, "low": F.col("close") - 1, "volume": F.lit(1.0), "dt": F.to_date("ts")})
+    assert feature_table(bars, families=("ta_trend", "ta_vol", "jump_variation")).count() == 6
