@@ -258,11 +258,11 @@ def repeated_windows(
         low, high = np.flatnonzero(edges > 0), np.flatnonzero(edges < 0) - 1
         text = np.searchsorted(bounds, low, side="right") - 1
         owner = np.repeat(np.arange(len(sizes)), sizes)[text]
-        out = []
-        for k in range(len(sizes)):
-            own = owner == k
+        out, cuts = [], np.searchsorted(owner, np.arange(len(sizes) + 1))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            own = slice(a, b)
             t = text[own]
-            out.append([a.astype("<u4").tobytes() for a in (number[t], low[own] - bounds[t], high[own] - bounds[t])])
+            out.append([v.astype("<u4").tobytes() for v in (number[t], low[own] - bounds[t], high[own] - bounds[t])])
         columns = [pa.array([o[j] for o in out], pa.binary()) for j in range(3)]
         return pa.table([rows.column("shard"), rows.column("bucket"), *columns], names=["shard", "bucket", "numbers", "low", "high"])
 
