@@ -9,7 +9,9 @@ coordinate with the probability of the weighted Jaccard similarity.
 
 Bands of the signature put documents into buckets. In each bucket all are compared with
 its leader, exactly; only members that the leader doesn't place are compared further, and
-of these pairs only those that the triangle inequality leaves open.
+of these pairs only those that two exact bounds leave open: the triangle inequality, and
+the bits in which parity maps of the two sets differ, which are no more than the elements
+that only one of them has.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ BANDS, ROWS = 32, 5
 SLICE = 1 << 20
 #: Texts whose darts are thrown at once: short ones get as many as long ones.
 THROWN = 256
+#: Longs of a parity map.
+MAP = 16
 # Cumulated Poisson(1) probabilities, as 64-bit thresholds.
 _CDF = np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 16)]))
 POISSON = np.minimum(_CDF * 2.0**64, float(2**64 - 2048)).astype(np.uint64)
@@ -121,18 +125,27 @@ def sketches(docs: DataFrame, words: int, bands: int, rows: int, weighted: bool)
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(id, members: ascending distinct shingle hashes with their counts, packed)."""
+    """(id, members: ascending distinct shingle hashes with their counts, packed; map: for each of 64 × MAP bits whether an odd number of members falls on it)."""
 
     def run(batches):
         for batch in batches:
             for a, b in pieces(batch.column(1), SLICE):
-                packed = []
+                packed, maps = [], []
                 for s in shingles(*buffer_of(batch.column(1).slice(a, b - a)), words):
                     members, counts = np.unique(s, return_counts=True)
                     packed.append(members.tobytes() + counts.astype("<u4").tobytes())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(packed, pa.binary())], names=["id", "members"])
+                    odd = np.bincount((mix(members) % np.uint64(64 * MAP)).astype(np.int64), minlength=64 * MAP) & 1
+                    maps.append(np.packbits(odd.astype(bool)).view(np.int64).tolist())
+                columns = [batch.column(0).slice(a, b - a), pa.array(packed, pa.binary()), pa.array(maps, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "members", "map"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, members binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "id long, members binary, map array<long>")
+
+
+def near_maps(n, map_, other_n, other_map, similarity: float):
+    """Whether parity maps allow sets of n and other_n elements to be that similar; never false for two that are."""
+    differ = sum(F.bit_count(map_[k].bitwiseXOR(other_map[k])) for k in range(MAP))
+    return differ <= (1 - similarity) / (1 + similarity) * (n + other_n) + 1e-6
 
 
 def compared(pairs: DataFrame, sets: DataFrame, weighted: bool) -> DataFrame:
@@ -231,16 +244,18 @@ def near_duplicates(
         classed.where(F.col("id") != F.col("lead"))
         .join(mixed, ["band", "key"])
         .join(d, ["id", "lead"], "left")
-        .select("band", "key", "id", "n", "class", "lead_class", F.coalesce("d", bound).alias("low"), F.coalesce("d", F.lit(1.0)).alias("high"))
+        .join(sets.select("id", "map"), "id")
+        .select("band", "key", "id", "n", "map", "class", "lead_class", F.coalesce("d", bound).alias("low"), F.coalesce("d", F.lit(1.0)).alias("high"))
     )
     open_ = kept_table(open_, "open")
-    x = open_.where(F.col("class") != F.col("lead_class")).select("band", "key", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "class", "low", "high")])
+    x = open_.where(F.col("class") != F.col("lead_class")).select("band", "key", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "map", "class", "low", "high")])
     far = 1 - similarity + 1e-9
+    near = F.lit(True) if weighted else near_maps(F.col("n_x"), F.col("map_x"), F.col("n"), F.col("map"), similarity)
     more = (
         x.join(open_, ["band", "key"])
         .where((F.col("class_x") != F.col("class")) & alike(F.col("n_x"), F.col("n")))
         .where((F.col("class") == F.col("lead_class")) | (F.col("id_x") < F.col("id")))
-        .where((F.col("low") - F.col("high_x") <= far) & (F.col("low_x") - F.col("high") <= far))
+        .where((F.col("low") - F.col("high_x") <= far) & (F.col("low_x") - F.col("high") <= far) & near)
         .select(F.col("id_x").alias("a"), F.col("id").alias("b"))
         .distinct()
     )

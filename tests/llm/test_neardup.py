@@ -54,6 +54,19 @@ def test_brute(spark):
     assert near_duplicates(d.limit(0)).count() == 0
 
 
+def test_large_group_of_mixed_distance(spark):
+    """Copies at all distances from one text, so that many bucket mates lie just within or beyond the bound."""
+    rng = random.Random(8)
+    base, docs = [f"t{k}" for k in range(150)], []
+    for n in range(220):
+        copy = list(base)
+        for _ in range(rng.randrange(0, 9)):
+            copy[rng.randrange(len(copy))] = f"e{rng.randrange(400)}"
+        docs.append((n, " ".join(copy)))
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(((r.doc_id, r.class_id) for r in got.collect()), key=str) == brute(docs)
+
+
 def test_weighted(spark):
     docs = [(1, "a b c d e " * 30), (2, "a b c d e " * 29), (3, "a b c d e " * 10)]
     got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), weighted=True)
