@@ -167,7 +167,13 @@ def anomalies(counts: DataFrame, trees: int = 100, sample: int = 256, seed: int
     The sample is the rows of lowest id hash. Without such rows every anomaly is 0.5.
     """
     order = F.xxhash64("doc_id", *COUNTS)
-    rows = counts.where(~failed()).orderBy(order, "doc_id").limit(trees * sample).select(*COUNTS).toPandas().to_numpy(np.int64)
+    passing = counts.where(~failed())
+    total, rows = passing.count(), np.zeros((0, len(COUNTS)), np.int64)
+    most, share = min(trees * sample, total), 2 * trees * sample / max(total, 1)
+    while len(rows) < most:  # only rows of low hash go to the driver, not a sample of every partition
+        low = passing if share >= 1 else passing.where(order < int(share * 2.0**64) - 2**63)
+        rows = low.orderBy(order, "doc_id").limit(trees * sample).select(*COUNTS).toPandas().to_numpy(np.int64)
+        share *= 4
     forest = counts.sparkSession.sparkContext.broadcast(Forest(traits(rows), trees, sample, seed)) if len(rows) else None
 
     def run(batches):
