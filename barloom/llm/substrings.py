@@ -27,7 +27,17 @@ PACK = 21
 
 def sort_suffixes(data: np.ndarray, depth: int) -> np.ndarray:
     """Suffix numbers in order of at least their first ``depth`` bytes (past the end: lowest)."""
+    return refine(data, depth)[0]
+
+
+def refine(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of sort_suffixes, and the suffixes that may share ``depth`` bytes with another one, ascending.
+
+    The latter were still grouped at the greatest h of at most ``depth``; all others have no
+    common prefix of that length with any suffix.
+    """
     n = len(data)
+    shared = np.arange(n)
     group = np.zeros(n, np.int64)
     key = np.zeros(n, np.uint64)
     reach = 5
@@ -44,6 +54,7 @@ def sort_suffixes(data: np.ndarray, depth: int) -> np.ndarray:
     alone = new & np.append(new[1:], True)
     live = order[~alone]
     while len(live) and reach < depth:
+        shared = live
         ahead = live + reach
         second = np.zeros(len(live), np.int64)
         inside = ahead < n
@@ -69,39 +80,42 @@ def sort_suffixes(data: np.ndarray, depth: int) -> np.ndarray:
         group[live] = place[np.maximum.accumulate(np.where(fresh, at, 0))]
         live = live[~(fresh & np.append(fresh[1:], True))]
         reach *= 2
-    return slots
+    if reach == depth or (len(live) == 0 and reach < depth):
+        shared = live
+    return slots, np.sort(shared)
 
 
-def common_prefixes(data: np.ndarray, rest: np.ndarray, slots: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each suffix, the one before it in slots (-1: none) and their common prefix, at most ``most`` and within rest.
+def common_prefixes(data: np.ndarray, rest: np.ndarray, slots: np.ndarray, most: int, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For each suffix of some (ascending; None: all), the one before it in slots (-1: none) and their common prefix, at most ``most`` and within rest.
 
     Kasai: if j stands before i with a common prefix of h, and j + 1 before i + 1, then what
     stands just before i + 1 shares at least h - 1 with it. Suffixes equal over the sorted
-    depth may stand the other way round; then the prefix is measured from its start. Lanes
-    of LANE suffixes go on side by side, eight bytes a step.
+    depth may stand the other way round; then, and where i + 1 isn't asked for, the prefix is
+    measured from its start. Lanes of LANE suffixes go on side by side, eight bytes a step.
     """
     n = len(data)
+    some = np.arange(n) if some is None else some
     rank = np.empty(n + 1, np.int64)
     rank[slots] = np.arange(n)
     rank[n] = n
-    prior = np.full(n, -1, np.int64)
-    prior[slots[1:]] = slots[:-1]
-    out = np.zeros(n, np.int64)
+    prior = np.where(rank[some] > 0, slots[rank[some] - 1], -1)
+    out = np.zeros(len(some), np.int64)
+    next_to = np.zeros(len(some), bool)
+    next_to[1:] = some[1:] == some[:-1] + 1
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     loads = np.ndarray(shape=(n + 1,), dtype="<u8", buffer=padded.data, strides=(1,))
-    lanes = np.arange(0, n, LANE)
+    lanes = np.arange(0, len(some), LANE)
     have = np.zeros(len(lanes), np.int64)
     last = np.full(len(lanes), -1, np.int64)
     for step in range(LANE):
-        i = lanes + step
-        if len(i) and i[-1] >= n:
-            i = i[i < n]
-        j = prior[i]
-        real = j >= 0
-        limit = np.where(real, np.minimum(np.minimum(rest[i], rest[j]), most), 0)
-        last = last[: len(i)]
-        follows = (last >= 0) & (rank[last + 1] < rank[i])
-        h = np.minimum(np.where(follows, np.maximum(have[: len(i)] - 1, 0), 0), limit)
+        at = lanes + step
+        if len(at) and at[-1] >= len(some):
+            at = at[at < len(some)]
+        i, j = some[at], prior[at]
+        limit = np.where(j >= 0, np.minimum(np.minimum(rest[i], rest[j]), most), 0)
+        last = last[: len(at)]
+        follows = next_to[at] & (last >= 0) & (rank[last + 1] < rank[i])
+        h = np.minimum(np.where(follows, np.maximum(have[: len(at)] - 1, 0), 0), limit)
         live = np.flatnonzero(h < limit)
         while len(live):
             a, b = i[live] + h[live], j[live] + h[live]
@@ -111,7 +125,7 @@ def common_prefixes(data: np.ndarray, rest: np.ndarray, slots: np.ndarray, most:
             h[live] = np.minimum(h[live] + same, limit[live])
             live = live[(same == 8) & (h[live] < limit[live])]
         have, last = h, j
-        out[i] = h
+        out[at] = h
     return prior, out
 
 
@@ -125,10 +139,12 @@ def repeated_starts(data: np.ndarray, bounds: np.ndarray, length: int) -> np.nda
     broken[shift] = data
     rest = np.zeros(wide, np.int64)
     rest[shift] = np.repeat(bounds[1:], size) - np.arange(n)
-    prior, common = common_prefixes(broken, rest, sort_suffixes(broken, length), length)
-    again = np.flatnonzero(common >= length)
+    slots, some = refine(broken, length)
+    some = some[rest[some] >= length]
+    prior, common = common_prefixes(broken, rest, slots, length, some)
+    again = common >= length
     flags = np.zeros(wide, bool)
-    flags[again] = True
+    flags[some[again]] = True
     flags[prior[again]] = True
     return flags[shift]
 

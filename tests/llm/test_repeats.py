@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from barloom.llm.passages import remove_passages
-from barloom.llm.substrings import common_prefixes, remove_substrings, sort_suffixes
+from barloom.llm.substrings import common_prefixes, refine, remove_substrings, repeated_starts, sort_suffixes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -97,6 +97,24 @@ def test_suffixes():
             assert common[i] == n
 
 
+@pytest.mark.parametrize("length", [1, 3, 5, 8, 10, 23])
+def test_candidates(length):
+    rng = np.random.default_rng(length)
+    for size in (0, 1, 40, 300):
+        data = rng.integers(97, 100, size).astype(np.uint8)
+        bounds = np.concatenate([[0], np.sort(rng.integers(0, size + 1, 3)), [size]])
+        places = {}
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            for i in range(a, b - length + 1):
+                places.setdefault(data[i : i + length].tobytes(), []).append(i)
+        again = {i for p in places.values() if len(p) > 1 for i in p}
+        assert set(np.flatnonzero(repeated_starts(data, bounds, length))) == again
+        whole = {}
+        for i in range(size - length + 1):
+            whole.setdefault(data[i : i + length].tobytes(), []).append(i)
+        assert {i for p in whole.values() if len(p) > 1 for i in p} <= set(refine(data, length)[1])
+
+
 def test_queries(spark):
     from barloom.llm.queries import QUERIES
 
