@@ -489,16 +489,16 @@ def fill_entry_price(
     backwards from the next candle. The frame is one timeframe of one
     instrument's day.
     """
-    keys = list(slice_keys)
+    keys = ["_day" if k == "dt" else k for k in slice_keys]  # the day of the entry; dt stays as it is
     prices = candles.select(
         "instrument",
         F.col("tf").alias("tf_entry"),
-        F.to_date("ts").alias("dt"),
+        F.to_date("ts").alias("_day"),
         F.col("ts").alias("_at"),
         F.coalesce("open", "close").alias("_px"),
         F.lit(1).alias("_kind"),
     )
-    wanted = orders.withColumn("dt", F.to_date("entry_ts"))
+    wanted = orders.withColumn("_day", F.to_date("entry_ts"))
     asks = wanted.where(F.col("entry_px").isNull() & F.col("entry_ts").isNotNull())
     asks = asks.select(*keys, F.col("entry_ts").alias("_at")).distinct()
     asks = asks.withColumns({"_px": F.lit(None).cast("double"), "_kind": F.lit(0)})
@@ -530,32 +530,85 @@ def _bars_after_entry(orders: DataFrame, candles: DataFrame) -> DataFrame:
     return wanted.join(bars, ["instrument", "tf_entry", "_day"]).where(F.col("_ts") >= F.col("entry_ts")).drop("_day")
 
 
-def barrier_outcomes(orders: DataFrame, candles: DataFrame) -> DataFrame:
+CELL_US = 600_000_000
+
+
+def _touches(side: Column, high: Column, low: Column) -> tuple[Column, Column]:
+    """Whether prices between low and high reach the target, and the stop."""
+    target = F.when(side == "long", high >= F.col("tp_px")).otherwise(low <= F.col("tp_px"))
+    stop = F.when(side == "long", low <= F.col("sl_px")).otherwise(high >= F.col("sl_px"))
+    return F.coalesce(target, F.lit(False)), F.coalesce(stop, F.lit(False))
+
+
+def barrier_outcomes(orders: DataFrame, candles: DataFrame, cell_us: int = CELL_US) -> DataFrame:
     """Entry fill, and exit at the first bar that touches target or stop.
 
     The target is looked at first inside a bar; without a touch the exit is the
-    last close of the day. Each order's bars are reduced by one aggregate.
+    last close of the day. An order meets the extremes of the later time cells of
+    its day, then only the bars of its own cell and of the first cell with a touch.
     """
     keys = [k for k in ("trade_id", *EVAL_KEYS, "instrument") if k in orders.columns]
-    pairs = _bars_after_entry(orders, candles)
-    long = F.col("side") == "long"
-    target = F.when(long, F.col("_high") >= F.col("tp_px")).otherwise(F.col("_low") <= F.col("tp_px"))
-    stop = F.when(long, F.col("_low") <= F.col("sl_px")).otherwise(F.col("_high") >= F.col("sl_px"))
-    at = micros(F.col("_ts"))
-    kind = F.when(F.coalesce(target, F.lit(False)), "target").when(F.coalesce(stop, F.lit(False)), "stop")
-    price = F.when(kind == "target", F.col("tp_px")).otherwise(F.col("sl_px"))
-    pairs = pairs.withColumns({"_at": at, "_kind": kind, "_exit": price})
-    pairs = pairs.withColumn("_hit", F.when(F.col("_kind").isNotNull(), F.col("_at")))
+    series = ["instrument", "tf_entry", "_day"]
+    facts = [*series, "entry_ts", "side", "tp_px", "sl_px", "_own"]
+
+    def cell(ts: str) -> Column:
+        return F.floor(micros(F.col(ts)) / cell_us)
+
+    bars = candles.select(
+        "instrument",
+        F.col("tf").alias("tf_entry"),
+        F.to_date("ts").alias("_day"),
+        F.col("ts").alias("_ts"),
+        micros(F.col("ts")).alias("_at"),
+        cell("ts").alias("_cell"),
+        F.coalesce("open", "close").alias("_px"),
+        F.col("high").alias("_high"),
+        F.col("low").alias("_low"),
+        F.col("close").alias("_close"),
+    )
+    cells = bars.groupBy(*series, "_cell").agg(
+        F.min("_ts").alias("_c_first"),
+        F.min_by("_px", "_at").alias("_c_px"),
+        F.max("_at").alias("_c_last"),
+        F.max_by("_close", "_at").alias("_c_close"),
+        F.max("_high").alias("_c_high"),
+        F.min("_low").alias("_c_low"),
+    )
+    wanted = orders.withColumns({"_day": F.to_date("entry_ts"), "_own": cell("entry_ts")})
+    wanted = wanted.select(*dict.fromkeys([*keys, *facts]))
+    met = wanted.join(cells, series).where(F.col("_cell") >= F.col("_own"))
+    after = F.when(F.col("_cell") > F.col("_own"), F.col("_cell"))
+    target, stop = _touches(F.col("side"), F.col("_c_high"), F.col("_c_low"))
+    later = met.groupBy(*dict.fromkeys([*keys, *facts])).agg(
+        F.min(F.when(after.isNotNull(), F.col("_c_first"))).alias("_next_ts"),
+        F.min_by("_c_px", after).alias("_next_px"),
+        F.max(F.when(after.isNotNull(), F.col("_c_last"))).alias("_end"),
+        F.max_by("_c_close", after).alias("_end_px"),
+        F.min(F.when(target | stop, after)).alias("_touched"),
+    )
+    looked = later.withColumn("_cell", F.explode(F.array_compact(F.array("_own", "_touched"))))
+    target, stop = _touches(F.col("side"), F.col("_high"), F.col("_low"))
+    kind = F.when(target, "target").when(stop, "stop")
+    price = F.when(F.col("_kind") == "target", F.col("tp_px")).otherwise(F.col("sl_px"))
+    pairs = (
+        looked.join(bars.withColumnRenamed("_ts", "_bar_ts"), [*series, "_cell"], "left")
+        .withColumn("_ts", F.when(F.col("_bar_ts") >= F.col("entry_ts"), F.col("_bar_ts")))
+        .withColumns({"_at": F.when(F.col("_ts").isNotNull(), F.col("_at")), "_kind": F.when(F.col("_ts").isNotNull(), kind)})
+        .withColumns({"_exit": price, "_hit": F.when(F.col("_kind").isNotNull(), F.col("_at"))})
+    )
     found = pairs.groupBy(*keys).agg(
-        F.min("_ts").alias("entry_fill_ts"),
-        F.min_by(F.coalesce("_open", "_close"), "_at").alias("_entry_open"),
+        F.least(F.min("_ts"), F.min("_next_ts")).alias("entry_fill_ts"),
+        F.when(F.min("_ts") <= F.min("_next_ts"), F.min_by("_px", "_at"))
+        .when(F.min("_next_ts").isNotNull(), F.min_by("_next_px", "_next_ts"))
+        .otherwise(F.min_by("_px", "_at"))
+        .alias("_entry_open"),
         F.min("_hit").alias("_first"),
         F.min_by("_exit", "_hit").alias("_hit_px"),
         F.min_by("_kind", "_hit").alias("_hit_kind"),
-        F.max("_at").alias("_last"),
-        F.max_by("_close", "_at").alias("_last_px"),
+        F.coalesce(F.max("_end"), F.max("_at")).alias("_last"),
+        F.when(F.max("_end").isNotNull(), F.max_by("_end_px", "_end")).otherwise(F.max_by("_close", "_at")).alias("_last_px"),
     )
-    return orders.join(found, keys).withColumns(
+    return orders.join(found.where(F.col("entry_fill_ts").isNotNull()), keys).withColumns(
         {
             "entry_fill_px": F.coalesce("entry_px", "_entry_open"),
             "exit_fill_ts": F.timestamp_micros(F.coalesce("_first", "_last")).cast("timestamp_ntz"),

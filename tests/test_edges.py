@@ -71,3 +71,43 @@ def test_copies_of_a_candle_don_t_multiply(spark):
     bars = spark.createDataFrame(rows, "instrument string, anchor_tf string, ts timestamp_ntz, close double")
     bars = bars.withColumns({"open": F.col("close"), "high": F.col("close") + 1, "low": F.col("close") - 1, "volume": F.lit(1.0), "dt": F.to_date("ts")})
     assert feature_table(bars, families=("ta_trend", "ta_vol", "jump_variation")).count() == 6
+
+
+def test_barriers_in_cells(spark):
+    """Outcomes don't depend on the cell width, follow a bar-by-bar search, and orders keep their own dt."""
+    import datetime as dt
+    import random
+
+    from barloom.operators.decisions import barrier_outcomes, fill_entry_price
+
+    rng, day = random.Random(5), dt.datetime(2025, 1, 2)
+    bars = {}
+    for k in range(0, 400):
+        if rng.random() < 0.7:
+            o, c = (100 + rng.gauss(0, 1) for _ in range(2))
+            bars[day + dt.timedelta(minutes=k)] = (o, max(o, c) + 0.2, min(o, c) - 0.2, c)
+    candles = spark.createDataFrame([("A", "M1", t, *v) for t, v in bars.items()], "instrument string, tf string, ts timestamp_ntz, open double, high double, low double, close double")
+    orders, want = [], {}
+    for n in range(80):
+        at = day + dt.timedelta(minutes=rng.randrange(-5, 420), seconds=rng.choice([0, 30]))
+        side, wide = rng.choice(["long", "short"]), rng.choice([0.5, 1.5, 3.0, 9.0])
+        up, down = 100 + wide, 100 - wide
+        tp, sl = (up, down) if side == "long" else (down, up)
+        orders.append((f"t{n}", "A", "M1", day.date() - dt.timedelta(days=1), at, None, side, tp, sl))
+        after = sorted(t for t in bars if t >= at and t.date() == at.date())
+        if after:
+            result = (after[0], after[-1], bars[after[-1]][3], "last_close")
+            for t in after:
+                _, high, low, _ = bars[t]
+                hit_tp, hit_sl = (high >= tp, low <= sl) if side == "long" else (low <= tp, high >= sl)
+                if hit_tp or hit_sl:
+                    result = (after[0], t, tp if hit_tp else sl, "target" if hit_tp else "stop")
+                    break
+            want[f"t{n}"] = (*result, bars[after[0]][0])
+    asked = spark.createDataFrame(orders, "trade_id string, instrument string, tf_entry string, dt date, entry_ts timestamp_ntz, entry_px double, side string, tp_px double, sl_px double")
+    for us in (60_000_000, 600_000_000, 86_400_000_000):
+        got = barrier_outcomes(asked, candles, us).collect()
+        assert {r.trade_id: (r.entry_fill_ts, r.exit_fill_ts, r.exit_fill_px, r.exit_reason, r.entry_fill_px) for r in got} == want
+    filled = fill_entry_price(asked, candles).collect()
+    assert len(filled) == len(orders) and {r.dt for r in filled} == {day.date() - dt.timedelta(days=1)}
+    assert {r.trade_id: r.entry_px for r in filled if r.entry_px is not None} == {k: v[4] for k, v in want.items()}
