@@ -4,8 +4,12 @@ Every window of ``length`` symbols has an anchor: the place in it where a run of
 symbols has the lowest hash. Equal windows have their anchors at the same offset. Windows
 of a text that share an anchor are consecutive and form its run; so a text has about one
 run for half a window. Runs meet by their anchor's hash in one bucket, whatever shard they
-come from. There, runs that are equal as a whole are settled by one hash; of those that
-share an anchor and differ, one of each kind sends its symbols to be compared exactly.
+come from: runs that are equal as a whole meet by the hash of the whole, and each shard
+tells once for each anchor how many kinds of runs share it. Where these differ, one of each
+kind sends its symbols to be compared exactly. An anchor of more than HOT kinds (a line that
+stands in many texts, each time in other surroundings) sends the hashes of its windows
+instead, each once a shard, which spread over all buckets. So no bucket gets more of one
+anchor, run or window than one entry a shard, or HOT kinds.
 
 Everything that passes between shards and buckets is packed in a few binary columns.
 """
@@ -25,6 +29,8 @@ from .text import GOLDEN, mix, run_windows, spread
 
 BASE = 0x9E3779B97F4A7C15 | 1
 POSITION = 24
+#: Kinds of runs of one anchor that are compared in one bucket.
+HOT = 1000
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -64,6 +70,21 @@ def unpacked(rows: pa.Table, **kinds: str) -> list[list[np.ndarray]]:
     return [[np.frombuffer(v.as_buffer(), kind) for v in rows.column(name)] for name, kind in kinds.items()]
 
 
+class Dealt:
+    """Entries dealt to buckets: which one has a number within a bucket. The order is that of packed."""
+
+    def __init__(self, bucket: np.ndarray, buckets: int):
+        self.order = np.argsort(bucket, kind="stable")
+        self.begin = np.searchsorted(bucket[self.order], np.arange(buckets))
+
+    def of(self, bucket: int, numbers: np.ndarray) -> np.ndarray:
+        return self.order[self.begin[bucket] + numbers.astype(np.int64)]
+
+
+def dealt_by(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(hashes) % np.uint64(buckets)).astype(np.int64)
+
+
 class Runs:
     """Anchored runs of the windows of some rows of symbol codes (64-bit), and their records.
 
@@ -78,7 +99,7 @@ class Runs:
             self.low = self.high = self.row = self.record = self.heads = np.zeros(0, np.int64)
             self.key = self.content = np.zeros(0, np.uint64)
             self.bucket = self.number = np.zeros(0, np.int64)
-            self.many = np.zeros(0, np.int64)
+            self.many = self.key_first = self.key_of = np.zeros(0, np.int64)
             return
         up, down = powers(n)
         total = np.zeros(n + 1, np.uint64)
@@ -87,6 +108,7 @@ class Runs:
         def span(a, b):
             return mix((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64) * GOLDEN)
 
+        self.span = span
         m, width, low_bits = n - seed + 1, length - seed + 1, np.uint64((1 << POSITION) - 1)
         at = np.arange(m)
         hashes = span(at, at + seed)
@@ -103,7 +125,7 @@ class Runs:
         anchor = anchor[cut]
         key = hashes[anchor]
         content = mix(span(self.low, self.high + length) ^ mix((anchor - self.low).astype(np.uint64)))
-        bucket = (mix(key) % np.uint64(buckets)).astype(np.int64)
+        bucket = dealt_by(key, buckets)
         order = np.lexsort((self.start(), ids[self.row], content, key, bucket))
         new = np.ones(len(order), bool)
         new[1:] = (key[order][1:] != key[order][:-1]) | (content[order][1:] != content[order][:-1])
@@ -115,6 +137,9 @@ class Runs:
         begin = np.searchsorted(self.bucket, np.arange(buckets))
         self.number = np.arange(len(self.heads)) - begin[self.bucket]  # within its bucket
         self._begin = begin
+        new_key = np.ones(len(self.key), bool)
+        new_key[1:] = self.key[1:] != self.key[:-1]
+        self.key_first, self.key_of = np.flatnonzero(new_key), np.cumsum(new_key) - 1
 
     def start(self) -> np.ndarray:
         return self.low - self.first[self.row]
@@ -123,57 +148,122 @@ class Runs:
         return self._begin[bucket] + numbers.astype(np.int64)
 
 
+class Windows:
+    """All windows of the first runs of some records, and their distinct hashes, each with its first (doc, place)."""
+
+    def __init__(self, r: Runs, records: np.ndarray, buckets: int):
+        head = r.heads[records]
+        count = r.high[head] - r.low[head] + 1
+        at = spread(r.low[head], count)
+        self.record, head = np.repeat(records, count), np.repeat(head, count)
+        self.offset = at - r.low[head]
+        self.doc, self.place = r.ids[r.row[head]], at - r.first[r.row[head]]
+        hashes = r.span(at, at + r.length)
+        order = np.lexsort((self.place, self.doc, hashes))
+        new = np.ones(len(order), bool)
+        new[1:] = hashes[order][1:] != hashes[order][:-1]
+        self.kind = np.empty(len(order), np.int64)
+        self.kind[order] = np.cumsum(new) - 1
+        self.first = order[new]
+        self.hashes, self.many = hashes[self.first], np.bincount(self.kind)
+        self.bucket = dealt_by(self.hashes, buckets)
+        self.dealt = Dealt(self.bucket, buckets)
+
+
+# Whole runs are offered to buckets from 0 on, keys to as many after them. Symbols go to buckets from 0 on, window
+# hashes (with what numbers, docs, starts and sizes hold for symbols: hashes, first places, counts) to as many after them.
 OFFERED = "bucket int, shard int, keys binary, contents binary, docs binary, starts binary, many binary"
 SETTLED = "shard int, bucket int, numbers binary, marks binary, docs binary, starts binary"
 SENT = "bucket int, shard int, numbers binary, docs binary, starts binary, sizes binary, symbols binary"
-COMPARED = "shard int, bucket int, numbers binary, low binary, high binary"
-REPEATS, SENDS = 1, 2
+COMPARED = "shard int, bucket int, numbers binary, low binary, high binary, docs binary, starts binary"
+NOTHING = np.zeros(0, np.uint8)
+
 
+def nothing(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """A column for packed that is empty for n entries."""
+    return NOTHING, np.zeros(n, np.int64)
 
-def offered(shard: int, r: Runs) -> pa.Table:
-    one = {"keys": r.key, "contents": r.content, "docs": r.ids[r.row[r.heads]], "starts": r.start()[r.heads].astype("<u4"), "many": np.minimum(r.many, 2).astype(np.uint8)}
-    return packed(r.bucket, {"shard": shard}, **{k: (v, None) for k, v in one.items()})
 
+def offered(shard: int, r: Runs, buckets: int) -> pa.Table:
+    whole = {"keys": r.key, "contents": r.content, "docs": r.ids[r.row[r.heads]], "starts": r.start()[r.heads].astype("<u4"), "many": np.minimum(r.many, 2).astype("<u4")}
+    wholes = packed(dealt_by(r.content, buckets), {"shard": shard}, **{k: (v, None) for k, v in whole.items()})
+    key, n = r.key[r.key_first], len(r.key_first)
+    kinds = np.bincount(r.key_of, minlength=n).astype("<u4")
+    keys = packed(dealt_by(key, buckets) + buckets, {"shard": shard}, keys=(key, None), contents=(r.content[r.key_first], None), docs=nothing(n), starts=nothing(n), many=(kinds, None))
+    return pa.concat_tables([wholes, keys])
 
-def settled(rows: pa.Table) -> pa.Table:
-    """Of the records of a bucket: which occur more than once, with the first place; which must send their symbols."""
-    parts = unpacked(rows, keys="<u8", contents="<u8", docs="<i8", starts="<u4", many="u1")
+
+def firsts(*columns: np.ndarray) -> np.ndarray:
+    """Which entries of sorted columns differ from the one before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
+def answered(rows: pa.Table, names: list[str], sizes: np.ndarray, some: np.ndarray, *columns: tuple[str, np.ndarray | None]) -> pa.Table:
+    """For each of rows, which hold sizes entries: the numbers of those that some marks, and their columns (kind, values; None: nothing)."""
+    cuts, out = np.concatenate([[0], np.cumsum(sizes)]), []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        own = np.flatnonzero(some[a:b])
+        out.append([own.astype("<u4").tobytes(), *(b"" if v is None else v[a:b][own].astype(k).tobytes() for k, v in columns)])
+    parts = [pa.array([o[j] for o in out], pa.binary()) for j in range(len(columns) + 1)]
+    return pa.table([rows.column("shard"), rows.column("bucket"), *parts], names=names)
+
+
+def settled(rows: pa.Table, buckets: int) -> pa.Table:
+    """Of whole runs in a bucket: which occur more than once, with the first place. Of keys: which have several kinds of runs, and whether more than HOT."""
+    parts = unpacked(rows, keys="<u8", contents="<u8", docs="<i8", starts="<u4", many="<u4")
     sizes = np.array([len(p) for p in parts[0]])
     key, content, doc, start, many = (np.concatenate(p) for p in parts)
+    names = ["shard", "bucket", "numbers", "marks", "docs", "starts"]
+    if rows.column("bucket")[0].as_py() >= buckets:
+        order = np.argsort(key, kind="stable")
+        new = firsts(key[order])
+        group, other = np.cumsum(new) - 1, content[order]
+        several = np.bincount(group, (many[order] > 1) | (other != other[new][group])) > 0
+        hot = np.bincount(group, many[order]) > HOT
+        marks, some = np.empty(len(key), bool), np.empty(len(key), bool)
+        marks[order], some[order] = hot[group], several[group]
+        return answered(rows, names, sizes, some, ("u1", marks), ("<i8", None), ("<u4", None))
     order = np.lexsort((start, doc, content, key))
-    k, c = key[order], content[order]
-    new_key, new = np.ones(len(k), bool), np.ones(len(k), bool)
-    new_key[1:] = k[1:] != k[:-1]
-    new[1:] = new_key[1:] | (c[1:] != c[:-1])
-    kind, group = np.cumsum(new) - 1, np.cumsum(new_key) - 1
-    repeats = np.bincount(kind, many[order])[kind] > 1
-    kinds = np.bincount(group, new)[group] > 1
-    head = order[np.flatnonzero(new)][kind]
-    at_head = (doc[order] == doc[head]) & (start[order] == start[head])  # rows of one id can tie
-    marks = np.zeros(len(k), np.uint8)
-    marks[order] = repeats * REPEATS + (at_head & kinds) * SENDS
-    owner = np.empty(len(k), np.int64)
-    owner[order] = head
-    out, cuts = [], np.concatenate([[0], np.cumsum(sizes)])
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        some = np.flatnonzero(marks[a:b])
-        own = owner[a:b][some]
-        out.append([some.astype("<u4").tobytes(), marks[a:b][some].tobytes(), doc[own].astype("<i8").tobytes(), start[own].astype("<u4").tobytes()])
-    columns = [pa.array([o[j] for o in out], pa.binary()) for j in range(4)]
-    return pa.table([rows.column("shard"), rows.column("bucket"), *columns], names=["shard", "bucket", "numbers", "marks", "docs", "starts"])
+    new = firsts(key[order], content[order])
+    kind = np.cumsum(new) - 1
+    repeats, owner = np.empty(len(key), bool), np.empty(len(key), np.int64)
+    repeats[order] = np.bincount(kind, many[order])[kind] > 1
+    owner[order] = order[new][kind]
+    return answered(rows, names, sizes, repeats, ("u1", None), ("<i8", doc[owner]), ("<u4", start[owner]))
+
+
+def settled_windows(rows: pa.Table, later: bool) -> pa.Table:
+    """Which window hashes of a bucket occur more than once; with later, also their first places."""
+    parts = unpacked(rows, numbers="<u8", docs="<i8", starts="<u4", sizes="<u4")
+    lengths = np.array([len(p) for p in parts[0]])
+    hashes, doc, start, many = (np.concatenate(p) for p in parts)
+    order = np.lexsort((start, doc, hashes)) if later else np.argsort(hashes, kind="stable")
+    new = firsts(hashes[order])
+    kind = np.cumsum(new) - 1
+    repeats, owner = np.empty(len(hashes), bool), np.empty(len(hashes), np.int64)
+    repeats[order] = np.bincount(kind, many[order])[kind] > 1
+    owner[order] = order[new][kind]
+    names = ["shard", "bucket", "numbers", "low", "high", "docs", "starts"]
+    places = (doc[owner], start[owner]) if later else (None, None)
+    return answered(rows, names, lengths, repeats, ("<u4", None), ("<u4", None), ("<i8", places[0]), ("<u4", places[1]))
 
 
 @dataclass
 class Verdict:
-    """For a shard: records that repeat with their first place (doc, start), and runs of windows found equal elsewhere.
+    """For a shard: records that repeat with their first place (doc, start), records that send their symbols or (hot) their windows' hashes, and runs of windows found equal elsewhere.
 
     The latter hold for the first run of a record and for those that tie with it.
     """
 
     record: np.ndarray
-    mark: np.ndarray
     doc: np.ndarray
     start: np.ndarray
+    sends: np.ndarray
+    hot: np.ndarray
     late_record: np.ndarray
     low: np.ndarray
     high: np.ndarray
@@ -190,16 +280,41 @@ def late_windows(r: Runs, v: Verdict) -> tuple[np.ndarray, np.ndarray]:
     return base + np.repeat(v.low.astype(np.int64), counts), base + np.repeat(v.high.astype(np.int64), counts)
 
 
-def verdict_of(r: Runs, answers: pa.Table) -> Verdict:
-    def gather(rows: pa.Table, **kinds):
+def verdict_of(r: Runs, answers: pa.Table, offers: int, buckets: int, later: bool) -> Verdict:
+    bucket = np.asarray(answers.column("bucket").combine_chunks()) if answers.num_rows else np.zeros(0, np.int64)
+    late = np.asarray(answers.column("late").combine_chunks()) if answers.num_rows else np.zeros(0, bool)
+
+    def gather(some: np.ndarray, base: int, of: Callable, **kinds):
+        rows = answers.filter(pa.array(some)) if answers.num_rows else answers
         parts = unpacked(rows, **kinds)
-        numbers = [r.of(b, n) for b, n in zip(rows.column("bucket").to_pylist(), parts[0], strict=True)]
+        numbers = [of(b - base, n) for b, n in zip(rows.column("bucket").to_pylist(), parts[0], strict=True)]
         empty = np.zeros(0, np.int64)
         return [np.concatenate(p) if p else empty for p in [numbers, *parts[1:]]]
 
-    late = np.asarray(answers.column("late").combine_chunks()) if answers.num_rows else np.zeros(0, bool)
-    early, later = (answers.filter(pa.array(~late)), answers.filter(pa.array(late))) if answers.num_rows else (answers, answers)
-    return Verdict(*gather(early, numbers="<u4", marks="u1", docs="<i8", starts="<u4"), *gather(later, numbers="<u4", low="<u4", high="<u4"))
+    wholes, keys = Dealt(dealt_by(r.content, offers), offers), Dealt(dealt_by(r.key[r.key_first], offers), offers)
+    record, doc, start = gather(~late & (bucket < offers), 0, wholes.of, numbers="<u4", docs="<i8", starts="<u4")
+    key, hot = gather(~late & (bucket >= offers), offers, keys.of, numbers="<u4", marks="u1")
+    state = np.zeros(len(r.key_first), np.uint8)
+    state[key] = 1 + hot
+    sends = state[r.key_of]
+    head = r.heads[record]
+    sends[record[(r.ids[r.row[head]] != doc) | (r.start()[head] != start)]] = 0  # another run of the kind is first; rows of one id can tie
+    sent, hashed = np.flatnonzero(sends == 1), np.flatnonzero(sends == 2)
+    late_record, low, high = gather(late & (bucket < buckets), 0, r.of, numbers="<u4", low="<u4", high="<u4")
+    apart = late & (bucket >= buckets)
+    if len(hashed) and apart.any():
+        w = Windows(r, hashed, buckets)
+        kind, first_doc, first_start = gather(apart, buckets, w.dealt.of, numbers="<u4", docs="<i8", starts="<u4")
+        found = np.zeros(len(w.hashes), bool)
+        found[kind] = True
+        again = found[w.kind]
+        if later:
+            docs, places = np.zeros(len(w.hashes), np.int64), np.zeros(len(w.hashes), np.int64)
+            docs[kind], places[kind] = first_doc, first_start
+            again &= (w.doc != docs[w.kind]) | (w.place != places[w.kind])
+        late_record = np.concatenate([late_record, w.record[again]])
+        low, high = (np.concatenate([x, w.offset[again]]) for x in (low, high))
+    return Verdict(record, doc, start, sent, hashed, late_record, low, high)
 
 
 def repeated_windows(
@@ -213,16 +328,21 @@ def repeated_windows(
     kind: str,
     shard_bytes: int,
     bucket_bytes: int,
+    later: bool = False,
 ) -> DataFrame:
     """finish(rows of a shard, their runs, verdict) for every shard of docs (doc_id, text).
 
     symbols(rows) gives symbols (numpy ``kind``), their 64-bit codes and the row bounds.
     compare(symbols, bounds, docs, starts) tells, for texts of one bucket, which of their
-    windows are repeats. The text is shuffled once and read from that exchange three times.
+    windows are repeats: with later, those that have an equal one at a lower (doc, place),
+    else all that have an equal one. The text is shuffled once and read from that exchange
+    three times. Rows are dealt to shards by their number too, so that equal ones spread;
+    docs should come from files, which are read again in the same order.
     """
     total = text_bytes(docs)
-    shards, buckets = shards_for(total, shard_bytes), shards_for(total, bucket_bytes)
-    grouped = by_shard(docs.select(F.col("doc_id").cast("long"), "text"), shards).groupBy("shard")
+    shards, buckets, offers = (shards_for(total, n) for n in (shard_bytes, bucket_bytes, 2 * bucket_bytes))
+    salted = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("row"))
+    grouped = by_shard(salted, shards, "row").groupBy("shard")
 
     def runs(table: pa.Table):
         values, codes, first = symbols(table)
@@ -230,25 +350,41 @@ def repeated_windows(
         return values, Runs(codes, first, ids, length, seed, buckets)
 
     def offer(table: pa.Table) -> pa.Table:
-        return offered(table.column("shard")[0].as_py(), runs(table)[1])
+        return offered(table.column("shard")[0].as_py(), runs(table)[1], offers)
 
     def send(table: pa.Table, answers: pa.Table) -> pa.Table:
         values, r = runs(table)
-        v = verdict_of(r, answers)
-        records = np.sort(v.record[(v.mark & SENDS) > 0])
-        head = r.heads[records]
+        v = verdict_of(r, answers, offers, buckets, later)
+        shard = {"shard": table.column("shard")[0].as_py()}
+        head = r.heads[v.sends]
         low, size = r.low[head], r.high[head] + length - r.low[head]
-        return packed(
-            r.bucket[records],
-            {"shard": table.column("shard")[0].as_py()},
-            numbers=(r.number[records].astype("<u4"), None),
+        whole = packed(
+            r.bucket[v.sends],
+            shard,
+            numbers=(r.number[v.sends].astype("<u4"), None),
             docs=(r.ids[r.row[head]], None),
             starts=(r.start()[head].astype("<u4"), None),
             sizes=(size.astype("<u4"), None),
             symbols=(values[spread(low, size)], size),
         )
+        if not len(v.hot):
+            return whole
+        w = Windows(r, v.hot, buckets)
+        n = len(w.hashes)
+        apart = packed(
+            w.bucket + buckets,
+            shard,
+            numbers=(w.hashes, None),
+            docs=(w.doc[w.first], None) if later else nothing(n),
+            starts=(w.place[w.first].astype("<u4"), None) if later else nothing(n),
+            sizes=(np.minimum(w.many, 2).astype("<u4"), None),
+            symbols=nothing(n),
+        )
+        return pa.concat_tables([whole, apart])
 
     def settle(rows: pa.Table) -> pa.Table:
+        if rows.column("bucket")[0].as_py() >= buckets:
+            return settled_windows(rows, later)
         parts = unpacked(rows, numbers="<u4", docs="<i8", starts="<u4", sizes="<u4", symbols=kind)
         sizes = np.array([len(p) for p in parts[0]])
         number, doc, start, size, values = (np.concatenate(p) for p in parts)
@@ -264,16 +400,20 @@ def repeated_windows(
             t = text[own]
             out.append([v.astype("<u4").tobytes() for v in (number[t], low[own] - bounds[t], high[own] - bounds[t])])
         columns = [pa.array([o[j] for o in out], pa.binary()) for j in range(3)]
-        return pa.table([rows.column("shard"), rows.column("bucket"), *columns], names=["shard", "bucket", "numbers", "low", "high"])
+        empty = pa.array([b""] * len(out), pa.binary())
+        return pa.table([rows.column("shard"), rows.column("bucket"), *columns, empty, empty], names=["shard", "bucket", "numbers", "low", "high", "docs", "starts"])
 
     def end(table: pa.Table, answers: pa.Table) -> pa.Table:
         _, r = runs(table)
-        return finish(table, r, verdict_of(r, answers))
+        return finish(table, r, verdict_of(r, answers, offers, buckets, later))
+
+    def first_answers(rows: pa.Table) -> pa.Table:
+        return settled(rows, offers)
 
-    first = grouped.applyInArrow(offer, OFFERED).groupBy("bucket").applyInArrow(settled, SETTLED)
+    first = grouped.applyInArrow(offer, OFFERED).groupBy("bucket").applyInArrow(first_answers, SETTLED)
     none = F.lit(None).cast("binary")
     early = first.select(F.col("shard").alias("at"), "bucket", F.lit(False).alias("late"), "numbers", "marks", "docs", "starts", none.alias("low"), none.alias("high"))
     sent = grouped.cogroup(early.groupBy("at")).applyInArrow(send, SENT)
     second = sent.groupBy("bucket").applyInArrow(settle, COMPARED)
-    late = second.select(F.col("shard").alias("at"), "bucket", F.lit(True).alias("late"), "numbers", none.alias("marks"), none.alias("docs"), none.alias("starts"), "low", "high")
+    late = second.select(F.col("shard").alias("at"), "bucket", F.lit(True).alias("late"), "numbers", none.alias("marks"), "docs", "starts", "low", "high")
     return grouped.cogroup(early.unionByName(late).groupBy("at")).applyInArrow(end, schema)

@@ -52,9 +52,9 @@ def shards_for(total: int, target: int) -> int:
     return max(1, -(-total // target))
 
 
-def by_shard(docs: DataFrame, shards: int) -> DataFrame:
-    """(shard, doc_id, text). The text is hashed too, so that an id on many different rows spreads."""
-    key = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards))
+def by_shard(docs: DataFrame, shards: int, *salt: str) -> DataFrame:
+    """(shard, doc_id, text). The text is hashed too, so that an id on many different rows spreads; with columns of salt, equal rows as well."""
+    key = F.pmod(F.xxhash64("doc_id", "text", *salt), F.lit(shards))
     return docs.select(key.cast("int").alias("shard"), "doc_id", "text")
 
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .anchors import REPEATS, Runs, Verdict, late_windows, repeated_windows
+from .anchors import Runs, Verdict, late_windows, repeated_windows
 from .text import NOT_SPACE, buffer_of, covered, hash_spans, per_row, run_windows, spread, window_hashes, words_of
 
 LENGTH, SEED = 20, 6
@@ -100,10 +100,9 @@ def remove_passages(docs: DataFrame, length: int = LENGTH, seed: int = SEED, sha
         data, bounds = buffer_of(table.column("text"))
         w = words_of(data, bounds, NOT_SPACE)
         words = hash_spans(data, w.starts, w.ends)
-        some = (v.mark & REPEATS) > 0
-        head = r.heads[v.record[some]]
+        head = r.heads[v.record]
         low, size = r.low[head], r.high[head] + length - r.low[head]
-        doc, start = v.doc[some], v.start[some].astype(np.int64)
+        doc, start = v.doc, v.start.astype(np.int64)
         late = late_windows(r, v)
         spans = [(late[0], late[1] + length)]
         for pattern, at in found(words, w.first, low, size):
@@ -123,7 +122,7 @@ def remove_passages(docs: DataFrame, length: int = LENGTH, seed: int = SEED, sha
             }
         )
 
-    return repeated_windows(docs, word_symbols, compare, finish, "doc_id long, n_words long, n_removed long, kept string", length, seed, "<u8", shard_bytes, bucket_bytes)
+    return repeated_windows(docs, word_symbols, compare, finish, "doc_id long, n_words long, n_removed long, kept string", length, seed, "<u8", shard_bytes, bucket_bytes, later=True)
 
 
 def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> pa.Array:

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .anchors import REPEATS, Runs, Verdict, late_windows, repeated_windows
+from .anchors import Runs, Verdict, late_windows, repeated_windows
 from .text import buffer_of, covered, mix, per_row, spread
 
 LENGTH, SEED = 200, 40
@@ -170,7 +170,7 @@ def remove_substrings(docs: DataFrame, length: int = LENGTH, seed: int = SEED, s
         data, bounds = buffer_of(table.column("text"))
         starts = repeated_starts(data, bounds, length)
         repeats = np.zeros(len(r.heads), bool)
-        repeats[v.record[(v.mark & REPEATS) > 0]] = True
+        repeats[v.record] = True
         runs = np.flatnonzero(repeats[r.record])
         low, high = r.low[runs], r.high[runs]
         late = late_windows(r, v)

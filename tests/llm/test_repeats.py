@@ -123,3 +123,52 @@ def test_queries(spark):
     sha = lambda x: hashlib.sha256(x).hexdigest()
     assert rows(QUERIES["op5_suffix_array"](spark, folder)) == sorted(((*r[:4], sha(r[4])) for r in brute_bytes(docs, 200)), key=str)
     assert rows(QUERIES["op10_passages"](spark, folder)) == sorted(((*r[:3], sha(r[3].encode())) for r in brute_words(docs, 20)), key=str)
+
+
+def hot_line(rng, n):
+    """Texts that share one line, each in other surroundings, some of which recur; and equal rows of one id."""
+    text = lambda m: " ".join(f"v{rng.randrange(5000)}" for _ in range(m))
+    line, other = text(12), [text(4) for _ in range(30)]
+    around = lambda: rng.choice(other) if rng.random() < 0.1 else text(4)
+    docs = [(k, f"{text(5)} {around()} {line} {around()} {text(5)}") for k in range(n)]
+    docs += [(None, docs[0][1])] * 40 + [(7, docs[9][1])] * 3 + [(8, docs[9][1] + " x")]
+    rng.shuffle(docs)
+    return docs
+
+
+def test_anchor_of_many_kinds_spreads(spark):
+    """No bucket compares the texts around a line that all documents share; the removals stay exact."""
+    import pyarrow as pa
+
+    from barloom.llm.anchors import repeated_windows
+    from barloom.llm.substrings import byte_symbols
+
+    docs = hot_line(random.Random(4), 1500)
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+
+    def bounded(values, bounds, docs, starts):
+        if len(values) > 30_000:
+            raise ValueError("one bucket got the texts of a whole key")
+        return repeated_starts(values, bounds, 24)
+
+    def finish(table, r, v):
+        return pa.table({"doc_id": table.column("doc_id")})
+
+    assert repeated_windows(d, byte_symbols, bounded, finish, "doc_id long", 24, 5, "u1", 6000, 6000).count() == len(docs)
+    assert rows(remove_substrings(d, 24, 5, 6000, 20000)) == brute_bytes(docs, 24)
+    assert rows(remove_passages(d, 7, 3, 6000, 20000)) == brute_words(docs, 7)
+
+
+def test_equal_rows_spread(spark):
+    import pyarrow as pa
+
+    from barloom.llm.anchors import repeated_windows
+    from barloom.llm.substrings import byte_symbols
+
+    d = spark.createDataFrame([(None, "one text of a few words " * 4)] * 600, "doc_id long, text string").repartition(3)
+
+    def finish(table, r, v):
+        return pa.table({"rows": pa.array([table.num_rows])})
+
+    got = repeated_windows(d, byte_symbols, lambda v, b, d, s: repeated_starts(v, b, 24), finish, "rows long", 24, 5, "u1", 6000, 6000).collect()
+    assert sum(r.rows for r in got) == 600 and max(r.rows for r in got) < 300
