@@ -193,24 +193,19 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             return nodes.select("id").join(labels, "id", "left").select("id", F.coalesce("class", "id").alias("class"))
 
 
-def near_duplicates(
+def text_classes(
     docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighted: bool = False
-) -> DataFrame:
-    """(doc_id, class_id) of every row of docs (doc_id, text).
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, digest) of every row of docs, and (digest, least, class_id, leads) of every distinct text.
 
-    Two texts are linked where the Jaccard similarity of their runs of ``words`` words is
-    at least ``similarity`` (weighted: counts of runs are weights); a class is what links
-    connect, named by its least doc_id. With the defaults a linked pair shares a bucket
-    with probability over 0.99999. Equal texts are always linked, and collapsed before
-    anything else; texts without words (null, empty) equal only their like. A row without
-    doc_id takes the class of an equal text that has one, else null. Other columns are
-    ignored.
+    Texts are nodes by a row number of theirs, so texts that share a doc_id stay apart and
+    those without one are linked too. least is the least doc_id of the text's rows (null:
+    none has one), class_id that of its class; one text of each class, with that id if
+    there is one, leads.
     """
-    sketch = kept_table(sketches(docs, words, bands, rows, weighted), "sketches")
-    texts = sketch.groupBy("digest").agg(F.min("doc_id").alias("id"))
-    texts = kept_table(texts.where(F.col("id").isNotNull()), "texts")
-    one = sketch.join(texts.select(F.col("id").alias("doc_id"), F.col("digest").alias("own")), "doc_id").where(F.col("digest") == F.col("own"))
-    one = one.select("doc_id", "n", "bands").dropDuplicates(["doc_id"])
+    sketch = kept_table(sketches(docs, words, bands, rows, weighted).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    texts = kept_table(sketch.groupBy("digest").agg(F.min("row").alias("id"), F.min("doc_id").alias("least")), "texts")
+    one = sketch.join(texts.select(F.col("id").alias("row")), "row", "left_semi").select(F.col("row").alias("doc_id"), "n", "bands")
     banded = one.where(F.size("bands") > 0).select(F.col("doc_id").alias("id"), "n", F.posexplode("bands").alias("band", "key"))
     leaders = (
         banded.groupBy("band", "key")
@@ -225,10 +220,10 @@ def near_duplicates(
 
     pairs = members.where(F.col("id") != F.col("lead")).where(alike(F.col("n"), F.col("lead_n")))
     pairs = pairs.select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    chosen = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id").join(
-        texts.select(F.col("id").alias("doc_id"), "digest"), "doc_id"
-    ).where(F.col("digest") == digest_of()).dropDuplicates(["doc_id"])
+    wanted = texts.join(members.select("id").distinct(), "id").select("id", F.col("digest").alias("own"), "least")
+    chosen = docs.select(F.col("doc_id").cast("long"), digest_of().alias("digest"), "text").join(
+        wanted, (F.col("digest") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("least"))
+    ).select(F.col("id").alias("doc_id"), "text").dropDuplicates(["doc_id"])
     sets = kept_table(shingle_sets(chosen, words), "sets")
     measured = kept_table(compared(pairs, sets, weighted), "measured")
     links = measured.where(F.col("similarity") >= similarity)
@@ -262,5 +257,26 @@ def near_duplicates(
     late = kept_table(compared(more, sets, weighted).where(F.col("similarity") >= similarity), "late")
     if late.take(1):
         classes = kept_table(components(nodes, links.unionByName(late)), "classes")
-    named = texts.join(classes, "id").select("digest", F.col("class").alias("class_id"))
-    return sketch.select("doc_id", "digest").join(named, "digest", "left").select("doc_id", "class_id")
+    named = texts.join(classes, "id")
+    lead = named.groupBy("class").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "id")).alias("lead"))
+    return sketch.select("doc_id", "digest"), named.join(lead, "class").select(
+        "digest", "least", F.col("lead.least").alias("class_id"), (F.col("id") == F.col("lead.id")).alias("leads")
+    )
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighted: bool = False
+) -> DataFrame:
+    """(doc_id, class_id) of every row of docs (doc_id, text).
+
+    Two texts are linked where the Jaccard similarity of their runs of ``words`` words is
+    at least ``similarity`` (weighted: counts of runs are weights); a class is what links
+    connect, named by its least doc_id. With the defaults a linked pair shares a bucket
+    with probability over 0.99999. Equal texts are always linked, and collapsed before
+    anything else; texts without words (null, empty) equal only their like. Texts are told
+    apart by their digests: several texts of one doc_id each have their own class, and a
+    row without doc_id takes the class of its text, null where no text of it has an id.
+    Other columns are ignored.
+    """
+    sketch, named = text_classes(docs, words, similarity, bands, rows, weighted)
+    return sketch.join(named.select("digest", "class_id"), "digest").select("doc_id", "class_id")

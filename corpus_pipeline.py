@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm.bpe import decode_documents, encode_documents
 from barloom.llm.frames import fresh, kept_table
-from barloom.llm.neardup import near_duplicates
+from barloom.llm.neardup import digest_of, text_classes
 from barloom.llm.phrases import find_phrases
 from barloom.llm.pii import replace_entities
 from barloom.llm.quality import fit_quality, score_quality
@@ -37,14 +37,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of each near-duplicate class; rows that repeat an id and text stay once, rows without id stay."""
-    classes = near_duplicates(docs)
-    kept = by_id(docs, classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct())
-    again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1)
+    """The text that leads each near-duplicate class, in the row of its least doc_id; rows that repeat an id and text stay once, rows of classes without any id stay."""
+    rows, classes = text_classes(docs)
+    stay = kept_table(classes.where(F.col("leads") | F.col("class_id").isNull()).select("digest", "least"), "stay")
+    own, own_id = fresh(docs, "own_digest"), fresh(docs, "own_id")
+
+    def of(texts: DataFrame) -> DataFrame:
+        texts = texts.select(F.col("digest").alias(own), F.col("least").alias(own_id))
+        return docs.join(texts, (digest_of() == F.col(own)) & F.col("doc_id").eqNullSafe(F.col(own_id)), "left_semi")
+
+    again = rows.where(F.col("doc_id").isNotNull()).groupBy("digest", F.col("doc_id").alias("least")).count().where(F.col("count") > 1)
+    again = kept_table(stay.join(again, ["digest", "least"], "left_semi"), "again")
     if not again.take(1):
-        return kept
-    repeated = by_id(kept, again)
-    return kept.join(again.select("doc_id"), "doc_id", "left_anti").select(*docs.columns).unionByName(repeated.dropDuplicates(["doc_id"]))
+        return of(stay)
+    alone = stay.join(again.select(F.col("digest").alias("other")), F.col("digest") == F.col("other"), "left_anti")
+    return of(alone).unionByName(of(again).withColumn(own, digest_of()).dropDuplicates(["doc_id", own]).drop(own))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -79,3 +79,26 @@ def test_query(spark):
     folder = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     assert sorted(map(tuple, QUERIES["op6_minhash"](spark, folder).collect()), key=str) == brute(docs)
+
+
+def test_texts_of_one_id_stay_apart(spark):
+    rng = random.Random(12)
+    text = lambda: " ".join(rng.choice("abcdefghijklmnop") + str(rng.randrange(50)) for _ in range(60))
+    docs = []
+    for k in range(20):
+        base = text()
+        docs += [(1, base), (100 + k, base + " more"), (None, base + " else")]  # twenty unlike texts of id 1
+    docs += [(None, text())] * 2
+    rng.shuffle(docs)
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert sorted(((r.doc_id, r.class_id) for r in got.collect()), key=str) == brute(docs)
+
+
+def test_stage_keeps_texts_of_one_id(spark):
+    import corpus_pipeline as p
+
+    rng = random.Random(13)
+    a, b, c, d = (" ".join(f"w{rng.randrange(900)}" for _ in range(60)) for _ in range(4))
+    docs = [(1, a), (1, b), (1, b), (2, b + " x"), (3, c), (None, c), (None, d), (None, c + " x"), (4, a + " y")]
+    kept = p.near_dups(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(2), "")
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, a), (1, b), (3, c), (None, d)], key=str)
