@@ -23,12 +23,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def by_id(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of docs whose doc_id is among the distinct ids; a null id matches a null one."""
-    own = fresh(docs, "own_id")
-    return docs.join(ids.select(F.col("doc_id").alias(own)), F.col("doc_id").eqNullSafe(F.col(own)), "left_semi")
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on all labels, doesn't reject. Empty texts get the share of label 1."""
     model = fit_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -56,10 +50,11 @@ def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a run of ten words of any benchmark item (a shorter item: its whole run)."""
-    found = find_phrases(docs, table(spark, sf_dir, "benchmark"))
-    hit = kept_table(found.where(F.col("n_hit") > 0).select("doc_id").distinct(), "contaminated")
-    own = fresh(docs, "own_id")
-    return docs.join(hit.select(F.col("doc_id").alias(own)), F.col("doc_id").eqNullSafe(F.col(own)), "left_anti")
+    row = fresh(docs, "row_key")  # written with the rows: each row's own verdict decides about it alone
+    keyed = kept_table(docs.withColumn(row, F.monotonically_increasing_id()), "keyed")
+    found = find_phrases(keyed.select(F.col(row).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    hit = kept_table(found.where(F.col("n_hit") > 0).select(F.col("doc_id").alias(row)), "contaminated")
+    return keyed.join(hit, row, "left_anti").select(*docs.columns)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -74,3 +74,14 @@ def test_query(spark):
         i, n, hit, items = want[r.doc_id]
         assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (n, hit, len(items), hit > 0)
         assert r.items_sha256 == hashlib.sha256(",".join(items).encode()).hexdigest()
+
+
+def test_stage_judges_each_row_alone(spark):
+    import corpus_pipeline as p
+
+    folder = "/root/testdata/sf0.001"
+    item = next(r.text for r in p.table(spark, folder, "benchmark").collect() if r.text)
+    docs = [(None, item), (None, "nothing of the kind"), (None, "nor this"), (1, item), (1, "clean text of the same id"), (2, None)]
+    kept = p.decontaminated(spark, spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "3 as row_key").repartition(2), folder)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([docs[1], docs[2], docs[4], docs[5]], key=str)
+    assert kept.columns == ["doc_id", "text", "row_key"]
