@@ -25,7 +25,7 @@ class Family:
 
     back is how many earlier rows it reads at its default settings; families
     without it need their whole (bounded) group. Given settings add ``reach`` rows for
-    each row that they name, which is never too few: windows of a family are nested at
+    each row that they name, either way for offsets, which is never too few: windows of a family are nested at
     most twice, and a recursive mean of n rows remembers 50 n.
     """
 
@@ -38,7 +38,7 @@ class Family:
 
     def halo(self, cfg: Mapping | None) -> tuple[int, int]:
         """Rows back and ahead that a block needs under these settings."""
-        named = sum(v for v in (cfg or {}).values() if isinstance(v, int) and not isinstance(v, bool) and v > 0)
+        named = sum(abs(v) for v in (cfg or {}).values() if isinstance(v, int) and not isinstance(v, bool))
         return self.back + self.reach * named, self.ahead + (self.reach * named if self.ahead else 0)
 
 

@@ -111,3 +111,15 @@ def test_barriers_in_cells(spark):
     filled = fill_entry_price(asked, candles).collect()
     assert len(filled) == len(orders) and {r.dt for r in filled} == {day.date() - dt.timedelta(days=1)}
     assert {r.trade_id: r.entry_px for r in filled if r.entry_px is not None} == {k: v[4] for k, v in want.items()}
+
+
+def test_negative_offsets_reach_ahead_far_enough(spark):
+    from barloom.plans.features import family_frame
+
+    rows = [("a", "M1", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=k), float(k * 7919 % 101), float(k * 6101 % 103)) for k in range(4200)]
+    bars = spark.createDataFrame(rows, "instrument string, anchor_tf string, ts timestamp_ntz, open double, close double")
+    bars = bars.withColumns({"high": F.greatest("open", "close") + 1, "low": F.least("open", "close") - 1, "volume": F.lit(1.0), "dt": F.to_date("ts")})
+    for cfg in ({"start_offset_bars": -10, "mid_offset_bars": -5}, {"start_offset_bars": -40, "mid_offset_bars": 30, "end_offset_bars": 25}):
+        one = family_frame("pac_bar", bars, cfg, by=("instrument", "anchor_tf"))
+        many = family_frame("pac_bar", bars, cfg, continuous=True)
+        assert sorted(map(str, one.collect())) == sorted(map(str, many.select(*one.columns).collect()))
