@@ -13,9 +13,11 @@ from .frames import crc_of_id
 from .language import fit_languages, identify
 from .language_model import score_texts
 from .neardup import near_duplicates
+from .oracles import SQL as SQL
 from .passages import remove_passages
 from .phrases import find_phrases
 from .pii import replace_entities
+from .prefix_trie import conversation_trie
 from .quality import fit_quality, score_quality
 from .rules import judge
 from .substrings import remove_substrings
@@ -97,6 +99,11 @@ def op10_passages(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return conversation_trie(table(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_language": op2_language,
@@ -108,5 +115,5 @@ QUERIES = {
     "op8_rules": op8_rules,
     "op9_pii": op9_pii,
     "op10_passages": op10_passages,
+    "op13_prefix_trie": op13_prefix_trie,
 }
-SQL: dict[str, str] = {}
