@@ -44,4 +44,25 @@ JOIN below b ON b.top = c.node AND b.k = c.d
 LEFT JOIN nodes p ON c.d > 0 AND p.d = c.d - 1 AND p.node = c.node[1 : c.d - 1]
 """
 
-SQL = {"op13_prefix_trie": PREFIX_TRIE}
+HARD_NEGATIVES = """
+WITH vectors AS (
+    SELECT
+        vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, list_inner_product(a.q, b.q)::BIGINT AS score
+    FROM vectors a JOIN vectors b ON b.vec_id <> a.vec_id
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT * FROM pairs WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT
+    p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INT AS rank,
+    n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.alike AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5
+"""
+
+SQL = {"op12_hard_negatives": HARD_NEGATIVES, "op13_prefix_trie": PREFIX_TRIE}

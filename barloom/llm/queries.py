@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import decode_documents, encode_documents
 from .frames import crc_of_id
+from .hard_negatives import hard_negatives
 from .language import fit_languages, identify
 from .language_model import score_texts
 from .neardup import near_duplicates
@@ -99,6 +100,12 @@ def op10_passages(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, after every seventh label has moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, folder, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     """Nodes of the prefix trie of all rebuilt conversations."""
     return conversation_trie(table(spark, folder, "conversations"))
@@ -115,5 +122,6 @@ QUERIES = {
     "op8_rules": op8_rules,
     "op9_pii": op9_pii,
     "op10_passages": op10_passages,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_prefix_trie": op13_prefix_trie,
 }
