@@ -20,10 +20,10 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="corpus-")
 
 
-def kept_table(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: later work restarts from its files."""
+def kept_table(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """df written to the shared folder, with options of the writer, and read again: later work restarts from its files."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

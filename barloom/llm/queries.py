@@ -22,6 +22,7 @@ from .prefix_trie import conversation_trie
 from .quality import fit_quality, score_quality
 from .rules import judge
 from .substrings import remove_substrings
+from .wrappers import extract
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -100,6 +101,11 @@ def op10_passages(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_wrappers(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(table(spark, folder, "pages"))
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """Hard negatives of every hundredth vector, after every seventh label has moved on by one."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -122,6 +128,7 @@ QUERIES = {
     "op8_rules": op8_rules,
     "op9_pii": op9_pii,
     "op10_passages": op10_passages,
+    "op11_wrappers": op11_wrappers,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_prefix_trie": op13_prefix_trie,
 }
