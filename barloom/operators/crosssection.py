@@ -74,7 +74,7 @@ def market_correlation(bars: DataFrame, cfg: Mapping | None = None, by: Sequence
 
 
 def peer_correlation(
-    bars: DataFrame, cfg: Mapping | None = None, panel: Sequence[str] | None = None, slices: int = 1
+    bars: DataFrame, cfg: Mapping | None = None, panel: Sequence[str] | None = None, tiles: int = 1
 ) -> DataFrame:
     """corr_ref2/3 with ids and the JSON list of neighbours, joined to the bars."""
     c = settings(CORR, cfg)
@@ -86,7 +86,7 @@ def peer_correlation(
         "topk": c["corr_topk_neighbors"],
         "min_abs": c["corr_topk_min_abs_corr"],
     }
-    found = top_peers(bars, chosen, panel or ("cluster_id", "anchor_tf", "dt"), slices)
+    found = top_peers(bars, chosen, panel or ("cluster_id", "anchor_tf", "dt"), tiles)
     refs = {}
     for slot, k in (("ref2", 0), ("ref3", 1)):
         refs[f"corr_{slot}_id"] = F.get("peers", F.lit(k))
@@ -225,7 +225,7 @@ def slow_correlation(
     cfg: Mapping | None = None,
     by: Sequence[str] = DAY,
     panel: Sequence[str] | None = None,
-    slices: int = 1,
+    tiles: int = 1,
 ) -> DataFrame:
     """corr_htf_* and htf_*: as the fast families, one long window, two peers."""
     c = settings(SLOW_CORR, cfg)
@@ -237,7 +237,7 @@ def slow_correlation(
         bars,
         {"window": w, "min_periods": m, "topk": 2, "min_abs": c["peer_min_abs"]},
         panel or ("cluster_id", "anchor_tf", "dt"),
-        slices,
+        tiles,
     )
     refs = {}
     for slot, k in (("ref2", 0), ("ref3", 1)):
@@ -342,7 +342,7 @@ def cross_ranks(bars: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
 
 
 def primary_hedge(
-    bars: DataFrame, cfg: Mapping | None = None, panel: Sequence[str] | None = None, slices: int = 1
+    bars: DataFrame, cfg: Mapping | None = None, panel: Sequence[str] | None = None, tiles: int = 1
 ) -> DataFrame:
     """xs_relval_primary_peer* and residual columns, joined to the bars.
 
@@ -357,7 +357,7 @@ def primary_hedge(
         "min_corr": c["xs_relval_primary_peer_min_corr"],
         "beta_ddof": c["beta_ddof"],
     }
-    found = primary_peer(bars, chosen, panel or ("cluster_id", "anchor_tf", "dt"), slices)
+    found = primary_peer(bars, chosen, panel or ("cluster_id", "anchor_tf", "dt"), tiles)
     named = found.select(
         "cluster_id",
         "anchor_tf",

@@ -148,12 +148,12 @@ def window_families(bars: DataFrame, cfg: Mapping[str, Mapping] | None = None, n
     return assemble(frames, ("instrument", "anchor_tf", "anchor_ts"), dedupe=False)
 
 
-def correlation_table(bars: DataFrame, universe: DataFrame, cfg: Mapping | None = None, slices: int = 1) -> DataFrame:
+def correlation_table(bars: DataFrame, universe: DataFrame, cfg: Mapping | None = None, tiles: int = 1) -> DataFrame:
     """features_corr: fast and slow correlation and relative value per (instrument, ts)."""
     cs = crosssection
     base = cs.with_market(cs.with_cluster(bars, universe))
-    out = cs.peer_correlation(cs.market_correlation(base, cfg), cfg, slices=slices)
+    out = cs.peer_correlation(cs.market_correlation(base, cfg), cfg, tiles=tiles)
     out = cs.volatility_correlation(cs.lagged_correlation(cs.correlation_state(out, cfg), cfg), cfg)
-    out = cs.slow_correlation(out, cfg, slices=slices)
-    out = cs.cross_ranks(cs.spread(cs.primary_hedge(out, cfg, slices=slices), cfg))
+    out = cs.slow_correlation(out, cfg, tiles=tiles)
+    out = cs.cross_ranks(cs.spread(cs.primary_hedge(out, cfg, tiles=tiles), cfg))
     return out.drop("open", "high", "low", "close", "volume", "ret", "market_ret", "xs_relval_residual")

@@ -445,7 +445,7 @@ def top_columns(df):
 
 @check("F-20", query(TOP_SQL, TOP_BODY, "corr_ref2 corr_ref3"))
 def _(d):
-    return top_columns(cs.peer_correlation(market(d), CORR, PANEL, slices=4))
+    return top_columns(cs.peer_correlation(market(d), CORR, PANEL, tiles=4))
 
 
 CONT_SQL = f"""{D1}, rets AS (SELECT *, 0 AS z, {ret(BY_ALL)} AS ret FROM bars), {pair_sql(60, 15, 'z')},
@@ -609,7 +609,7 @@ stats AS (SELECT ts, a, any_value(b) AS b, any_value(i) AS i, any_value(rho) AS
 )
 def _(d):
     cfg = {"xs_relval_coint_window_bars": 120, "xs_relval_primary_peer_min_corr": 0.2}
-    out = cs.primary_hedge(market(d), cfg, PANEL, slices=4)
+    out = cs.primary_hedge(market(d), cfg, PANEL, tiles=4)
     return out.select(*KEYS, *[c for c in out.columns if c.startswith("xs_relval")])
 
 

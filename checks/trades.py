@@ -140,7 +140,7 @@ def _(d):
 
 @check("J-10", query(VOL_SQL, f"SELECT {K}, id2 AS corr_ref2_id, {corr_sql('vol', 'v2', 20)} AS corr_vol_ref2 FROM peer", "corr_vol_ref2"))
 def _(d):
-    out = cs.volatility_correlation(cs.peer_correlation(market(d), CORR, PANEL, slices=3), CORR, YEAR)
+    out = cs.volatility_correlation(cs.peer_correlation(market(d), CORR, PANEL, tiles=3), CORR, YEAR)
     return out.select(*KEYS, "corr_ref2_id", "corr_vol_ref2")
 
 
@@ -149,7 +149,7 @@ def _(d):
     from barloom.operators.peers import top_peers
 
     # Every pair of the panel is looked at; what leaves a task is the list per instrument.
-    out = top_peers(market(d), {"window": 50, "min_periods": 12, "topk": 24, "min_abs": 0.4}, PANEL, slices=5)
+    out = top_peers(market(d), {"window": 50, "min_periods": 12, "topk": 24, "min_abs": 0.4}, PANEL, tiles=5)
     total_corr = F.aggregate("corrs", F.lit(0.0), lambda s, x: s + x)
     return out.where(F.size("peers") > 0).select("instrument", "ts", F.size("peers").cast("long").alias("n"), total_corr.alias("total"))
 

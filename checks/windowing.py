@@ -148,7 +148,7 @@ def _(d):
     from barloom.operators.peers import top_peers
 
     cfg = {"window": 50, "min_periods": 12, "topk": 5, "min_abs": 0.4}
-    out = top_peers(market(d), cfg, PANEL, slices=2)
+    out = top_peers(market(d), cfg, PANEL, tiles=2)
     ranked = out.select("instrument", "ts", F.posexplode(F.arrays_zip("peers", "corrs")).alias("k", "p"))
     return ranked.select("instrument", "ts", F.col("p.peers").alias("peer"), F.col("p.corrs").alias("corr"), (F.col("k") + 1).cast("long").alias("place"))
 
@@ -157,7 +157,7 @@ def _(d):
 def _(d):
     from barloom.operators.peers import primary_peer
 
-    out = primary_peer(market(d), {"window": 50, "min_periods": 12, "min_corr": 0.0}, PANEL, slices=2)
+    out = primary_peer(market(d), {"window": 50, "min_periods": 12, "min_corr": 0.0}, PANEL, tiles=2)
     return out.where("peer is not null").select("instrument", "ts", "peer", "corr")
 
 
