@@ -7,9 +7,9 @@ exchange and one sort.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -98,6 +98,56 @@ class Rows:
         )
 
 
+def long_frames(
+    df: DataFrame,
+    frames: Mapping[str, tuple[str, Column, int, int | None]],
+    by: Sequence[str] = DAY,
+    order: Sequence[str] = ("ts",),
+) -> DataFrame:
+    """Means and deviations over the last n rows at a cost that doesn't depend on n.
+
+    frames: out → ("mean" or "std", x, n, m), as Rows.mean and Rows.std. Rows are cut
+    into blocks of n; a frame is the end of one block and the start of the next, so
+    that running counts, means and variances from both sides are merged and nothing
+    is ever subtracted. ``by`` groups must be bounded, as for any window.
+    """
+    spec = W.partitionBy(*by).orderBy(*order)
+    sizes = sorted({n for _, _, n, _ in frames.values()})
+    df = df.withColumn("_at", F.row_number().over(spec) - 1).withColumns({f"_at{n}": F.floor(F.col("_at") / n) for n in sizes})
+    inputs = {}  # each (x, n) once
+    for kind, x, n, _ in frames.values():
+        name, held = inputs.setdefault((str(x), n), (f"_w{len(inputs)}", [x, False]))
+        held[1] |= kind == "std"
+    columns = {}
+    for (_, n), (name, (x, deviations)) in inputs.items():
+        inside = W.partitionBy(*by, f"_at{n}")
+        for side, order_by in (("a", [F.col(c) for c in order]), ("b", [F.col(c).desc() for c in order])):
+            frame = inside.orderBy(*order_by).rowsBetween(W.unboundedPreceding, 0)
+            columns |= {f"{name}{side}n": F.count(x).over(frame), f"{name}{side}m": F.avg(x).over(frame)}
+            if deviations:
+                columns[f"{name}{side}v"] = F.var_pop(x).over(frame)
+    df = df.withColumns(columns)
+    earlier = {}
+    for (_, n), (name, (_, deviations)) in inputs.items():
+        reaches = (F.col("_at") >= n) & (F.col("_at") % n != n - 1)  # else the block's start is all
+        for part in "nmv" if deviations else "nm":
+            earlier[f"{name}b{part}"] = F.when(reaches, F.lag(f"{name}b{part}", n - 1).over(spec)) if n > 1 else F.lit(None).cast("double")
+    df = df.withColumns(earlier)
+    out = {}
+    for result, (kind, x, n, m) in frames.items():
+        name = inputs[str(x), n][0]
+        parts = {side + part: F.coalesce(F.col(name + side + part), F.lit(0.0)) for side in "ab" for part in ("nmv" if kind == "std" else "nm")}
+        count = parts["an"] + parts["bn"]
+        if kind == "mean":
+            value, least = (parts["an"] * parts["am"] + parts["bn"] * parts["bm"]) / count, n if m is None else m
+        else:
+            gap = parts["am"] - parts["bm"]
+            squares = parts["an"] * parts["av"] + parts["bn"] * parts["bv"] + gap * gap * parts["an"] * parts["bn"] / count
+            value, least = F.sqrt(squares / (count - 1)), max(2, n if m is None else m)
+        out[result] = F.when((count >= least) & (count >= (2 if kind == "std" else 1)), value)
+    return df.withColumns(out).drop("_at", *[f"_at{n}" for n in sizes], *columns)
+
+
 def average_rank(x: Column, by: Sequence[str]) -> Column:
     """Rank with ties averaged; null stays null and takes no rank."""
     ordered = W.partitionBy(*by).orderBy(x.asc_nulls_last())

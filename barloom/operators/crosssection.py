@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expr import clip, safe_div, settings
-from ..functions.rolling import DAY, Rows, scaled_rank
+from ..functions.rolling import DAY, Rows, long_frames, scaled_rank
 from .peers import neighbours_json, primary_peer, top_peers
 
 STAMP = ("cluster_id", "anchor_tf", "ts")
@@ -230,9 +230,14 @@ def slow_correlation(
     """corr_htf_* and htf_*: as the fast families, one long window, two peers."""
     c = settings(SLOW_CORR, cfg)
     w, m, cut = max(5, c["corr_htf_window_bars"]), c["corr_htf_min_periods"], c["corr_htf_clip_abs"]
-    rows = Rows(by)
-    raw = _mixed_corr(rows, F.col("ret"), F.col("market_ret"), w)
-    out = bars.withColumns({"corr_htf_ref1": clip(raw, -cut, cut), "corr_htf_ref1_id": F.lit("MARKET")})
+    x, y = F.col("ret"), F.col("market_ret")
+    out = long_frames(
+        bars,
+        {"_xy": ("mean", x * y, w, None), "_x": ("mean", x, w, None), "_y": ("mean", y, w, None), "_sx": ("std", x, w, None), "_sy": ("std", y, w, None)},
+        by,
+    )
+    raw = safe_div(F.col("_xy") - F.col("_x") * F.col("_y"), F.col("_sx") * F.col("_sy"), None)
+    out = out.withColumns({"corr_htf_ref1": clip(raw, -cut, cut), "corr_htf_ref1_id": F.lit("MARKET")}).drop("_xy", "_x", "_y", "_sx", "_sy")
     found = top_peers(
         bars,
         {"window": w, "min_periods": m, "topk": 2, "min_abs": c["peer_min_abs"]},
@@ -249,12 +254,11 @@ def slow_correlation(
         ref1.isNotNull(),
         F.when(F.abs(ref1) < 0.2, "unstable").when(ref1 >= 0, "aligned").otherwise("divergent"),
     )
-    out = out.withColumns(
+    out = long_frames(out, {"_std": ("std", ref1, w, m)}, by).withColumns(
         {
             "htf_corr_regime": regime,
             "htf_corr_confidence": F.abs(ref1),
             "corr_cluster_confidence_htf": F.abs(ref1),
-            "_std": rows.std(ref1, w, m),
         }
     )
     stable = c["corr_htf_cluster_stability_cut"]

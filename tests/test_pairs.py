@@ -154,3 +154,17 @@ def test_repeated_keys_and_empty(spark):
         alike = [sorted(map(str, top_peers(x, c, tiles=tiles).collect())) for x in (df, spark.createDataFrame(rows, SHAPE))]
         assert alike[0] == alike[1]
         assert top_peers(df.limit(0), c, tiles=tiles).collect() == [] and primary_peer(df.limit(0), {"window": 10, "min_periods": 4}, tiles=tiles).collect() == []
+
+
+@pytest.mark.parametrize("n, m", [(1, 1), (4, None), (4, 2), (9, 5), (60, 3), (200, 2)])
+def test_long_frames_as_plain_ones(spark, n, m):
+    from barloom.functions.rolling import Rows, long_frames
+
+    df = spark.createDataFrame(rows_of(series(6, names=3, bars=61)), SHAPE).withColumn("ret", F.col("ret") + 1e6)
+    by = ("instrument", "dt")
+    out = long_frames(df, {"mean": ("mean", F.col("ret"), n, m), "std": ("std", F.col("ret"), n, m)}, by)
+    rows = Rows(by)
+    out = out.select("mean", "std", rows.mean(F.col("ret"), n, m).alias("mean_"), rows.std(F.col("ret"), n, m).alias("std_"))
+    for r in out.collect():
+        for got, want in ((r["mean"], r["mean_"]), (r["std"], r["std_"])):
+            assert (got is None) == (want is None) and (got is None or got == pytest.approx(want, rel=1e-9, abs=1e-12))
