@@ -118,15 +118,17 @@ def long_frames(
     for kind, x, n, _ in frames.values():
         name, held = inputs.setdefault((str(x), n), (f"_w{len(inputs)}", [x, False]))
         held[1] |= kind == "std"
-    columns = {}
+    first, columns = {}, {}
     for (_, n), (name, (x, deviations)) in inputs.items():
         inside = W.partitionBy(*by, f"_at{n}")
         for side, order_by in (("a", [F.col(c) for c in order]), ("b", [F.col(c).desc() for c in order])):
             frame = inside.orderBy(*order_by).rowsBetween(W.unboundedPreceding, 0)
             columns |= {f"{name}{side}n": F.count(x).over(frame), f"{name}{side}m": F.avg(x).over(frame)}
-            if deviations:
-                columns[f"{name}{side}v"] = F.var_pop(x).over(frame)
-    df = df.withColumns(columns)
+            if deviations:  # means as distances from a row's value, so that equal values give exactly that value
+                first[f"{name}{side}f"] = F.first(x, ignorenulls=True).over(frame)
+                own = F.col(f"{name}{side}f")
+                columns |= {f"{name}{side}m": F.avg(x - own).over(frame) + own, f"{name}{side}v": F.var_pop(x).over(frame)}
+    df = df.withColumns(first).withColumns(columns)
     earlier = {}
     for (_, n), (name, (_, deviations)) in inputs.items():
         reaches = (F.col("_at") >= n) & (F.col("_at") % n != n - 1)  # else the block's start is all
@@ -138,6 +140,8 @@ def long_frames(
         name = inputs[str(x), n][0]
         parts = {side + part: F.coalesce(F.col(name + side + part), F.lit(0.0)) for side in "ab" for part in ("nmv" if kind == "std" else "nm")}
         count = parts["an"] + parts["bn"]
+        # a side without rows counts for nothing
+        parts |= {"am": F.when(parts["an"] > 0, parts["am"]).otherwise(parts["bm"]), "bm": F.when(parts["bn"] > 0, parts["bm"]).otherwise(parts["am"])}
         if kind == "mean":
             value, least = (parts["an"] * parts["am"] + parts["bn"] * parts["bm"]) / count, n if m is None else m
         else:
@@ -145,7 +149,7 @@ def long_frames(
             squares = parts["an"] * parts["av"] + parts["bn"] * parts["bv"] + gap * gap * parts["an"] * parts["bn"] / count
             value, least = F.sqrt(squares / (count - 1)), max(2, n if m is None else m)
         out[result] = F.when((count >= least) & (count >= (2 if kind == "std" else 1)), value)
-    return df.withColumns(out).drop("_at", *[f"_at{n}" for n in sizes], *columns)
+    return df.withColumns(out).drop("_at", *[f"_at{n}" for n in sizes], *first, *columns)
 
 
 def average_rank(x: Column, by: Sequence[str]) -> Column:
