@@ -13,6 +13,7 @@ from ..functions.expr import SENTINEL, coalesce_present, column_or, is_blank, js
 from ..functions.timegrid import is_aligned, micros, snap_by
 from .bars import keep_first
 from .conform import EVAL_KEYS, RunContext, fill_evaluation, normalise_evaluation, union_all
+from .passage import CELL_US, first_passages
 from .windows import row_order
 
 # Where side, entry and exit prices are looked for, in order.
@@ -514,25 +515,6 @@ def fill_entry_price(
     return joined.withColumn("entry_px", F.coalesce("entry_px", "_next")).select(*orders.columns)
 
 
-def _bars_after_entry(orders: DataFrame, candles: DataFrame) -> DataFrame:
-    """Each order with the candles of its day and timeframe from the entry on."""
-    bars = candles.select(
-        "instrument",
-        F.col("tf").alias("tf_entry"),
-        F.to_date("ts").alias("_day"),
-        F.col("ts").alias("_ts"),
-        F.col("open").alias("_open"),
-        F.col("high").alias("_high"),
-        F.col("low").alias("_low"),
-        F.col("close").alias("_close"),
-    )
-    wanted = orders.withColumn("_day", F.to_date("entry_ts"))
-    return wanted.join(bars, ["instrument", "tf_entry", "_day"]).where(F.col("_ts") >= F.col("entry_ts")).drop("_day")
-
-
-CELL_US = 600_000_000
-
-
 def _touches(side: Column, high: Column, low: Column) -> tuple[Column, Column]:
     """Whether prices between low and high reach the target, and the stop."""
     target = F.when(side == "long", high >= F.col("tp_px")).otherwise(low <= F.col("tp_px"))
@@ -655,30 +637,24 @@ def fill_rows(outcomes: DataFrame) -> DataFrame:
 
 
 def excursions(orders: DataFrame, candles: DataFrame) -> DataFrame:
-    """Bars to 1R and 2R, largest adverse and favourable move in R, over the bars after entry.
+    """Bars to 1R and 2R, largest adverse and favourable move in R, over the bars of the day after entry.
 
     One R is |entry - stop|; a zero or unknown R leaves the measures null.
     """
-    keys = [k for k in ("trade_id", *EVAL_KEYS, "instrument") if k in orders.columns]
-    pairs = _bars_after_entry(orders, candles)
     risk = F.abs(F.col("entry_px") - F.col("sl_px"))
     long = F.col("side") == "long"
-    gain = F.when(long, F.col("_high") - F.col("entry_px")).otherwise(F.col("entry_px") - F.col("_low"))
-    loss = F.when(long, F.col("entry_px") - F.col("_low")).otherwise(F.col("_high") - F.col("entry_px"))
-    at = W.partitionBy(*keys).orderBy("_ts")
-    pairs = pairs.withColumns(
-        {"_n": F.row_number().over(at) - 1, "_gain": safe_div(gain, risk, None), "_loss": safe_div(loss, risk, None)}
-    )
-    found = pairs.groupBy(*keys).agg(
-        F.min(F.when(F.col("_gain") >= 1.0, F.col("_n"))).cast("long").alias("time_to_1R_bars"),
-        F.min(F.when(F.col("_gain") >= 2.0, F.col("_n"))).cast("long").alias("time_to_2R_bars"),
-        F.greatest(F.max("_loss"), F.lit(0.0)).alias("_mae"),
-        F.greatest(F.max("_gain"), F.lit(0.0)).alias("_mfe"),
-        F.count("_gain").alias("_known"),
-    )
-    known = F.col("_known") > 0
-    found = found.withColumns({"mae_R": F.when(known, F.col("_mae")), "mfe_R": F.when(known, F.col("_mfe"))})
-    return orders.join(found.drop("_mae", "_mfe", "_known"), keys, "left")
+
+    def gain(high: Column, low: Column) -> Column:
+        return safe_div(F.when(long, high - F.col("entry_px")).otherwise(F.col("entry_px") - low), risk, None)
+
+    def loss(high: Column, low: Column) -> Column:
+        return safe_div(F.when(long, F.col("entry_px") - low).otherwise(high - F.col("entry_px")), risk, None)
+
+    levels = {"time_to_1R_bars": 1.0, "time_to_2R_bars": 2.0}
+    found = first_passages(orders, candles, F.col("entry_ts"), gain, levels, {"_mae": loss, "_mfe": gain})
+    known = F.col("_mfe").isNotNull()
+    measures = {"mae_R": F.when(known, F.greatest("_mae", F.lit(0.0))), "mfe_R": F.when(known, F.greatest("_mfe", F.lit(0.0)))}
+    return found.withColumns(measures).drop("_mae", "_mfe")
 
 
 def attach_evaluation(df: DataFrame, source: DataFrame) -> DataFrame:
