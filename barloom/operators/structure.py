@@ -180,23 +180,37 @@ def fair_value_gap(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str
     ).drop("_bull", "_lower", "_upper", "_impulse", "_body", "_gap")
 
 
-def _with_reach(bars: DataFrame, c: Mapping, by: Sequence[str]) -> DataFrame:
-    """Extremes of each bar and the follow-through bars after it."""
+def _bars_ahead(bars: DataFrame, c: Mapping, by: Sequence[str], more: Mapping[str, Column] | None = None) -> DataFrame:
+    """by, _j, _h, _l, _a, the extremes of each bar and the follow-through bars after it, and more columns."""
     here = Rows(by).around(0, max(0, c["displacement_followthrough_bars"]))
-    return bars.withColumns({"_max_next": F.max("high").over(here), "_min_next": F.min("low").over(here)})
+    shown = {"_j": row_no(), "_h": px_high(), "_l": px_low(), "_a": px_atr(), "_max_next": F.max("high").over(here), "_min_next": F.min("low").over(here)}
+    return bars.select(*by, *[x.alias(name) for name, x in {**shown, **(more or {})}.items()])
 
 
-def _later_rows(origin: DataFrame, row: str, later: DataFrame, by: Sequence[str], reach: int) -> DataFrame:
-    """Pairs of origin rows with the rows up to ``reach`` after them.
+#: Bars of a series packed into one row.
+PACK = 64
 
-    Row blocks of that size are part of the join key, so an origin meets two
-    blocks of rows and not its whole series.
+
+def _later_cells(origin: DataFrame, row: str, later: DataFrame, by: Sequence[str], reach: int, may: Column) -> DataFrame:
+    """Origin rows with the packs of bars among the ``reach`` after them that may matter.
+
+    later: by, _j and what else a bar shows; a pack has the bars of PACK row numbers in order, _bars, and their
+    extremes _pack_high, _pack_low, _pack_run_low, _pack_run_high. An origin meets a few packs, never its single bars;
+    ``may`` is decided on the extremes.
     """
-    first = F.floor(F.col(row) / reach)
-    left = origin.withColumn("_blk", F.explode(F.array(first, first + 1)))
-    right = later.withColumn("_blk", F.floor(F.col("_j") / reach))
-    inside = (F.col("_j") > F.col(row)) & (F.col("_j") <= F.col(row) + reach)
-    return left.join(right, [*by, "_blk"]).where(inside).drop("_blk")
+    bars = [c for c in later.columns if c not in by]
+    packs = later.groupBy(*by, F.floor(F.col("_j") / PACK).alias("_pack")).agg(
+        F.sort_array(F.collect_list(F.struct(*bars))).alias("_bars"),
+        F.max("_h").alias("_pack_high"),
+        F.min("_l").alias("_pack_low"),
+        *([F.min("_run_max").alias("_pack_run_low"), F.max("_run_min").alias("_pack_run_high")] if "_run_max" in bars else []),
+    )
+    span = F.sequence(F.floor((F.col(row) + 1) / PACK), F.floor((F.col(row) + reach) / PACK))
+    return origin.withColumn("_pack", F.explode(span)).join(packs, [*by, "_pack"]).where(may).drop("_pack")
+
+
+def _first(bars: Column) -> Column:
+    return F.get(bars, F.lit(0))
 
 
 def gap_fills(gaps: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
@@ -206,39 +220,31 @@ def gap_fills(gaps: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = D
 
 
 def fill_measures(gaps: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
-    """Largest fill, first touch and reaction per gap, keyed by the gap's row.
-
-    Only gap rows are joined to the later bars of their series, and each joined
-    pair is reduced to the gap at once.
-    """
+    """Largest fill, first touch and reaction per gap, keyed by the gap's row; gaps that nothing reaches have no row."""
     c = settings(STRUCTURE, cfg)
     by = list(by)
-    later = _with_reach(gaps, c, by).select(
-        *by,
-        F.col("_row").alias("_j"),
-        F.col("high").alias("_h"),
-        F.col("low").alias("_l"),
-        F.col("atr_anchor").alias("_a"),
-        "_max_next",
-        "_min_next",
-    )
+    later = _bars_ahead(gaps, c, by)
     origin = gaps.where(F.col("fvg_direction") != "none").select(
         *by, "_row", "fvg_direction", "fvg_upper", "fvg_lower"
     )
     reach = c["fvg_max_origin_age_bars"]
-    pairs = _later_rows(origin, "_row", later, by, reach)
     upper, lower = F.col("fvg_upper"), F.col("fvg_lower")
-    overlap = F.greatest(F.lit(0.0), F.least(F.col("_h"), upper) - F.greatest(F.col("_l"), lower))
-    part = overlap / (upper - lower)
     bull = F.col("fvg_direction") == "bull"
-    touch = F.when(bull, F.least(F.col("_h"), upper)).otherwise(F.greatest(F.col("_l"), lower))
-    reaction = F.when(bull, F.col("_max_next") - touch).otherwise(touch - F.col("_min_next"))
-    reacted = (F.col("_a") > EPS) & (reaction >= c["fvg_min_reaction_atr"] * F.col("_a"))
-    seen = F.when(part > 0, F.col("_j"))
-    return pairs.groupBy(*by, "_row").agg(
-        F.max(part).alias("_fill"),
-        F.min(seen).alias("_touch"),
-        F.min_by(reacted.cast("int"), seen).alias("_reacted"),
+    met = _later_cells(origin, "_row", later, by, reach, (F.col("_pack_low") < upper) & (F.col("_pack_high") > lower))
+
+    def part(b: Column) -> Column:
+        return F.greatest(F.lit(0.0), F.least(b["_h"], upper) - F.greatest(b["_l"], lower)) / (upper - lower)
+
+    inside = F.filter("_bars", lambda b: (b["_j"] > row_no()) & (b["_j"] <= row_no() + reach) & (part(b) > 0))
+    met = met.withColumn("_bars", inside).where(F.size("_bars") > 0)
+    first = _first(F.col("_bars"))
+    touch = F.when(bull, F.least(first["_h"], upper)).otherwise(F.greatest(first["_l"], lower))
+    reaction = F.when(bull, first["_max_next"] - touch).otherwise(touch - first["_min_next"])
+    reacted = (first["_a"] > EPS) & (reaction >= c["fvg_min_reaction_atr"] * first["_a"])
+    return met.groupBy(*by, "_row").agg(
+        F.max(F.array_max(F.transform("_bars", part))).alias("_fill"),
+        F.min(first["_j"]).alias("_touch"),
+        F.min_by(reacted.cast("int"), first["_j"]).alias("_reacted"),
     )
 
 
@@ -334,40 +340,39 @@ def block_measures(blocks: DataFrame, cfg: Mapping | None = None, by: Sequence[s
     by = list(by)
     confirm = c["ob_breaker_confirm_bars"]
     origin = blocks.where(F.col("_ob_row").isNotNull()).select(*by, "_ob_row", "ob_type", "ob_high", "ob_low").distinct()
-    later = _with_reach(blocks, c, by).select(
-        *by,
-        F.col("_row").alias("_j"),
-        F.col("ts").alias("_jts"),
-        F.col("high").alias("_h"),
-        F.col("low").alias("_l"),
-        F.col("close").alias("_c"),
-        F.col("atr_anchor").alias("_a"),
-        "_max_next",
-        "_min_next",
-    )
-    pairs = _later_rows(origin, "_ob_row", later, by, c["ob_max_origin_age_bars"])
+    run = Rows(by).last(max(1, confirm))
+    whole = F.count("close").over(run) == max(1, confirm)
+    runs = {"_run_max": F.when(whole, F.max("close").over(run)), "_run_min": F.when(whole, F.min("close").over(run)), "_run_ts": F.first("ts").over(run)}
+    later = _bars_ahead(blocks, c, by, runs)
+    reach = c["ob_max_origin_age_bars"]
     bull = F.col("ob_type") == "bullish"
-    top, bottom = F.col("ob_high"), F.col("ob_low")
-    beyond = F.when(bull, F.col("_c") < bottom).otherwise(F.col("_c") > top)
-    touched = (F.col("_l") <= top) & (F.col("_h") >= bottom)
-    price = F.when(bull, F.least(F.col("_h"), top)).otherwise(F.greatest(F.col("_l"), bottom))
-    reaction = F.when(bull, F.col("_max_next") - price).otherwise(price - F.col("_min_next"))
-    reacted = (F.col("_a") > EPS) & (reaction >= c["ob_min_reaction_atr"] * F.col("_a"))
-    key = [*by, "_ob_row", "ob_type"]
-    recent = W.partitionBy(*key).orderBy("_j").rowsBetween(-(max(1, confirm) - 1), 0)
-    pairs = pairs.withColumns({"_beyond": beyond.cast("int"), "_seen": F.when(touched, F.col("_j"))})
-    pairs = pairs.withColumns(
+    top, bottom, row = F.col("ob_high"), F.col("ob_low"), F.col("_ob_row")
+    near = (F.col("_pack_low") <= top) & (F.col("_pack_high") >= bottom)
+    beyond = F.when(bull, F.col("_pack_run_low") < bottom).otherwise(F.col("_pack_run_high") > top)
+    met = _later_cells(origin, "_ob_row", later, by, reach, F.coalesce(near, F.lit(False)) | F.coalesce(beyond, F.lit(False)))
+    inside = F.filter("_bars", lambda b: (b["_j"] > row) & (b["_j"] <= row + reach))
+    met = met.withColumn("_bars", inside)
+    met = met.withColumns(
         {
-            "_broken": F.when(F.sum("_beyond").over(recent) >= max(1, confirm), F.col("_j")),
-            "_start": F.first("_jts").over(recent),
-            "_ok": reacted.cast("int"),
+            "_seen": _first(F.filter("_bars", lambda b: (b["_l"] <= top) & (b["_h"] >= bottom))),
+            # the whole run of closes comes after the block
+            "_broken": _first(
+                F.filter(
+                    "_bars",
+                    lambda b: (b["_j"] >= row + max(1, confirm)) & F.when(bull, b["_run_max"] < bottom).otherwise(b["_run_min"] > top),
+                )
+            ),
         }
     )
-    return pairs.groupBy(*key).agg(
-        F.min("_seen").alias("_ob_touch"),
-        F.min_by("_ok", "_seen").alias("_ob_reacted"),
-        F.min("_broken").alias("_ob_break"),
-        F.min_by("_start", "_broken").alias("_ob_break_ts"),
+    seen = F.col("_seen")
+    price = F.when(bull, F.least(seen["_h"], top)).otherwise(F.greatest(seen["_l"], bottom))
+    reaction = F.when(bull, seen["_max_next"] - price).otherwise(price - seen["_min_next"])
+    reacted = (seen["_a"] > EPS) & (reaction >= c["ob_min_reaction_atr"] * seen["_a"])
+    return met.groupBy(*by, "_ob_row", "ob_type").agg(
+        F.min(seen["_j"]).alias("_ob_touch"),
+        F.min_by(reacted.cast("int"), seen["_j"]).alias("_ob_reacted"),
+        F.min(F.col("_broken")["_j"]).alias("_ob_break"),
+        F.min_by(F.col("_broken")["_run_ts"], F.col("_broken")["_j"]).alias("_ob_break_ts"),
     )
 
 

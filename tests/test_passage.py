@@ -85,3 +85,44 @@ def test_rows_stay_in_proportion(spark):
     assert r[0] == 20_000 and r[1] > 15_000 and r[2] > 10_000 and time.time() - start < 60
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_block_measures_as_a_walk(spark):
+    """Packs of bars against every later bar, with gaps over pack borders, null closes and a reach of several packs."""
+    from barloom.operators.structure import block_measures
+
+    rng = random.Random(9)
+    by = ("instrument", "anchor_tf", "dt")
+    for confirm, reach in ((2, 300), (1, 70), (3, 64), (0, 20)):
+        price, bars = 100.0, []
+        for i in range(500):
+            price += rng.gauss(0, 0.3)
+            close = None if rng.random() < 0.03 else price
+            bars.append([i, price + rng.random(), price - rng.random(), close, 0.5])
+        blocks = {}
+        for i in range(0, 480, 3):
+            blocks[i + rng.randrange(1, 4)] = (i, rng.choice(["bullish", "bearish"]), bars[i][1], bars[i][2])
+        rows = []
+        for i, h, low, c, a in bars:
+            o, kind, top, bottom = blocks.get(i, (None, "none", None, None))
+            rows.append(("A", "M1", "d", DAY + dt.timedelta(minutes=i), i, h, low, c, a, o, kind, top, bottom))
+        df = spark.createDataFrame(rows, "instrument string, anchor_tf string, dt string, ts timestamp_ntz, _row long, high double, low double, close double, atr_anchor double, _ob_row long, ob_type string, ob_high double, ob_low double")
+        cfg = {"ob_max_origin_age_bars": reach, "ob_breaker_confirm_bars": confirm}
+        measured = block_measures(df.repartition(3), cfg)
+        plan = measured._jdf.queryExecution().executedPlan().toString()
+        assert not any("Window" in line and "_ob_row" in line.split("windowspec")[0] for line in plan.splitlines() if "Window [" in line and "_ob_row" in line)
+        got = {(r["_ob_row"], r["ob_type"]): (r["_ob_touch"], r["_ob_reacted"], r["_ob_break"], r["_ob_break_ts"]) for r in measured.collect()}
+        n = max(1, confirm)
+        for o, kind, top, bottom in blocks.values():
+            bull = kind == "bullish"
+            later = bars[o + 1 : o + reach + 1]
+            touch = next((b for b in later if b[2] <= top and b[1] >= bottom), None)
+            out = [b[3] is not None and (b[3] < bottom if bull else b[3] > top) for b in later]
+            broken = next((k for k in range(n - 1, len(out)) if all(out[k - n + 1 : k + 1])), None)
+            reacted = None
+            if touch:
+                ahead = bars[touch[0] : touch[0] + 3]
+                move = max(b[1] for b in ahead) - min(touch[1], top) if bull else max(touch[2], bottom) - min(b[2] for b in ahead)
+                reacted = int(move >= 0.3 * 0.5)
+            want = (touch and touch[0], reacted, None if broken is None else later[broken][0], None if broken is None else DAY + dt.timedelta(minutes=later[broken - n + 1][0]))
+            assert got.get((o, kind), (None,) * 4) == want, (o, kind, confirm)
