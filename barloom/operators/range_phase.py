@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import policy_ids, safe_div, settings
+from ..functions.fold import let, scanned
 from ..functions.rolling import DAY, Rows
 
 RANGE_PHASE = {
@@ -243,6 +244,92 @@ FOLD_INPUT = (
 )
 
 
+def phase_step(c: Mapping):
+    """``step`` as a column expression over (state, bar)."""
+
+    def move(s, b):
+        flag = {n: F.coalesce(b[n], F.lit(False)) for n in ("inside", "probe_low", "probe_high", "reclaim_from_low", "reclaim_from_high")}
+        width, phase = b["dr_width_atr"], s["phase"]
+        accepted = F.greatest(s["up_run"], s["down_run"]) >= c["accept_bars_min"]
+        ready = (width >= c["width_min_atr"]) & (b["inside_ratio"] >= c["p_inside_min"]) & (b["tests_count"] >= c["tests_min"])
+        back = F.when(s["probe_side"] == "LOW", flag["reclaim_from_low"]).otherwise(flag["reclaim_from_high"])
+        reason = (
+            F.when(phase.isNull(), F.when(ready, "ENTER_B_RANGE_VALID"))
+            .when(
+                phase == "B",
+                F.when(width < c["width_min_atr"], "RESET_RANGE_INVALID")
+                .when(accepted, "EXIT_B_ACCEPTED_BREAK")
+                .when(flag["probe_low"] | flag["probe_high"], "ENTER_C_PROBE")
+                .otherwise("STAY_B_AUCTION_IN_RANGE"),
+            )
+            .when(
+                phase == "C",
+                F.when(accepted, "EXIT_C_ACCEPTED_BREAK")
+                .when(back, "EXIT_C_RECLAIMED")
+                .when(s["probe_age"] + 1 > c["reclaim_bars_max"], "EXIT_C_TIMEOUT")
+                .otherwise("STAY_C_PROBE"),
+            )
+            .when(
+                phase == "D",
+                F.when(s["trend_run"] >= c["trend_bars_min"], "EXIT_D_TREND_ESTABLISHED").when(flag["inside"], "REENTER_B_FROM_D").otherwise("STAY_D_ACCEPTED"),
+            )
+            .otherwise(F.when(flag["inside"], "REENTER_B_FROM_E").otherwise("STAY_E_TREND"))
+        )
+        return let(reason, lambda why: moved(s, b, why, flag))
+
+    def moved(s, b, why, flag):
+        none, enter, reset, probe = F.lit(None), why == "ENTER_B_RANGE_VALID", why == "RESET_RANGE_INVALID", why == "ENTER_C_PROBE"
+        leave_c = why.isin("EXIT_C_ACCEPTED_BREAK", "EXIT_C_RECLAIMED", "EXIT_C_TIMEOUT")
+        phase = (
+            F.when(reset, none.cast("string"))
+            .when(enter | why.isin("EXIT_C_RECLAIMED", "EXIT_C_TIMEOUT", "REENTER_B_FROM_D", "REENTER_B_FROM_E"), "B")
+            .when(probe, "C")
+            .when(why.isin("EXIT_B_ACCEPTED_BREAK", "EXIT_C_ACCEPTED_BREAK"), "D")
+            .when(why == "EXIT_D_TREND_ESTABLISHED", "E")
+            .otherwise(s["phase"])
+        )
+        side = F.when(probe, F.when(flag["probe_low"], "LOW").otherwise("HIGH")).when(~(reset | leave_c) | why.isNull(), s["probe_side"])
+        probe_age = F.when(reset | probe, 0).when(s["phase"] == "C", s["probe_age"] + 1).otherwise(s["probe_age"])
+        fields = {
+            "phase": phase,
+            "number": s["number"] + F.when(enter, 1).otherwise(0),
+            "start": F.when(enter, b["us"]).when(reset, none.cast("long")).otherwise(s["start"]),
+            "age": F.when(enter | reset, 0).otherwise(s["age"]),
+            "probe_side": side,
+            "probe_age": probe_age,
+            **{n: s[n] for n in ("up_run", "down_run", "trend_run")},
+        }
+        return let(F.struct(*[v.alias(k) for k, v in fields.items()]).cast(STATE_TYPE), lambda t: shown(t, why))
+
+    def shown(t, why):
+        live = t["phase"].isNotNull()
+        aged = F.struct(*[(t[n] + live.cast("int") if n == "age" else t[n]).alias(n) for n in STATE_FIELDS]).cast(STATE_TYPE)
+        out = {
+            "fold_phase": t["phase"], "fold_number": F.when(live, t["number"]), "fold_start_us": t["start"], "fold_age": F.when(live, t["age"] + 1),
+            "fold_probe_side": F.when(t["phase"] == "C", t["probe_side"]), "fold_reason": why, **{n: t[n] for n in ("up_run", "down_run", "trend_run")},
+        }
+        return F.struct(aged.alias("state"), F.struct(*[v.alias(k) for k, v in out.items()]).cast(PHASE_TYPE).alias("result"))
+
+    def bar(s, b):
+        def run(n, flag):
+            return F.when(b[flag], s[n] + 1).otherwise(0)
+
+        counted = {**{n: s[n] for n in STATE_FIELDS}, "up_run": run("up_run", "outside_up"), "down_run": run("down_run", "outside_dn"), "trend_run": run("trend_run", "trend_far")}
+        after = let(F.struct(*[v.alias(k) for k, v in counted.items()]).cast(STATE_TYPE), lambda t: move(t, b))
+        idle = F.struct(s.alias("state"), F.lit(None).cast(PHASE_TYPE).alias("result"))
+        return F.when(b["dr_high"].isNull(), idle).otherwise(after)
+
+    return bar
+
+
+def _struct(schema: str) -> str:
+    return "struct<" + ",".join(part.replace(" ", ":") for part in schema.split(", ")) + ">"
+
+
+STATE_FIELDS = tuple(f.name for f in fields(PhaseState))
+STATE_TYPE, PHASE_TYPE = _struct(STATE_SCHEMA), _struct(PHASE_SCHEMA)
+
+
 def bar_dicts(pdf: pd.DataFrame) -> list[dict]:
     """Rows as plain dicts with None for null."""
     return pdf.astype(object).where(pdf.notna(), None).to_dict("records")
@@ -288,7 +375,7 @@ def finish_phases(folded: DataFrame, cfg: Mapping | None = None) -> DataFrame:
 
 
 def range_phases(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
-    """dr_* per bar: evidence in columns, only the transition as a grouped fold.
+    """dr_* per bar: evidence in columns, the transition as a scan over the array of a group's bars, which carries the evidence along.
 
     Groups are bounded (a day of one series). Range numbers restart per group.
     """
@@ -296,19 +383,10 @@ def range_phases(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str]
     by = list(by)
     bars = bars.select(*dict.fromkeys([*by, "instrument", "anchor_tf", "ts"]), "high", "low", "close")
     evidence = range_evidence(range_descriptors(bars, c, by), c, by)
-    slim = evidence.select(*by, "ts", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), *FOLD_INPUT)
-    kinds = dict(slim.dtypes)
-    schema = ", ".join(f"{k} {kinds[k]}" for k in [*by, "ts"]) + ", " + PHASE_SCHEMA
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("us")
-        state = PhaseState()
-        rows = [step(state, b, c) for b in bar_dicts(pdf[["us", *FOLD_INPUT]])]
-        folded = pd.DataFrame(rows, columns=PHASE_COLUMNS, index=pdf.index)
-        return pd.concat([pdf[[*by, "ts"]], folded], axis=1)
-
-    folded = slim.groupBy(*by).applyInPandas(fold, schema)
-    return finish_phases(evidence.join(folded, [*by, "ts"]), cfg)
+    evidence = evidence.withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
+    state = PhaseState()
+    start = F.struct(*[F.lit(getattr(state, n)).alias(n) for n in STATE_FIELDS]).cast(STATE_TYPE)
+    return finish_phases(scanned(evidence, by, "us", start, STATE_TYPE, PHASE_TYPE, phase_step(c)), cfg)
 
 
 def attach_phases(windows: DataFrame, phases: DataFrame, cfg: Mapping | None = None) -> DataFrame:

@@ -2,8 +2,8 @@
 dealing range, swings, breaks and the event stream.
 
 All detectors are column expressions over one ordered series. Two rules carry
-real state and run as small grouped folds: accepted swing points and the
-accumulation phases. Outputs marked look-ahead use later bars.
+real state and run as scans over the array of a group's rows: accepted swing
+points and the accumulation phases. Outputs marked look-ahead use later bars.
 
 The input is bars; ``tick_size`` is a column (per-instrument lookup) or cfg.
 """
@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expr import clamp01, safe_div, settings
+from ..functions.fold import let, scanned, updated
 from ..functions.rolling import DAY, Rows
 
 EPS = 1e-9
@@ -620,42 +620,58 @@ def compression(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] =
     ).drop("_box_atr", "_box_z")
 
 
-_PHASE_SCHEMA = (
-    "mms_phase string, mms_range_high double, mms_range_low double, mms_range_age_bars int, "
-    "mms_manipulation_side string, mms_distribution_dir string"
-)
+_BOX_PHASE = "struct<mms_phase:string,mms_range_high:double,mms_range_low:double,mms_range_age_bars:int,mms_manipulation_side:string,mms_distribution_dir:string>"
+_BOX_STATE = "struct<phase:string,side:string,direction:string,high:double,low:double,age:int,streak:int>"
 
 
-def _fold_phases(pdf: pd.DataFrame, c: Mapping) -> pd.DataFrame:
-    """Accumulation → manipulation → distribution over the bars of one group."""
+def accumulation_step(c: Mapping):
+    """Accumulation → manipulation → distribution, one bar at a time, as a column expression over (state, bar)."""
     need = c["mms_phase_persist_bars_min"]
-    phase, side, direction, box, age, streak = "none", "none", "none", None, 0, 0
-    rows = []
-    for b in pdf.itertuples(index=False):
-        streak = streak + 1 if b.compressed else max(0, streak - 1)
-        if phase == "none" and b.compressed and streak >= need:
-            phase, side, direction, box, age = "accumulation", "none", "none", (b.box_high, b.box_low), 0
-        if phase != "none" and box:
-            age += 1
-        trigger = b.sweep != "none" or (not c["mms_manipulation_requires_sweep"] and b.grab)
-        if phase == "accumulation" and trigger and streak >= need:
-            up = b.sweep == "eqh" or (b.sweep == "none" and b.close < b.open)
-            phase, side, direction, streak = "manipulation", "buyside" if up else "sellside", "none", 0
-        if phase == "manipulation" and streak >= need:
-            wanted = "down" if side == "buyside" else "up"
-            if b.displaced and b.direction == wanted and box:
-                beyond = box[1] - b.low if wanted == "down" else b.high - box[0]
-                if b.atr > EPS and beyond >= c["mms_distribution_range_atr_min"] * b.atr:
-                    phase, direction, streak = "distribution", wanted, 0
-        if phase != "none" and box and b.box_high == b.box_high:
-            shift = abs((b.box_high + b.box_low) / 2.0 - (box[0] + box[1]) / 2.0)
-            shared = max(0.0, min(box[0], b.box_high) - max(box[1], b.box_low)) / max(box[0] - box[1], EPS)
-            if b.atr > EPS and (shift > b.atr or shared < 0.5):
-                phase, side, direction, box, age, streak = "none", "none", "none", None, 0, 0
-        high, low = box if box else (None, None)
-        rows.append((phase, high, low, age if box else 0, side, direction))
-    names = [part.split()[0] for part in _PHASE_SCHEMA.split(", ")]
-    return pd.DataFrame(rows, columns=names, index=pdf.index)
+    names = ("phase", "side", "direction", "high", "low", "age", "streak")
+    none, no = F.lit("none"), F.lit(None).cast("double")
+
+    def bar(state: Column, b: Column) -> Column:
+        compressed = F.coalesce(b["compressed"], F.lit(False))
+        trigger = (b["sweep"] != "none") | (b["grab"] if not c["mms_manipulation_requires_sweep"] else F.lit(False))
+
+        def open_box(s: Column) -> Column:
+            begins = (s["phase"] == "none") & compressed & (s["streak"] >= need)
+            return updated(s, names, begins, {"phase": F.lit("accumulation"), "side": none, "direction": none, "high": b["box_high"], "low": b["box_low"], "age": F.lit(0)})
+
+        def grow(s: Column) -> Column:
+            return updated(s, names, (s["phase"] != "none") & s["high"].isNotNull(), {"age": s["age"] + 1})
+
+        def manipulate(s: Column) -> Column:
+            up = (b["sweep"] == "eqh") | ((b["sweep"] == "none") & (b["close"] < b["open"]))
+            begins = (s["phase"] == "accumulation") & trigger & (s["streak"] >= need)
+            return updated(s, names, begins, {"phase": F.lit("manipulation"), "side": F.when(up, "buyside").otherwise("sellside"), "direction": none, "streak": F.lit(0)})
+
+        def distribute(s: Column) -> Column:
+            wanted = F.when(s["side"] == "buyside", "down").otherwise("up")
+            beyond = F.when(wanted == "down", s["low"] - b["low"]).otherwise(b["high"] - s["high"])
+            leaves = (b["atr"] > EPS) & (beyond >= c["mms_distribution_range_atr_min"] * b["atr"])
+            begins = (s["phase"] == "manipulation") & (s["streak"] >= need) & b["displaced"] & (b["direction"] == wanted) & leaves
+            return updated(s, names, begins, {"phase": F.lit("distribution"), "direction": wanted, "streak": F.lit(0)})
+
+        def reset(s: Column) -> Column:
+            shift = F.abs((b["box_high"] + b["box_low"]) / 2.0 - (s["high"] + s["low"]) / 2.0)
+            shared = F.greatest(F.lit(0.0), F.least(s["high"], b["box_high"]) - F.greatest(s["low"], b["box_low"])) / F.greatest(s["high"] - s["low"], F.lit(EPS))
+            moved = (s["phase"] != "none") & s["high"].isNotNull() & b["box_high"].isNotNull() & (b["atr"] > EPS) & ((shift > b["atr"]) | (shared < 0.5))
+            return updated(s, names, moved, {"phase": none, "side": none, "direction": none, "high": no, "low": no, "age": F.lit(0), "streak": F.lit(0)})
+
+        def show(s: Column) -> Column:
+            age = F.when(s["high"].isNotNull(), s["age"]).otherwise(0)
+            out = F.struct(s["phase"], s["high"], s["low"], age, s["side"], s["direction"]).cast(_BOX_PHASE)
+            return F.struct(s.alias("state"), out.alias("result"))
+
+        def through(value: Column, stages: Sequence) -> Column:
+            return let(value.cast(_BOX_STATE), lambda s: through(stages[0](s), stages[1:]) if stages else show(s))
+
+        streak = F.when(compressed, state["streak"] + 1).otherwise(F.greatest(F.lit(0), state["streak"] - 1))
+        counted = F.struct(*[(streak if n == "streak" else state[n]).alias(n) for n in names])
+        return through(counted, (open_box, grow, manipulate, distribute, reset))
+
+    return bar
 
 
 def market_phases(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
@@ -666,8 +682,7 @@ def market_phases(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str]
 def phase_fold(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
     """The phases keyed by row.
 
-    bars carry displacement, sweep, grab and compression columns. Only what the
-    transition reads goes through Python.
+    bars carry displacement, sweep, grab and compression columns.
     """
     c = settings(STRUCTURE, cfg)
     by = list(by)
@@ -687,14 +702,9 @@ def phase_fold(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] =
         F.col("displacement_flag").alias("displaced"),
         F.col("displacement_dir").alias("direction"),
     )
-    kinds = dict(slim.dtypes)
-    schema = ", ".join(f"{k} {kinds[k]}" for k in [*by, "_row"]) + ", " + _PHASE_SCHEMA
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_row")
-        return pd.concat([pdf[[*by, "_row"]], _fold_phases(pdf, c)], axis=1)
-
-    return slim.groupBy(*by).applyInPandas(fold, schema)
+    start = F.struct(F.lit("none"), F.lit("none"), F.lit("none"), F.lit(None), F.lit(None), F.lit(0), F.lit(0)).cast(_BOX_STATE)
+    found = scanned(slim, by, "_row", start, _BOX_STATE, _BOX_PHASE, accumulation_step(c))
+    return found.drop(*[n for n in slim.columns if n not in (*by, "_row")])
 
 
 def phase_confidence(bars: DataFrame) -> DataFrame:
@@ -721,21 +731,25 @@ def swing_candidates(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[s
     )
 
 
-def _fold_swings(pdf: pd.DataFrame, gap: int) -> pd.DataFrame:
-    """Accept a candidate that is at least ``gap`` bars after the opposite swing."""
-    last_high = last_low = None
-    rows = []
-    for row, is_high, is_low in zip(pdf["_row"], pdf["_cand_high"], pdf["_cand_low"]):
-        high = low = False
-        strength = None
-        if is_high and (last_low is None or row - last_low >= gap):
-            high, last_high = True, row
-            strength = None if last_low is None else float(row - last_low)
-        if is_low and (last_high is None or row - last_high >= gap):
-            low, last_low = True, row
-            strength = None if last_high is None else float(row - last_high)
-        rows.append((high, low, strength))
-    return pd.DataFrame(rows, columns=["_is_high", "_is_low", "_strength"], index=pdf.index)
+_SWING, _SWING_STATE = "struct<_is_high:boolean,_is_low:boolean,_strength:double>", "struct<high:bigint,low:bigint>"
+
+
+def swing_step(gap: int):
+    """Accept a candidate that is at least ``gap`` bars after the opposite swing; a column expression over (state, candidate)."""
+
+    def bar(last: Column, b: Column) -> Column:
+        row = b["_row"]
+        high = F.coalesce(b["_cand_high"], F.lit(False)) & (last["low"].isNull() | (row - last["low"] >= gap))
+
+        def then(t: Column) -> Column:
+            low = F.coalesce(b["_cand_low"], F.lit(False)) & (t["high"].isNull() | (row - t["high"] >= gap))
+            strength = F.when(low, row - t["high"]).when(t["is_high"], row - last["low"])
+            state = F.struct(t["high"].alias("high"), F.when(low, row).otherwise(last["low"]).alias("low")).cast(_SWING_STATE)
+            return F.struct(state.alias("state"), F.struct(t["is_high"], low, strength).cast(_SWING).alias("result"))
+
+        return let(F.struct(F.when(high, row).otherwise(last["high"]).alias("high"), high.alias("is_high")), then)
+
+    return bar
 
 
 def swings(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DAY) -> DataFrame:
@@ -749,15 +763,10 @@ def accepted_swings(cand: DataFrame, cfg: Mapping | None = None, by: Sequence[st
     c = settings(STRUCTURE, cfg)
     by = list(by)
     slim = cand.where("_cand_high or _cand_low").select(*by, "_row", "_cand_high", "_cand_low")
-    kinds = dict(slim.dtypes)
-    schema = ", ".join(f"{k} {kinds[k]}" for k in [*by, "_row"])
-    gap = c["swing_strength_min_bars"]
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_row")
-        return pd.concat([pdf[[*by, "_row"]], _fold_swings(pdf, gap)], axis=1)
-
-    return slim.groupBy(*by).applyInPandas(fold, schema + ", _is_high boolean, _is_low boolean, _strength double")
+    start = F.lit(None).cast("bigint")
+    step = swing_step(c["swing_strength_min_bars"])
+    found = scanned(slim, by, "_row", F.struct(start, start).cast(_SWING_STATE), _SWING_STATE, _SWING, step)
+    return found.drop("_cand_high", "_cand_low")
 
 
 def label_swings(joined: DataFrame) -> DataFrame:

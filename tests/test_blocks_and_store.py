@@ -78,25 +78,6 @@ def test_structure_invariants(bars):
     assert out.where("fvg_direction <> 'none' and fvg_lower >= fvg_upper").count() == 0
 
 
-def test_distribution_phase_is_reached():
-    c = {**st.STRUCTURE, "mms_phase_persist_bars_min": 1}
-    calm = dict(open=100.0, high=101.0, low=99.0, close=100.0, atr=2.0, compressed=True, box_high=102.0, box_low=98.0, sweep="none", grab=False, displaced=False, direction="none")
-    path = [calm, {**calm, "sweep": "eqh"}, {**calm, "low": 90.0, "displaced": True, "direction": "down"}]
-    out = st._fold_phases(pd.DataFrame(path), c)
-    assert list(out["mms_phase"]) == ["accumulation", "manipulation", "distribution"]
-    assert out["mms_distribution_dir"].iloc[-1] == "down"
-    moved = {**calm, "box_high": 120.0, "box_low": 116.0}
-    assert st._fold_phases(pd.DataFrame([*path, moved]), c)["mms_phase"].iloc[-1] == "none"
-
-
-def test_swing_gap_rule():
-    rows = pd.DataFrame({"_row": [3, 7, 12, 13], "_cand_high": [True, False, False, True], "_cand_low": [False, True, True, False]})
-    out = st._fold_swings(rows, 5)
-    assert list(out["_is_high"]) == [True, False, False, False]
-    assert list(out["_is_low"]) == [False, False, True, False]
-    assert out["_strength"].iloc[2] == 9.0
-
-
 CTX = RunContext("research", "backtest", "s", "r1")
 
 
