@@ -20,13 +20,9 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
 
 
-def updated(state: Column, names: Sequence[str], when: Column, changes: Mapping[str, object]) -> Column:
+def updated(state: Column, names: Sequence[str], when: Column, changes: Mapping[str, Column]) -> Column:
     """The state with some fields changed where the condition holds (null: no)."""
-    fields = []
-    for n in names:
-        new = changes.get(n, state[n])
-        fields.append((F.when(when, new).otherwise(state[n]) if n in changes else state[n]).alias(n))
-    return F.struct(*fields)
+    return F.when(when, F.struct(*[changes.get(n, state[n]).alias(n) for n in names])).otherwise(state)
 
 
 def scan(rows: Column, start: Column, state: str, result: str, step: Callable[[Column, Column], Column]) -> Column:
