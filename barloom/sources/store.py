@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.expr import column_or
 from ..functions.timegrid import require_grid, snap_by
@@ -83,28 +84,68 @@ def write_table(
     ctx: RunContext | None = None,
     trading_day: date | None = None,
     check_grid: bool = False,
+    covers: Sequence[Mapping[str, object]] = (),
     **identity,
 ) -> None:
-    """Action: conform and store; partitions of other days and runs stay."""
+    """Action: conform and store; partitions of other days and runs stay.
+
+    Partitions that the rows hold are replaced when all files are written; those named
+    by ``covers`` (partition column → value, leading columns are enough) that got no row
+    this time are then taken away, so that a run without rows leaves none of an earlier one.
+    """
     spec = TABLES[table]
     rows = prepare_rows(df, table, ctx, trading_day, **identity)
     if check_grid:
         require_grid(rows)
     sort = [k for k in spec.keys if k not in spec.partitions]
-    write_partitioned(rows, table_path(root, table), spec.partitions, sort)
+    path = table_path(root, table)
+    spark = rows.sparkSession
+    before = {p: _stamp(spark, p) for c in covers for p in _stored_partitions(spark, path, spec.partitions, c)}
+    write_partitioned(rows, path, spec.partitions, sort)
+    for partition, stamp in before.items():
+        if _stamp(spark, partition) == stamp:  # not replaced by this write
+            _hadoop(spark, partition)[0].delete(_hadoop(spark, partition)[1], True)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a stored folder, whichever store it is in."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _stored_partitions(spark: SparkSession, path: str, partitions: Sequence[str], values: Mapping[str, object]) -> list[str]:
+    """Partition folders below path that carry the given values."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    parts = [f"{p}={escape(str(values[p]))}" if p in values else f"{p}=*" for p in partitions]
+    fs, where = _hadoop(spark, f"{path}/{'/'.join(parts)}")
+    return [str(s.getPath()) for s in fs.globStatus(where) or ()]
+
+
+def _stamp(spark: SparkSession, partition: str) -> tuple[str, ...]:
+    """Names of a partition's files; a rewritten partition has others."""
+    fs, where = _hadoop(spark, partition)
+    return tuple(sorted(s.getPath().getName() for s in fs.listStatus(where))) if fs.exists(where) else ()
 
 
 def read_table(spark: SparkSession, root: str, table: str, **filters) -> DataFrame:
     """Stored rows; filters on partition columns prune directories.
 
-    A filter value may be a single value or a list.
+    A filter value may be a single value or a list. Partition columns are text but
+    for dt, as they were written, whatever their values look like.
     """
-    df = spark.read.parquet(table_path(root, table))
+    path, spec = table_path(root, table), TABLES[table]
+    kinds = {f.name: f.dataType for f in spark.read.parquet(path).schema}
+    kinds |= struct_types({p: "date" if p == "dt" else "string" for p in spec.partitions})
+    df = spark.read.schema(T.StructType([T.StructField(n, k) for n, k in kinds.items()])).parquet(path)
     if table.startswith("decisions_"):
         filters.setdefault("stage", table.removeprefix("decisions_"))
     return _filtered(df, filters)
 
 
+def struct_types(columns: Mapping[str, str]) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in struct_type(columns)}
+
+
 def _filtered(df: DataFrame, filters) -> DataFrame:
     for name, value in filters.items():
         values = list(value) if isinstance(value, (list, tuple, set)) else [value]

@@ -32,7 +32,9 @@ class Data:
         self.folder = folder.rstrip("/")
         context = spark.sparkContext
         if spark.conf.get("spark.checkpoint.dir", None) is None and context.getCheckpointDir() is None:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="checks-"))  # a local session that names no shared folder
+            if not context.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="checks-"))  # one machine, no folder named
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -77,21 +79,20 @@ class Data:
         return to_bars(self.daily_candles()).withColumn("yr", F.year("ts"))
 
     def calendar(self) -> DataFrame:
-        """Blackouts around high error events: impact by value band, ±15/30/60 minutes."""
-        impact = F.when(F.col("value") > 160, 3).when(F.col("value") > 120, 2).otherwise(1)
-        width = F.when(F.col("value") > 160, 60).when(F.col("value") > 120, 30).otherwise(15)
-        gap = F.make_dt_interval(mins=width)
-        return (
-            self.table("events")
-            .where((F.col("event_type") == "error") & (F.col("value") > 90))
-            .select(
-                F.col("event_id").cast("string").alias("event_id"),
-                F.col("ts").alias("event_ts"),
-                (F.col("ts") - gap).alias("blackout_start_ts"),
-                (F.col("ts") + gap).alias("blackout_end_ts"),
-                F.lit("usd ").alias("currency"),
-                impact.cast("int").alias("impact"),
-            )
+        """All events as calendar entries: impact by type and value, and a blackout of 60, 30 or 15 minutes to either side, none at impact 0."""
+        value = F.col("value")
+        impact = F.when(
+            F.col("event_type") == "error", F.when(value > 160, 3).when(value > 120, 2).when(value > 90, 1).otherwise(0)
+        ).otherwise(F.when(value > 260, 2).when(value > 210, 1).otherwise(0))
+        events = self.table("events").withColumn("impact", impact.cast("int"))
+        gap = F.make_dt_interval(mins=F.when(F.col("impact") == 3, 60).when(F.col("impact") == 2, 30).when(F.col("impact") == 1, 15).otherwise(0))
+        return events.select(
+            F.col("event_id").cast("string").alias("event_id"),
+            F.col("ts").alias("event_ts"),
+            (F.col("ts") - gap).alias("blackout_start_ts"),
+            (F.col("ts") + gap).alias("blackout_end_ts"),
+            F.lit("usd ").alias("currency"),
+            "impact",
         )
 
     def universe(self, bars: DataFrame) -> DataFrame:
@@ -160,9 +161,9 @@ bars AS (
 CALENDAR = """calendar AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS event_ts, impact,
          ts - to_minutes(width) AS blackout_start_ts, ts + to_minutes(width) AS blackout_end_ts
-  FROM (SELECT *, CASE WHEN value > 160 THEN 3 WHEN value > 120 THEN 2 ELSE 1 END AS impact,
-               CASE WHEN value > 160 THEN 60 WHEN value > 120 THEN 30 ELSE 15 END AS width
-        FROM events WHERE event_type = 'error' AND value > 90))"""
+  FROM (SELECT *, CASE impact WHEN 3 THEN 60 WHEN 2 THEN 30 WHEN 1 THEN 15 ELSE 0 END AS width
+        FROM (SELECT *, CASE WHEN event_type = 'error' THEN CASE WHEN value > 160 THEN 3 WHEN value > 120 THEN 2 WHEN value > 90 THEN 1 ELSE 0 END
+                             WHEN value > 260 THEN 2 WHEN value > 210 THEN 1 ELSE 0 END AS impact FROM events)))"""
 
 BY_DAY = "instrument, anchor_tf, dt"
 BY_YEAR = "instrument, anchor_tf, yr"

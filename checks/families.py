@@ -620,11 +620,12 @@ def _(d):
     "F-28",
     query(f"{M15}, {CALENDAR}", f"""SELECT b.instrument, b.anchor_tf, b.ts, count(impact) > 0 AS macro_is_blackout,
       CAST(coalesce(max(impact), 0) AS INTEGER) AS macro_blackout_max_impact
-    FROM bars b LEFT JOIN calendar c ON b.ts >= c.blackout_start_ts AND b.ts < c.blackout_end_ts GROUP BY ALL"""),
+    FROM (SELECT instrument, anchor_tf, ts FROM bars UNION SELECT instrument, anchor_tf, ts + to_seconds(7 * 60 + 13) FROM bars) b LEFT JOIN calendar c ON b.ts >= c.blackout_start_ts AND b.ts < c.blackout_end_ts GROUP BY ALL"""),
 )
 def _(d):
-    grid = d.bars().select(*KEYS).distinct()
-    return blackout_flags(grid, d.calendar(), ["M15"]).select(*KEYS, "macro_is_blackout", "macro_blackout_max_impact")
+    grid = d.bars().select(*KEYS)
+    between = grid.withColumn("ts", F.col("ts") + F.make_dt_interval(mins=F.lit(7), secs=F.lit(13)))  # bars off the grid
+    return blackout_flags(grid.unionByName(between).distinct(), d.calendar(), ["M15"]).select(*KEYS, "macro_is_blackout", "macro_blackout_max_impact")
 
 
 @check(

@@ -8,13 +8,14 @@ from barloom.functions.timegrid import snap
 from barloom.operators import calendar as cal
 from barloom.operators import decisions as dc
 from barloom.operators.conform import union_all
-from barloom.operators.structure import structure, structure_events
+from barloom.operators.structure import structure_events
 from barloom.plans.features import family_frame, zones_table
+from barloom.session import shared_folder
 from barloom.sources import importers as imp
 from barloom.sources import store
 
 from .base import BY_DAY, M15, TICKS, bars_cte, check, lag, query, rounded, std
-from .structures import CFG, GAP, GAP_COLUMNS
+from .structures import EVENT_BODY, EVENT_CTES, full
 from .tables import CTX, PARSED, RAW, raw_start
 
 KEYS = ("instrument", "anchor_tf", "ts")
@@ -23,10 +24,30 @@ STAMP = "'snap1' AS snapshot_id, 'run1' AS run_id, 'backtest' AS mode"
 EVENT_COLUMNS = {"event_id": "int", "ts": "timestamp", "user_id": "int", "event_type": "string", "value": "double", "props": "string"}
 
 
-@check("S-01", query(M15, "SELECT instrument, anchor_tf AS tf, ts, open, high, low, close, volume, 'backtest' AS mode, dt FROM bars WHERE instrument IN ('click', 'error', 'purchase', 'signup', 'view')", "open high low close volume"))
+def stored(d, rows, table, ctx=CTX, **identity):
+    """rows written to a table and read again: first with stale rows in half of its days, which the whole write replaces, and in a day it no longer has."""
+    root = shared_folder(d.spark, "tables")
+    day = F.to_date(F.lit("1999-12-31"))
+    half = rows.where(F.pmod(F.xxhash64("dt"), F.lit(2)) == 0)
+    stale = half.unionByName(half.limit(1).withColumn("dt", day))
+    store.write_table(stale, table, root, ctx, **identity)
+    store.write_table(rows, table, root, ctx, covers=[{"dt": "1999-12-31"}], **identity)
+    return store.read_table(d.spark, root, table, **({"run_id": ctx.run_id} if ctx else {}))
+
+
+def listed(df, column):
+    """Distinct values of a column of few: the instruments and days of a scan."""
+    return [r[0] for r in df.select(column).distinct().collect()]
+
+
+@check("S-01", query(M15, "SELECT instrument, anchor_tf AS tf, ts, open, high, low, close, volume, 'backtest' AS mode, dt FROM bars WHERE dt >= (SELECT min(dt) + 2 FROM bars)", "open high low close volume"))
 def _(d):
-    stored = d.candles().withColumns({"mode": F.lit("backtest"), "dt": F.to_date("ts")})
-    return store._filtered(stored, {"mode": "backtest", "instrument": ["click", "error", "purchase", "signup", "view"]})
+    rows = d.candles().withColumns({"mode": F.lit("backtest"), "dt": F.to_date("ts")})
+    root = shared_folder(d.spark, "tables")
+    store.write_table(rows, "candles", root)
+    days = sorted(listed(rows, "dt"))[2:]
+    found = store.scan_candles(d.spark, root, "backtest", listed(rows, "instrument"), days)
+    return found.select(*rows.columns)
 
 
 @check("S-02", f"SELECT event_id, ts, user_id, event_type, {rounded('value')} AS value, props FROM events")
@@ -36,11 +57,16 @@ def _(d):
     return found.unionByName(absent)
 
 
-@check("S-03", "SELECT ts, 'quiet' AS macro_state, CAST(floor(value / 60) AS BIGINT) AS impact_level, value > 150 AS blackout FROM events")
+@check("S-03", """SELECT ts, CAST(ts AS DATE) AS dt, 'quiet' AS macro_state, CAST(max(floor(value / 60)) AS INTEGER) AS impact_level, max(value) > 150 AS blackout
+  FROM events WHERE CAST(ts AS DATE) > (SELECT min(CAST(ts AS DATE)) FROM events) GROUP BY ts""")
 def _(d):
-    absent = store.scan_macro(d.spark, f"{d.folder}/no_such_root", ["2024-01-02"]).drop("dt")
-    macro = d.table("events").select("ts", F.lit("quiet").alias("macro_state"), F.floor(F.col("value") / 60).alias("impact_level"), (F.col("value") > 150).alias("blackout"))
-    return absent.unionByName(macro)
+    macro = d.table("events").groupBy("ts").agg(F.floor(F.max("value") / 60).cast("int").alias("impact_level"), (F.max("value") > 150).alias("blackout"))
+    macro = macro.withColumns({"dt": F.to_date("ts"), "macro_state": F.lit("quiet")})
+    root = shared_folder(d.spark, "tables")
+    absent = store.scan_macro(d.spark, root, ["2024-01-02"])  # nothing is stored yet
+    store.write_table(macro, "macro", root)
+    found = store.scan_macro(d.spark, root, sorted(listed(macro, "dt"))[1:])
+    return absent.unionByName(found).select("ts", "dt", "macro_state", "impact_level", "blackout")
 
 
 @check("S-04", f"SELECT l_orderkey, l_linenumber, l_shipdate, {rounded('l_quantity')} AS l_quantity FROM lineitem")
@@ -174,28 +200,28 @@ def _(d):
 @check("S-16", query(M15, f"SELECT {STAMP}, dt, {K}, {std('r', 20, BY_DAY, 2)} AS ta_vol__ret1_std FROM (SELECT *, close / nullif({lag('close', BY_DAY)}, 0) - 1 AS r FROM bars)", "ta_vol__ret1_std"))
 def _(d):
     rows = family_frame("ta_vol", d.bars()).select(*KEYS, "ta_vol__ret1_std").withColumn("dt", F.to_date("ts"))
-    return store.prepare_rows(rows, "features", CTX)
+    return stored(d, rows, "features", CTX)
 
 
-@check("S-17", query(GAP, f"SELECT * FROM (SELECT {STAMP}, dt, {K}, 'FVG' AS event_type, {GAP_COLUMNS.split(',')[0]}, CASE WHEN g THEN (ghi + glo) / 2 END AS ref_level FROM gap) WHERE fvg_direction <> 'none'", "ref_level").replace("AS fvg_direction", "AS fvg_direction"))
+@check("S-17", query(EVENT_CTES, f"SELECT {STAMP}, CAST(ts AS DATE) AS dt, * EXCLUDE (event_source) FROM ({EVENT_BODY})"))
 def _(d):
-    events = structure_events(structure(d.bars(), CFG)).where("event_type = 'FVG'")
-    rows = store.prepare_rows(events, "market_events", CTX)
-    return rows.select("snapshot_id", "run_id", "mode", "dt", *KEYS, "event_type", F.col("event_side").alias("fvg_direction"), "ref_level")
+    return stored(d, structure_events(full(d)), "market_events", CTX).select(
+        "snapshot_id", "run_id", "mode", "dt", *KEYS, "event_type", "event_side", "ref_level", "event_strength"
+    )
 
 
 @check("S-18", query(M15, f"""SELECT {STAMP}, dt, {K}, zone_id FROM (
   SELECT dt, {K}, concat_ws('::', 'DAY_RANGE', CAST(dt AS VARCHAR), anchor_tf) AS zone_id FROM bars UNION ALL SELECT dt, {K}, concat_ws('::', 'vp_core', instrument, anchor_tf) FROM bars)"""))
 def _(d):
     zones = zones_table(d.bars()).withColumn("dt", F.to_date("ts"))
-    rows = store.prepare_rows(zones.unionByName(zones), "zones_state", CTX)
+    rows = stored(d, zones.unionByName(zones), "zones_state", CTX)
     return rows.select("snapshot_id", "run_id", "mode", "dt", *KEYS, "zone_id")
 
 
 @check("S-19", query(M15, f"SELECT {STAMP}, dt, instrument, anchor_tf, ts AS pcr_window_ts, high - low AS pcr_range_value FROM bars", "pcr_range_value"))
 def _(d):
     rows = family_frame("pcra_bar", d.bars(), {"range_bucket_window": 10, "vol_z_window": 10}).withColumn("dt", F.to_date("pcr_window_ts"))
-    out = store.prepare_rows(rows, "pcr_a", CTX)
+    out = stored(d, rows, "pcr_a", CTX)
     return out.select("snapshot_id", "run_id", "mode", "dt", "instrument", "anchor_tf", "pcr_window_ts", "pcr_range_value")
 
 
@@ -204,7 +230,7 @@ def _(d):
     from barloom.operators.windows import base_windows, expand_entries
 
     base = expand_entries(base_windows(d.candles(), None, ["M15"]), ["M1", "M5", "M5"])
-    return store.prepare_rows(base.withColumn("dt", F.to_date("anchor_ts")), "windows", CTX)
+    return stored(d, base.withColumn("dt", F.to_date("anchor_ts")), "windows", CTX)
 
 
 EVAL_SQL = "'ict' AS paradigm_id, o_orderpriority AS principle_id, CASE WHEN o_orderstatus = 'O' THEN '∅' ELSE o_orderstatus END AS candidate_id, '∅' AS experiment_id"
@@ -217,28 +243,28 @@ def trades(d):
         F.lit("ict").alias("paradigm_id"), F.col("o_orderpriority").alias("principle_id"),
         F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")).alias("candidate_id"),
         (F.col("o_custkey") % 5).cast("string").alias("instrument"), F.col("o_orderkey").cast("string").alias("trade_id"),
-        F.lit("H1").alias("anchor_tf"), at.alias("entry_ts"), at.alias("anchor_ts"), F.to_date("o_orderdate").alias("dt"),
+        F.lit("H1").alias("anchor_tf"), at.alias("entry_ts"), at.alias("anchor_ts"), F.trunc("o_orderdate", "year").alias("dt"),  # a partition a year
         F.lit("long").alias("side"), F.lit("M5").alias("tf_entry"), F.col("o_totalprice").alias("entry_px"),
     )
 
 
-COMMON = f"{STAMP}, CAST(o_orderdate AS DATE) AS dt, {EVAL_SQL}, CAST(o_custkey % 5 AS VARCHAR) AS instrument, CAST(o_orderkey AS VARCHAR) AS trade_id"
+COMMON = f"{STAMP}, CAST(date_trunc('year', o_orderdate) AS DATE) AS dt, {EVAL_SQL}, CAST(o_custkey % 5 AS VARCHAR) AS instrument, CAST(o_orderkey AS VARCHAR) AS trade_id"
 SHOWN = ("snapshot_id", "run_id", "mode", "dt", "paradigm_id", "principle_id", "candidate_id", "experiment_id", "instrument", "trade_id")
 
 
 @check("S-21", f"SELECT {COMMON}, 'pretrade' AS stage, {ORDER_AT} AS decision_ts, time_bucket(INTERVAL 1 HOUR, {ORDER_AT}) AS anchor_ts, CAST(NULL AS BOOLEAN) AS blocked_by_macro FROM orders")
 def _(d):
-    return store.prepare_rows(trades(d), "decisions_pretrade", CTX).select(*SHOWN, "stage", "decision_ts", "anchor_ts", "blocked_by_macro")
+    return stored(d, trades(d), "decisions_pretrade", CTX).select(*SHOWN, "stage", "decision_ts", "anchor_ts", "blocked_by_macro")
 
 
 @check("S-22", f"SELECT {COMMON}, 'long' AS side, CAST(NULL AS DOUBLE) AS mae_R, {rounded('o_totalprice')} AS entry_px FROM orders")
 def _(d):
-    return store.prepare_rows(trades(d), "trade_paths", CTX).select(*SHOWN, "side", "mae_R", "entry_px")
+    return stored(d, trades(d), "trade_paths", CTX).select(*SHOWN, "side", "mae_R", "entry_px")
 
 
 @check("S-23", f"SELECT {COMMON}, {rounded('o_totalprice')} AS entry_px, 'dev_stub' AS order_type FROM orders")
 def _(d):
-    rows = store.prepare_rows(dc.brackets(trades(d), CTX), "brackets", CTX)
+    rows = stored(d, dc.brackets(trades(d), CTX), "brackets", CTX)
     return rows.select(*SHOWN, "entry_px", "order_type")
 
 
@@ -253,20 +279,20 @@ def _(d):
     done = dc.brackets(trades(d), CTX).withColumns(
         {"entry_fill_ts": F.col("entry_ts"), "exit_fill_ts": F.col("entry_ts"), "entry_fill_px": F.col("entry_px"), "exit_fill_px": F.col("entry_px")}
     )
-    return store.prepare_rows(dc.fill_rows(done), "fills", CTX).select(*SHOWN, "fill_type", "fill_ts")
+    return stored(d, dc.fill_rows(done), "fills", CTX).select(*SHOWN, "fill_type", "fill_ts")
 
 
-@check("S-26", f"""SELECT {STAMP}, CAST(o_orderdate AS DATE) AS dt, 'all' AS cluster_id, CASE WHEN grouping(o_orderstatus) = 1 THEN 'run_total' ELSE 'evaluation' END AS report_level,
+@check("S-26", f"""SELECT {STAMP}, CAST(date_trunc('year', o_orderdate) AS DATE) AS dt, 'all' AS cluster_id, CASE WHEN grouping(o_orderstatus) = 1 THEN 'run_total' ELSE 'evaluation' END AS report_level,
   CASE WHEN grouping(o_orderstatus) = 1 THEN '∅' ELSE o_orderpriority END AS principle_id, CASE WHEN grouping(o_orderstatus) = 1 OR o_orderstatus = 'O' THEN '∅' ELSE o_orderstatus END AS candidate_id, count(*) AS n_trades
-  FROM orders GROUP BY GROUPING SETS ((CAST(o_orderdate AS DATE), o_orderpriority, o_orderstatus), (CAST(o_orderdate AS DATE)))""")
+  FROM orders GROUP BY GROUPING SETS ((CAST(date_trunc('year', o_orderdate) AS DATE), o_orderpriority, o_orderstatus), (CAST(date_trunc('year', o_orderdate) AS DATE)))""")
 def _(d):
     t = trades(d)
     report = dc.run_report({"trade_paths": t}, t, CTX, unit=["dt"])
-    rows = store.prepare_rows(report, "reports", CTX, cluster_id="all")
+    rows = stored(d, report, "reports", CTX, cluster_id="all")
     return rows.select("snapshot_id", "run_id", "mode", "dt", "cluster_id", "report_level", "principle_id", "candidate_id", "n_trades")
 
 
-@check("S-27", f"SELECT {STAMP}, CAST(o_orderdate AS DATE) AS dt, 'all' AS cluster_id, {EVAL_SQL}, CAST(o_custkey % 5 AS VARCHAR) AS instrument, count(*) AS trade_count FROM orders GROUP BY CAST(o_orderdate AS DATE), o_orderpriority, o_orderstatus, o_custkey % 5")
+@check("S-27", f"SELECT {STAMP}, CAST(date_trunc('year', o_orderdate) AS DATE) AS dt, 'all' AS cluster_id, {EVAL_SQL}, CAST(o_custkey % 5 AS VARCHAR) AS instrument, count(*) AS trade_count FROM orders GROUP BY CAST(date_trunc('year', o_orderdate) AS DATE), o_orderpriority, o_orderstatus, o_custkey % 5")
 def _(d):
-    rows = store.prepare_rows(dc.context_counts(trades(d)), "principles_context", CTX, cluster_id="all")
+    rows = stored(d, dc.context_counts(trades(d)), "principles_context", CTX, cluster_id="all")
     return rows.select("snapshot_id", "run_id", "mode", "dt", "cluster_id", "paradigm_id", "principle_id", "candidate_id", "experiment_id", "instrument", "trade_count")

@@ -393,10 +393,8 @@ def full(d):
     return st.structure(d.bars(), CFG, materialise=cut_lineage)
 
 
-@check(
-    "F-55",
-    query(f"{SWEEP}, {FILL.split(DISP + ',', 1)[1]}, {HISTORY.split(DISP + ',', 1)[1].replace('reach', 'reach2').replace('seen', 'seen2')}, {CHOCH.split(BASE + ',', 1)[1]}",
-      f"""SELECT * REPLACE (floor(CAST(ref_level AS DOUBLE) * 1e6::DOUBLE + 0.50013::DOUBLE) / 1e6::DOUBLE AS ref_level, floor(CAST(event_strength AS DOUBLE) * 1e6::DOUBLE + 0.50013::DOUBLE) / 1e6::DOUBLE AS event_strength), 'ict_struct' AS event_source FROM (
+EVENT_CTES = f"{SWEEP}, {FILL.split(DISP + ',', 1)[1]}, {HISTORY.split(DISP + ',', 1)[1].replace('reach', 'reach2').replace('seen', 'seen2')}, {CHOCH.split(BASE + ',', 1)[1]}"
+EVENT_BODY = f"""SELECT * REPLACE (floor(CAST(ref_level AS DOUBLE) * 1e6::DOUBLE + 0.50013::DOUBLE) / 1e6::DOUBLE AS ref_level, floor(CAST(event_strength AS DOUBLE) * 1e6::DOUBLE + 0.50013::DOUBLE) / 1e6::DOUBLE AS event_strength), 'ict_struct' AS event_source FROM (
       SELECT {K}, 'FVG' AS event_type, CASE WHEN bull THEN 'bull' ELSE 'bear' END AS event_side, (ghi + glo) / 2 AS ref_level, CASE WHEN dur IS NULL OR (dur <= 6 AND reacted) THEN 1.0 ELSE 0.0 END AS event_strength FROM done WHERE g
       UNION ALL SELECT {K}, 'OB', CASE WHEN vdir = 'up' THEN 'bullish' ELSE 'bearish' END, (oh + ol) / 2, CASE WHEN tj IS NOT NULL AND NOT reacted THEN 0.0 ELSE 1.0 END FROM ob LEFT JOIN told USING (instrument, dt, i) WHERE oi IS NOT NULL
       UNION ALL SELECT {K}, 'LIQ_SWEEP', side, CASE side WHEN 'eqh' THEN hpx ELSE lpx END, sq FROM swept WHERE kk IS NOT NULL
@@ -404,8 +402,10 @@ def full(d):
       UNION ALL SELECT {K}, 'EQ_LOW', 'low', lpx, CASE WHEN lowwins THEN bl.n ELSE bh.n END FROM eq WHERE lpx IS NOT NULL
       UNION ALL SELECT {K}, 'BOS', bdir, CASE WHEN down THEN lp ELSE hp END, CASE WHEN down THEN lp - close ELSE close - hp END / 0.01::DOUBLE FROM bos WHERE bos
       UNION ALL SELECT {K}, 'CHOCH', cdir, px, abs(close - px) / 0.01::DOUBLE FROM bos JOIN m USING (instrument, dt, i) WHERE choch
-      UNION ALL SELECT {K}, 'DISPLACEMENT', dir, NULL, dq FROM disp WHERE disp)"""),
-)
+      UNION ALL SELECT {K}, 'DISPLACEMENT', dir, NULL, dq FROM disp WHERE disp)"""
+
+
+@check("F-55", query(EVENT_CTES, EVENT_BODY))
 def _(d):
     return st.structure_events(full(d)).select(*KEYS, "event_type", "event_side", "ref_level", "event_strength", "event_source")
 
