@@ -7,6 +7,7 @@ copies of the neighbouring rows (a halo). Both are exact.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -81,8 +82,8 @@ def in_blocks(
     return fn(copies, [*series, "_block"]).where("_own").drop("_own", "_block")
 
 
-def _fold_with(decay: float):
-    return lambda carried, tail: carried * decay + tail
+#: Decay over a block of rows; a carry beyond two blocks weighs its square and is lost in a double.
+BLOCK_DECAY = 1e-12
 
 
 def exponential_means(
@@ -90,40 +91,43 @@ def exponential_means(
     means: dict[str, tuple[Column, float]],
     by: Sequence[str],
     order: Sequence[str] = ("ts",),
-    block: int = 128,
 ) -> DataFrame:
     """Recursive means y0 = x0, yt = a*xt + (1-a)*y(t-1), as an affine scan.
 
-    Inside a block of rows the mean is a running sum of rescaled inputs; the
-    block tails are folded to the carry of the next block. ``by`` groups must be
-    bounded (a day of bars, or a block of ``in_blocks`` with back = 50/a rows, by
-    which (1-a)**back is below double precision). A null input leaves the mean as it
-    was; before the first value it is null.
+    A mean over a block of rows is an affine map of the mean before it. Blocks are as long
+    as rescaled inputs can be summed in a double, so a row is its block's running sum plus
+    the carry of the block before, which needs the one before that and no more: a few
+    running aggregates for each mean, and no list. ``by`` groups must be bounded (a day of
+    bars, or a block of ``in_blocks`` with back = 50/a rows, by which (1-a)**back is below
+    double precision). A null input leaves the mean as it was; before the first value it is
+    null.
     """
-    alphas = [a for _, a in means.values()]
-    for a in alphas:
-        while block > 1 and (1 - a) ** -block > 1e12 if a < 1 else False:
-            block //= 2
     series = W.partitionBy(*by).orderBy(*order)
-    earlier = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    counts, names, local, final = {}, {}, {}, {}
+    so_far, earlier = series.rowsBetween(W.unboundedPreceding, 0), series.rowsBetween(W.unboundedPreceding, -1)
+    counts, names = {}, {}
     for x, _ in means.values():  # rows are numbered by the values met so far, once for each input
         if str(x) not in names:
             names[str(x)] = f"_i{len(names)}"
-            counts[names[str(x)]] = F.count(x).over(series.rowsBetween(W.unboundedPreceding, 0)) - 1
+            counts[names[str(x)]] = F.count(x).over(so_far) - 1
     df = df.withColumns(counts)
-    df = df.withColumns({f"{i}{part}": f(F.col(i)) for i in counts for part, f in (("b", lambda c: F.floor(c / block)), ("k", lambda c: F.pmod(c, F.lit(block))))})
-    for out, (x, a) in means.items():
-        i = names[str(x)]
-        n, k = F.col(i), F.col(f"{i}k")
-        inner = W.partitionBy(*by, f"{i}b").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        q = 1.0 - a
-        if q <= 0:
-            local[f"_l_{out}"], final[out] = F.last(x, ignorenulls=True).over(series.rowsBetween(W.unboundedPreceding, 0)), F.col(f"_l_{out}")
+    places, local, ends, carries, final = {}, {}, {}, {}, {}
+    for m, (out, (x, a)) in enumerate(means.items()):
+        if a >= 1:
+            local[f"_l{m}"], final[out] = F.last(x, ignorenulls=True).over(so_far), F.col(f"_l{m}")
             continue
+        q, n = 1.0 - a, F.col(names[str(x)])
+        size = max(1, int(math.log(BLOCK_DECAY) / math.log(q)))
+        places |= {f"_b{m}": F.floor(n / size), f"_k{m}": F.pmod(n, F.lit(size))}
+        k = F.col(f"_k{m}")
         scaled = F.when(n == 0, x).otherwise(x * a) * F.pow(F.lit(q), -k)
-        local[f"_l_{out}"] = F.when(n >= 0, F.pow(F.lit(q), k) * F.sum(scaled).over(inner))
-        tails = F.collect_list(F.when((k == block - 1) & x.isNotNull(), F.col(f"_l_{out}"))).over(earlier)
-        carry = F.aggregate(F.slice(tails, F.lit(1), F.greatest(F.col(f"{i}b").cast("int"), F.lit(0))), F.lit(0.0), _fold_with(q**block))
-        final[out] = F.col(f"_l_{out}") + F.pow(F.lit(q), k + 1) * carry
-    return df.withColumns(local).withColumns(final).drop(*[f"{i}{part}" for i in counts for part in ("", "b", "k")], *local)
+        inner = W.partitionBy(*by, f"_b{m}").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        local[f"_l{m}"] = F.when(n >= 0, F.pow(F.lit(q), k) * F.sum(scaled).over(inner))
+        end = (k == size - 1) & x.isNotNull()
+        ends[f"_p{m}"] = F.last(F.when(end, F.col(f"_l{m}")), ignorenulls=True).over(earlier)
+        both = F.col(f"_l{m}") + q**size * F.coalesce(f"_p{m}", F.lit(0.0))
+        carries[f"_c{m}"] = F.last(F.when(end, both), ignorenulls=True).over(earlier)
+        final[out] = F.when(x.isNotNull(), F.col(f"_l{m}") + F.pow(F.lit(q), k + 1) * F.coalesce(f"_c{m}", F.lit(0.0)))
+    kept = {out: F.last(F.col(out), ignorenulls=True).over(so_far) for out, (_, a) in means.items() if a < 1}
+    for stage in (places, local, ends, carries, final, kept):
+        df = df.withColumns(stage)
+    return df.drop(*counts, *places, *local, *ends, *carries)

@@ -81,7 +81,7 @@ def _(d):
 @check("W-09", query(M15, f"SELECT {K}, {ewm('close', 0.2, BY_DAY)} AS y FROM bars", "y"))
 def _(d):
     # Blocks of 8 rows, so that a day spans several.
-    return exponential_means(d.bars(), {"y": (F.col("close"), 0.2)}, ("instrument", "anchor_tf", "dt"), block=8).select(*KEYS, "y")
+    return exponential_means(d.bars(), {"y": (F.col("close"), 0.2)}, ("instrument", "anchor_tf", "dt")).select(*KEYS, "y")
 
 
 @check("W-10", query(M15, f"SELECT {K}, last_value(CASE WHEN volume > 4 THEN close END IGNORE NULLS) OVER (PARTITION BY {BY_DAY} ORDER BY ts) AS y FROM bars", "y"))

@@ -54,7 +54,7 @@ def test_halo_blocks_equal_one_window(bars, size):
 def test_affine_scan_equals_recursion(bars):
     alpha = 2 / 21
     scan = in_blocks(
-        bars, SERIES, ["ts"], lambda df, by: exponential_means(df, {"y": (F.col("close"), alpha)}, by, block=64), back=memory_rows(alpha), block_rows=600
+        bars, SERIES, ["ts"], lambda df, by: exponential_means(df, {"y": (F.col("close"), alpha)}, by), back=memory_rows(alpha), block_rows=600
     )
     got = scan.where("instrument = 'HOT'").orderBy("ts").toPandas()
     want = got["close"].ewm(alpha=alpha, adjust=False).mean()

@@ -13,18 +13,36 @@ from barloom.operators.conform import union_widened, wider_type
 from barloom.sources.tables import TABLES
 
 
-@pytest.mark.parametrize("block", [1, 2, 3, 128])
-def test_null_inputs_leave_the_mean(spark, block):
+@pytest.mark.parametrize("alpha", [0.02, 0.5, 0.999, 1 - 1e-13])
+def test_null_inputs_leave_the_mean(spark, alpha):
     values = [None, 100.0, 110.0, None, None, 90.0, None, 95.0, 100.0, None, None, 100.0]
     rows = [("a", k, v) for k, v in enumerate(values)]
     df = spark.createDataFrame(rows, "s string, ts int, x double")
-    out = exponential_means(df, {"m": (F.col("x"), 0.5), "one": (F.col("x"), 1.0)}, ["s"], block=block).orderBy("ts").collect()
+    out = exponential_means(df, {"m": (F.col("x"), alpha), "one": (F.col("x"), 1.0)}, ["s"]).orderBy("ts").collect()
     mean = None
     for r, v in zip(out, values):
-        mean = mean if v is None else v if mean is None else 0.5 * v + 0.5 * mean
+        mean = mean if v is None else v if mean is None else alpha * v + (1 - alpha) * mean
         assert r.m == (None if mean is None else pytest.approx(mean))
 
 
+def test_a_day_of_seconds_without_lists(spark):
+    import random
+
+    rng, n = random.Random(2), 86_400
+    values = [None if rng.random() < 0.1 else 100 + rng.gauss(0, 5) for _ in range(n)]
+    df = spark.createDataFrame([("a", k, v) for k, v in enumerate(values)], "s string, ts int, x double")
+    alphas = {"slow": 0.0004, "mid": 0.02, "fast": 0.3, "last": 0.97}
+    out = exponential_means(df, {k: (F.col("x"), a) for k, a in alphas.items()}, ["s"], ["ts"])
+    assert "collect_list" not in out._jdf.queryExecution().executedPlan().toString()
+    rows = out.orderBy("ts").select(*alphas).collect()
+    for name, a in alphas.items():
+        mean, worst = None, 0.0
+        for r, v in zip(rows, values):
+            mean = mean if v is None else v if mean is None else a * v + (1 - a) * mean
+            worst = max(worst, 0.0 if mean is None else abs(r[name] - mean))
+        assert worst < 1e-9
+
+
 def test_bars_off_the_grid(spark):
     at = lambda h, m, s=0: dt.datetime(2024, 1, 2, h, m, s)
     spans = [(at(9, 0), at(10, 0), 2), (at(12, 1), at(12, 3), 1), (at(12, 2), at(12, 9), 3), (at(13, 0), at(13, 0), 3)]
