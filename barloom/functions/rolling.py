@@ -62,13 +62,6 @@ class Rows:
     def count(self, x: Column, n: int) -> Column:
         return F.count(x).over(self.last(n))
 
-    def quantile(self, x: Column, q: float, n: int, m: int | None = None) -> Column:
-        """Element nearest to rank q*(count-1) of the sorted frame."""
-        frame = self.last(n)
-        values = F.array_sort(F.collect_list(x).over(frame))
-        rank = F.floor(F.lit(q) * (F.size(values) - 1) + 0.5).cast("int") + 1
-        return F.when(F.count(x).over(frame) >= (n if m is None else m), F.try_element_at(values, rank))
-
     def shift(self, x: Column, n: int = 1) -> Column:
         """n > 0 looks back, n < 0 looks forward."""
         if n == 0:

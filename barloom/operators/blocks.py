@@ -43,6 +43,25 @@ def number_rows(
     )
 
 
+def number_all(df: DataFrame, order: Sequence[str], out: str, materialise: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Zero-based place of every row in a total order of the whole table.
+
+    Rows are range partitioned by sampled bounds and sorted within partitions, where
+    their place is counted; ``materialise`` (``cut_lineage``) fixes which row is where.
+    Only a count for each partition goes to the driver, which adds up the partitions
+    before; no task sees more than its range.
+    """
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    fixed = materialise(dealt.withColumns({"_part": F.spark_partition_id(), out: inside}))
+    before, offsets = 0, []
+    for part, rows in sorted(map(tuple, fixed.groupBy("_part").count().collect())):
+        offsets.append((part, before))
+        before += rows
+    starts = F.broadcast(df.sparkSession.createDataFrame(offsets, "_part int, _start long"))  # one row a partition
+    return fixed.join(starts, "_part").withColumn(out, F.col(out) + F.col("_start")).drop("_part", "_start")
+
+
 def in_blocks(
     df: DataFrame,
     series: Sequence[str],

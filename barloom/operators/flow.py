@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import bucket_by_edges, clamp01, column_or, map_values, policy_ids, safe_div, settings, zscore
 from ..functions.rolling import DAY, Rows
+from ..functions.sliding import sliding_quantiles
 from ..functions.timegrid import anchor_grid, snap
 from .bars import order_key
 from .blocks import in_blocks
@@ -48,10 +49,9 @@ def bar_flow(bars: DataFrame, cfg: Mapping | None = None, by: Sequence[str] = DA
             "pcr_ofi_value": safe_div(signed, mean),
             "pcr_micro_vol_value": zscore(volume, mean, std),
             "pcr_range_value": rng,
-            "_q_lo": rows.quantile(rng, c["range_q_low"], qw),
-            "_q_hi": rows.quantile(rng, c["range_q_high"], qw),
         }
     )
+    out = sliding_quantiles(out, {"_q_lo": (rng, c["range_q_low"], qw, None), "_q_hi": (rng, c["range_q_high"], qw, None)}, by)
     location = clamp01(safe_div(F.col("close") - F.col("low"), rng, 0.5))
     strong = c["ofi_strong_cut"]
     return out.withColumns(

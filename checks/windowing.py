@@ -12,6 +12,7 @@ from barloom.operators.blocks import exponential_means
 from barloom.operators.flow import day_range_zone, flow_sums, side_signed
 from barloom.operators.volatility import return_zscores
 from barloom.operators.windows import first_per_column
+from barloom.session import cut_lineage
 from barloom.sources.tables import EVALUATION
 
 from .base import BY_DAY, CALENDAR, M15, TICKS, check, lag, mean, over, query, rolled, rounded, std, total, true_range
@@ -43,8 +44,9 @@ def _(d):
 @check("W-03", query(M15, f"""SELECT {K}, CASE WHEN count(close) OVER {over(9, BY_DAY)} >= 4 THEN
   list_sort(list(close) OVER {over(9, BY_DAY)})[CAST(floor(0.33 * (count(close) OVER {over(9, BY_DAY)} - 1) + 0.5) AS INTEGER) + 1] END AS q FROM bars""", "q"))
 def _(d):
-    b, r = rows_of(d)
-    return b.select(*KEYS, r.quantile(F.col("close"), 0.33, 9, 4).alias("q"))
+    from barloom.functions.sliding import sliding_quantiles
+
+    return sliding_quantiles(d.bars(), {"q": (F.col("close"), 0.33, 9, 4)}).select(*KEYS, "q")
 
 
 @check("W-04", query(M15, f"SELECT {K}, {lag('close', BY_DAY)} AS a, {lag('close', BY_DAY, -2)} AS b, close - {lag('close', BY_DAY)} AS c, close / nullif({lag('close', BY_DAY)}, 0) - 1 AS e FROM bars", "a b c e"))
@@ -135,12 +137,9 @@ def _(d):
 
 @check("K-01", query(M15, f"SELECT {K}, close, row_number() OVER (ORDER BY instrument, ts) AS place FROM bars", "close"))
 def _(d):
-    # The place in a total order is counted per sorted day and offset by the days before.
-    from barloom.operators.blocks import number_rows
+    from barloom.operators.blocks import number_all
 
-    rows = d.bars().withColumn("all", F.lit(0))
-    cell = F.struct("instrument", "dt")
-    return number_rows(rows, ["all"], ["instrument", "ts"], cell, "n").select(*KEYS, "close", (F.col("n") + 1).alias("place"))
+    return number_all(d.bars(), ["instrument", "ts"], "n", cut_lineage).select(*KEYS, "close", (F.col("n") + 1).alias("place"))
 
 
 @check("K-02", query(TOP_SQL, "SELECT a AS instrument, ts, b AS peer, rho AS corr, k AS place FROM ranked WHERE k <= 5", "corr"))
@@ -286,9 +285,13 @@ def _(d):
     return d.bars().agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("instrument").alias("instruments"), F.count_distinct("anchor_tf").alias("tfs"), F.count_distinct("ts").alias("stamps"))
 
 
-WIDE = ("click", "error", "purchase", "signup", "view")
-
-
-@check("A-15", query(M15, "SELECT ts, " + ", ".join(f"max(close) FILTER (instrument = '{i}') AS {i}" for i in WIDE) + " FROM bars GROUP BY ts", " ".join(WIDE)))
+@check("A-15", query(f"{M15}, names AS (SELECT instrument, dense_rank() OVER (ORDER BY instrument) AS place FROM (SELECT DISTINCT instrument FROM bars))",
+  f"""SELECT ts, string_agg(place || '=' || CAST(close AS VARCHAR), ';' ORDER BY place) AS wide, count(*) AS n
+  FROM (SELECT ts, place, CAST(floor(max(close) * 1e6 + 0.50013) AS BIGINT) AS close FROM bars JOIN names USING (instrument) GROUP BY ts, place) GROUP BY ts"""))
 def _(d):
-    return d.bars().groupBy("ts").pivot("instrument", list(WIDE)).agg(F.max("close"))
+    """Wide by all instruments there are; shown as one text, since the columns depend on the data."""
+    bars = d.bars()
+    names = sorted(r[0] for r in bars.select("instrument").distinct().collect())
+    wide = bars.groupBy("ts").pivot("instrument", names).agg(F.max("close"))
+    cells = [F.when(F.col(f"`{n}`").isNotNull(), F.concat(F.lit(f"{k}="), F.floor(F.col(f"`{n}`") * 1e6 + 0.50013).cast("string"))) for k, n in enumerate(names, 1)]
+    return wide.select("ts", F.concat_ws(";", *cells).alias("wide"), sum(F.col(f"`{n}`").isNotNull().cast("long") for n in names).alias("n"))
