@@ -193,18 +193,23 @@ def evaluate_all(
     """Candidates of every evaluation in one plan, stamped with its ids.
 
     A builder is any function (windows, ctx, cfg) → trades; ("name", "*") serves
-    all principles of a paradigm.
+    all principles of a paradigm. Evaluations of the standard builder that differ in
+    their ids alone are a small table of ids, exploded over one reading of the windows.
     """
-    parts = []
+    known, shared, parts = builders or {}, {}, []
     for e in evaluations:
-        known = builders or {}
-        build = known.get((e.paradigm_id, e.principle_id)) or known.get((e.paradigm_id, "*")) or candidate_trades
-        cfg = {**(base_cfg or {}), **e.params, "paradigm_id": e.paradigm_id, "principle_id": e.principle_id}
-        trades = build(windows, ctx, cfg)
-        ids = {"candidate_id": e.candidate_id, "experiment_id": e.experiment_id}
-        parts.append(
-            trades.withColumns({k: F.lit(v if v and v.strip() else SENTINEL) for k, v in ids.items()})
-        )
+        build = known.get((e.paradigm_id, e.principle_id)) or known.get((e.paradigm_id, "*"))
+        cfg = {**(base_cfg or {}), **e.params}
+        ids = {"paradigm_id": e.paradigm_id, "principle_id": e.principle_id}
+        ids |= {k: v if v and v.strip() else SENTINEL for k, v in (("candidate_id", e.candidate_id), ("experiment_id", e.experiment_id))}
+        if build is None:
+            shared.setdefault(repr(sorted(cfg.items(), key=lambda x: x[0])), (cfg, []))[1].append(ids)
+        else:
+            parts.append(build(windows, ctx, {**cfg, "paradigm_id": e.paradigm_id, "principle_id": e.principle_id}).withColumns({k: F.lit(ids[k]) for k in ("candidate_id", "experiment_id")}))
+    for cfg, table in shared.values():
+        trades = candidate_trades(windows, ctx, {**cfg, "paradigm_id": "", "principle_id": ""})
+        rows = F.explode(F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in ids.items()]) for ids in table]))
+        parts.append(trades.withColumn("_ids", rows).withColumns({k: F.col("_ids")[k] for k in ("paradigm_id", "principle_id", "candidate_id", "experiment_id")}).drop("_ids"))
     return union_all(parts)
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timegrid import anchor_grid
+from ..functions.timegrid import snap_by
 from .bars import keep_first
 from .conform import cast_keys, order_columns, require_disjoint
 
@@ -55,20 +55,17 @@ def assemble(
 
 
 def base_windows(candles: DataFrame | None, features: DataFrame | None, tfs: Sequence[str]) -> DataFrame:
-    """Anchor times of each timeframe from candles; from features for timeframes without candles."""
-    parts = []
-    for tf in tfs:
-        grids = []
-        if candles is not None:
-            grids.append(anchor_grid(candles.where(F.col("tf") == tf), tf).withColumn("_from", F.lit(0)))
-        if features is not None:
-            grids.append(anchor_grid(features.where(F.col("anchor_tf") == tf), tf).withColumn("_from", F.lit(1)))
-        parts.append(reduce(DataFrame.unionByName, grids))
-    both = reduce(DataFrame.unionByName, parts)
-    if candles is not None and features is not None:
-        first = both.groupBy("anchor_tf").agg(F.min("_from").alias("_from"))
-        both = both.join(first, ["anchor_tf", "_from"], "left_semi")
-    return both.drop("_from").withColumnRenamed("ts", "anchor_ts")
+    """Anchor times of each timeframe from candles; from features for timeframes without candles. Each source is read once, rows carrying their timeframe."""
+    sources = [(candles, "tf"), (features, "anchor_tf")]
+    parts = [
+        df.where(F.col(tf).isin(list(tfs))).select("instrument", F.col(tf).alias("anchor_tf"), snap_by(F.col("ts"), F.col(tf)).alias("anchor_ts"), F.lit(k).alias("_from"))
+        for k, (df, tf) in enumerate(sources) if df is not None
+    ]
+    both = reduce(DataFrame.unionByName, parts).groupBy("instrument", "anchor_tf", "anchor_ts").agg(F.min("_from").alias("_from"))
+    if len(parts) > 1:
+        first = both.groupBy("anchor_tf").agg(F.min("_from").alias("_first"))  # a row a timeframe
+        both = both.join(first, "anchor_tf").where(F.col("_from") == F.col("_first"))
+    return both.select("instrument", "anchor_tf", "anchor_ts")
 
 
 def expand_entries(base: DataFrame, tf_entries: Sequence[str]) -> DataFrame:
