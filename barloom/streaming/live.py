@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..functions.timegrid import tf_interval
+from ..functions.timegrid import micros, tf_interval, tf_micros
 from ..operators.bars import order_key
-from ..operators.calendar import blackout_slots
 from ..operators.flow import label_flow
 from ..session import shared_folder
 from ..operators.range_phase import (
@@ -72,14 +71,22 @@ def live_flow(signed: DataFrame, tf: str, delay: str = "10 minutes", cfg: Mappin
 
 
 def live_blackout(bars: DataFrame, calendar: DataFrame, tf: str) -> DataFrame:
-    """Stream-static left join of bars of one timeframe to the blackout grid times."""
-    slots = blackout_slots(calendar, tf).drop("anchor_tf")
-    return bars.join(slots, "ts", "left").withColumns(
-        {
-            "macro_is_blackout": F.col("macro_blackout_max_impact").isNotNull(),
-            "macro_blackout_max_impact": F.coalesce("macro_blackout_max_impact", F.lit(0)),
-        }
-    )
+    """Stream-static left join of bars to the blackout intervals of their grid cell, on the grid or off it.
+
+    A cell has one row with the intervals that touch it, so a bar stays one row; its own time decides.
+    """
+    step = tf_micros(F.lit(tf))
+    start, end = micros(F.col("blackout_start_ts")), micros(F.col("blackout_end_ts"))
+    spans = F.struct(start.alias("from"), end.alias("to"), F.col("impact").cast("int").alias("impact"))
+    cells = calendar.where(start < end).select(spans.alias("span"), F.explode(F.sequence(F.floor(start / step), F.floor((end - 1) / step))).alias("_cell"))
+    cells = cells.groupBy("_cell").agg(F.collect_list("span").alias("_spans"))
+    at = micros(F.col("ts"))
+    met = bars.withColumn("_cell", F.floor(at / step)).join(cells, "_cell", "left")
+    hits = F.filter("_spans", lambda s: (s["from"] <= at) & (at < s["to"]))
+    impact = F.array_max(F.transform(hits, lambda s: s["impact"]))
+    return met.withColumns(
+        {"macro_is_blackout": impact.isNotNull(), "macro_blackout_max_impact": F.coalesce(impact, F.lit(0))}
+    ).select(*bars.columns, "macro_blackout_max_impact", "macro_is_blackout")
 
 
 def _evidence(bars: pd.DataFrame, c: Mapping) -> pd.DataFrame:

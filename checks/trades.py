@@ -191,11 +191,10 @@ def _(d):
     return dc.attach_evaluation(left, s).drop("instrument")
 
 
-@check("J-16", "SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 10 WHEN 'F' THEN 30 ELSE 15 END AS pre_min FROM orders")
+@check("J-16", "SELECT o_orderkey, o_orderdate AS event_ts, o_orderdate - to_minutes(CASE o_orderstatus WHEN 'O' THEN 10 WHEN 'F' THEN 30 ELSE 15 END) AS blackout_start_ts, o_orderdate + to_minutes(CASE o_orderstatus WHEN 'O' THEN 20 WHEN 'F' THEN 40 ELSE 5 END) AS blackout_end_ts FROM orders")
 def _(d):
-    lut = d.spark.createDataFrame([("O", 10), ("F", 30)], "o_orderstatus string, m int")
-    # A configuration table of a few rows; size-based broadcast is left to the planner.
-    return d.table("orders").join(lut, "o_orderstatus", "left").select("o_orderkey", F.coalesce("m", F.lit(15)).alias("pre_min"))
+    rows = d.table("orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("event_ts"), F.col("o_orderstatus").alias("impact"))
+    return cal.blackout_bounds(rows, (15, 5), {"O": (10, 20), "F": (30, 40)}).drop("impact")
 
 
 @check("J-17", query(M15, "SELECT instrument, ts AS anchor_ts, e AS tf_entry FROM bars, (VALUES ('S1'), ('M1'), ('M5'), ('M15')) v(e)"))
@@ -406,17 +405,27 @@ def _(d):
     return dc.threshold_sweep(return_zscores(d.bars()).select("dt", "stat_ts_vol_zscore"), [0.5, 1.0, 1.5, 2.0])
 
 
-@check("O-17", "SELECT count(*) AS rows, true AS same_when_shuffled, true AS differs_when_changed FROM events")
+CELLS_SQL = " || ".join(
+    f"CASE WHEN {x} IS NULL THEN 'n' ELSE length({x}) || ':' || {x} END"
+    for x in ("CAST(event_id AS VARCHAR)", "event_type", "props", "CAST(epoch_us(ts) AS VARCHAR)", "CAST(user_id AS VARCHAR)", "CAST(CAST(floor(value * 1e6 + 0.50013) AS BIGINT) AS VARCHAR)")
+)
+
+
+@check("O-17", f"""WITH h AS (SELECT md5({CELLS_SQL}) AS h FROM events),
+  n AS (SELECT CAST('0x' || h[1:8] AS BIGINT) AS a, CAST('0x' || h[9:23] AS BIGINT) AS b FROM h)
+  SELECT count(*) AS rows, CAST(sum(a) AS VARCHAR) AS sum_32, CAST(sum(b) AS VARCHAR) AS sum_60, bit_xor(b) AS xor_60, true AS same_when_shuffled, true AS differs_when_changed FROM n""")
 def _(d):
     e = d.table("events")
     mixed = e.repartition(7, "user_id").select(*reversed(e.columns))
     other = e.withColumn("value", F.when(F.col("event_id") == 0, F.col("value") + 1).otherwise(F.col("value")))
-    parts = [qa.content_hash(x).withColumn("which", F.lit(n)) for n, x in (("a", e), ("b", mixed), ("c", other))]
-    row = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy().pivot("which", ["a", "b", "c"]).agg(
-        F.max("rows").alias("rows"), F.max("hash_sum").alias("sum"), F.max("hash_xor").alias("xor")
+    parts = [qa.portable_digest(x).withColumn("which", F.lit(n)) for n, x in (("a", e), ("b", mixed), ("c", other))]
+    names = ("rows", "sum_32", "sum_60", "xor_60")
+    row = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy().pivot("which", ["a", "b", "c"]).agg(*[F.max(n).alias(n) for n in names])
+    same = [F.col(f"a_{n}") == F.col(f"b_{n}") for n in names]
+    return row.select(
+        *[F.col(f"a_{n}").alias(n) for n in names], (same[0] & same[1] & same[2] & same[3]).alias("same_when_shuffled"),
+        ((F.col("a_sum_32") != F.col("c_sum_32")) & (F.col("a_sum_60") != F.col("c_sum_60")) & (F.col("a_xor_60") != F.col("c_xor_60"))).alias("differs_when_changed"),
     )
-    same = (F.col("a_sum") == F.col("b_sum")) & (F.col("a_xor") == F.col("b_xor"))
-    return row.select(F.col("a_rows").alias("rows"), same.alias("same_when_shuffled"), (F.col("a_sum") != F.col("c_sum")).alias("differs_when_changed"))
 
 
 @check("O-18", "SELECT count(*) AS rows, count(*) FILTER (event_id % 50 = 0) AS null_key_rows, count(*) - count(DISTINCT coalesce(CASE WHEN event_id % 50 > 0 THEN user_id END, -1)) AS duplicate_rows FROM events")
@@ -556,7 +565,10 @@ def _(d):
     return out.select("instrument", ts, F.col("fold_phase").alias("dr_phase"), F.col("fold_reason").alias("dr_reason_code"), F.col("fold_age").alias("dr_age_bars"))
 
 
-@check("R-04", query(MACRO, "SELECT instrument, anchor_tf, ts, hit AS macro_is_blackout, CAST(imp AS INTEGER) AS macro_blackout_max_impact FROM fl"))
+@check("R-04", query(f"{M15}, {CALENDAR}", """SELECT b.instrument, b.anchor_tf, b.ts, count(impact) > 0 AS macro_is_blackout, CAST(coalesce(max(impact), 0) AS INTEGER) AS macro_blackout_max_impact
+  FROM (SELECT instrument, anchor_tf, ts FROM bars UNION ALL SELECT instrument, anchor_tf, ts + to_seconds(7 * 60 + 13) FROM bars) b
+  LEFT JOIN calendar c ON b.ts >= c.blackout_start_ts AND b.ts < c.blackout_end_ts GROUP BY ALL"""))
 def _(d):
     stream = d.spark.readStream.schema(d.bars().schema).parquet(stored_bars(d)).select(*KEYS)
-    return live.drain(live.live_blackout(stream, d.calendar(), "M15"), d.spark, "r04").select(*KEYS, "macro_is_blackout", "macro_blackout_max_impact")
+    between = stream.withColumn("ts", F.col("ts") + F.make_dt_interval(mins=F.lit(7), secs=F.lit(13)))  # bars off the grid
+    return live.drain(live.live_blackout(stream.unionByName(between), d.calendar(), "M15"), d.spark, "r04").select(*KEYS, "macro_is_blackout", "macro_blackout_max_impact")
