@@ -120,42 +120,68 @@ def _evidence(bars: pd.DataFrame, c: Mapping) -> pd.DataFrame:
     return out
 
 
+BARS_STATE = "us array<bigint>, high array<double>, low array<double>, close array<double>"
+BAR_COLUMNS = ["us", "high", "low", "close"]
+
+
 class PhaseProcessor(StatefulProcessor):
-    """Keeps, per series, the fold state and the last bars that evidence reads.
+    """Event-time phases: bars wait in a buffer until the watermark passes them, then go through the fold in order.
 
-    The state is bounded by twice the lookback. A new day starts a new fold, as
-    the batch operator's day groups do.
+    Kept per series: the waiting bars, the fold state and the last bars that evidence reads (at most twice the
+    lookback). Bars in time for the watermark count wherever they arrive, later ones don't. A timer stands at the
+    first waiting bar; without any, one stands ``idle`` after the last bar and clears the series. A new day starts a
+    new fold, as the batch operator's day groups do.
     """
 
-    def __init__(self, cfg: Mapping | None = None):
-        self.cfg = range_settings(cfg)
+    def __init__(self, cfg: Mapping | None = None, idle_ms: int = 7 * 86_400_000):
+        self.cfg, self.idle_ms = range_settings(cfg), idle_ms
         self.keep = 2 * max(2, self.cfg["lookback_bars"]) + max(2, self.cfg["atr_window"])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.fold = handle.getValueState("fold", STATE_SCHEMA)
-        self.bars = handle.getValueState(
-            "bars", "us array<bigint>, high array<double>, low array<double>, close array<double>"
-        )
+        self.bars = handle.getValueState("bars", BARS_STATE)
+        self.waiting = handle.getValueState("waiting", BARS_STATE)
+
+    @staticmethod
+    def _held(state) -> pd.DataFrame:
+        columns = state.get() if state.exists() else ([], [], [], [])
+        return pd.DataFrame({n: pd.Series(list(v), dtype="int64" if n == "us" else "float64") for n, v in zip(BAR_COLUMNS, columns)})
+
+    @staticmethod
+    def _keep(state, bars: pd.DataFrame) -> None:
+        state.update(tuple(bars[c].tolist() for c in BAR_COLUMNS))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh = pd.concat(list(rows)).sort_values("us")
-        state = PhaseState(*self.fold.get()) if self.fold.exists() else PhaseState()
-        old = (
-            pd.DataFrame(dict(zip(("us", "high", "low", "close"), map(list, self.bars.get()))))
-            if self.bars.exists()
-            else fresh.iloc[:0][["us", "high", "low", "close"]]
-        )
-        if len(old):  # a bar that is not after the last one comes too late and is dropped
+        old = self._held(self.bars)
+        fresh = pd.concat([self._held(self.waiting), *[r[BAR_COLUMNS] for r in rows]], ignore_index=True)
+        if len(old):  # what has gone through the fold is settled
             fresh = fresh[fresh["us"] > old["us"].iloc[-1]]
-        if not len(fresh):
+        self._keep(self.waiting, fresh.sort_values("us", kind="stable").drop_duplicates("us"))
+        yield from self._advance(key, old, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now, old = timerValues.getCurrentWatermarkInMs(), self._held(self.bars)
+        waiting = self._held(self.waiting)
+        if not len(waiting) and len(old) and now * 1000 >= int(old["us"].iloc[-1]) + self.idle_ms * 1000:
+            for state in (self.fold, self.bars, self.waiting):
+                state.clear()
             return
+        yield from self._advance(key, old, now)
+
+    def _advance(self, key, old: pd.DataFrame, watermark_ms: int) -> Iterator[pd.DataFrame]:
+        """Folds the waiting bars that the watermark has passed, and sets the next timer."""
+        waiting = self._held(self.waiting)
+        ready = waiting[waiting["us"] <= watermark_ms * 1000]
+        rest = waiting.iloc[len(ready) :]
+        if len(ready):
+            self._keep(self.waiting, rest)
+        state = PhaseState(*self.fold.get()) if self.fold.exists() else PhaseState()
         out = []
-        for day, part in fresh.groupby(fresh["us"] // 86_400_000_000, sort=True):
+        for day, part in ready.groupby(ready["us"] // 86_400_000_000, sort=True):
             if len(old) and old["us"].iloc[-1] // 86_400_000_000 != day:
                 old, state = old.iloc[:0], PhaseState()
-            bars = pd.concat([old, part[["us", "high", "low", "close"]]], ignore_index=True) if len(old) else part[
-                ["us", "high", "low", "close"]
-            ].reset_index(drop=True)
+            bars = pd.concat([old, part], ignore_index=True) if len(old) else part.reset_index(drop=True)
             evidence = _evidence(bars, self.cfg)
             evidence["us"] = bars["us"]
             new = evidence.iloc[len(old) :]
@@ -164,8 +190,16 @@ class PhaseProcessor(StatefulProcessor):
             result.insert(0, "us", new["us"].to_numpy())
             out.append(result)
             old = bars.iloc[-self.keep :]
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if len(rest):
+            self.handle.registerTimer(int(rest["us"].iloc[0]) // 1000)
+        elif len(old):
+            self.handle.registerTimer(int(old["us"].iloc[-1]) // 1000 + self.idle_ms)
+        if not out:
+            return
         self.fold.update(state.as_row())
-        self.bars.update(tuple(old[c].tolist() for c in ("us", "high", "low", "close")))
+        self._keep(self.bars, old)
         result = pd.concat(out, ignore_index=True)
         result.insert(0, "anchor_tf", key[1])
         result.insert(0, "instrument", key[0])
@@ -175,20 +209,21 @@ class PhaseProcessor(StatefulProcessor):
         pass
 
 
-def live_phases(bars: DataFrame, cfg: Mapping | None = None) -> DataFrame:
-    """Range phases of arriving bars (instrument, anchor_tf, ts, high, low, close).
+def live_phases(bars: DataFrame, cfg: Mapping | None = None, delay: str = "10 minutes", idle_ms: int = 7 * 86_400_000) -> DataFrame:
+    """Range phases of arriving bars (instrument, anchor_tf, ts, high, low, close), given out once the watermark has passed a bar.
 
-    Bars that arrive after a later one of their series are dropped. Needs the RocksDB
-    state store provider to be set in the session.
+    Bars may come in any order within ``delay``; later ones are dropped, and of bars of one time the first counts.
+    A series without bars for ``idle_ms`` of event time is forgotten. Needs the RocksDB state store provider to be
+    set in the session.
     """
-    slim = bars.select(
-        "instrument", "anchor_tf", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "high", "low", "close"
+    slim = _event_time(bars).withWatermark("ts", delay).select(
+        "instrument", "anchor_tf", "ts", F.unix_micros("ts").alias("us"), "high", "low", "close"
     )
     return slim.groupBy("instrument", "anchor_tf").transformWithStateInPandas(
-        statefulProcessor=PhaseProcessor(cfg),
+        statefulProcessor=PhaseProcessor(cfg, idle_ms),
         outputStructType="instrument string, anchor_tf string, us bigint, " + PHASE_SCHEMA,
         outputMode="append",
-        timeMode="none",
+        timeMode="eventTime",
     )
 
 
