@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import decisions as d
-from ..operators.bars import to_bars
+from ..operators.bars import keep_last, to_bars
 from ..operators.conform import RunContext
 from ..operators.flow import side_signed, signed_ticks
 from ..operators.paths import path_classes
@@ -16,7 +16,7 @@ from ..operators.range_phase import range_phases
 from ..operators.structure import structure_events
 from ..operators.windows import context_windows
 from ..sources.store import write_table
-from .features import feature_table, zones_table
+from .features import correlation_table, feature_table, zones_table
 
 
 def run(
@@ -33,13 +33,19 @@ def run(
     ticks_have_sides: bool = False,
     backtest: bool = True,
     materialise: Callable[[DataFrame], DataFrame] = lambda df: df,
+    universe: DataFrame | None = None,
+    tiles: int = 1,
 ) -> dict[str, DataFrame]:
     """All tables by name; without ``materialise`` nothing is computed yet.
 
+    Of candles that repeat a key one is kept, by a hash of its values, before anything
+    reads them. A universe (instrument, cluster_id) adds features_corr.
+
     It is applied to the structure core, the feature table and the candidates,
     which several later tables read: pass ``cut_lineage`` or a write-and-read.
     """
     cfg = cfg or {}
+    candles = keep_last(candles, ["instrument", "tf", "ts"], F.xxhash64(*candles.columns))
     bars = to_bars(candles, tfs)
     signed = None
     if ticks is not None:
@@ -74,6 +80,8 @@ def run(
         "trade_clusters": d.cluster_counts(paths),
         "brackets": orders,
     }
+    if universe is not None:
+        tables["features_corr"] = correlation_table(bars, universe, cfg.get("corr"), tiles).withColumn("dt", F.to_date("ts"))
     if backtest:
         outcomes = d.barrier_outcomes(orders, candles)
         tables |= {"orders": d.order_rows(orders), "fills": d.fill_rows(outcomes)}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from barloom.functions.rolling import Rows
@@ -23,7 +25,7 @@ from barloom.streaming import live
 from .base import BY_DAY, CALENDAR, M15, TICKS, YEAR, bars_cte, check, div, lag, mean, query, rounded, std, total
 from .families import CORR, FLOW_CFG, FLOW_SQL, MARKET, PANEL, SIDE_SIGNED, TOP_SQL, VOL_SQL, corr_sql, market
 from .scans import trades
-from .structures import CFG, FOLD, FOLD_SELECT, GAP, RANGE
+from .structures import CFG, EVENT_BODY, EVENT_CTES, FOLD, FOLD_SELECT, GAP, RANGE
 from .tables import CTX
 from .windowing import scored
 
@@ -462,12 +464,18 @@ def _(d):
     return qa.table_counts({"ticks": e, "errors": e.where("event_type = 'error'")}, ["dt"])
 
 
-@check("O-chain", query("", """SELECT 'fills' AS "table", true AS paired"""))
+@check("O-chain", f"""WITH RECURSIVE {EVENT_CTES}, told_all AS ({EVENT_BODY}), counted AS (SELECT count(*) AS n FROM bars)
+  SELECT 'features' AS "table", n AS rows FROM counted UNION ALL SELECT 'windows', n FROM counted UNION ALL SELECT 'zones_state', 2 * n FROM counted
+  UNION ALL SELECT 'features_corr', n FROM counted UNION ALL SELECT 'market_events', count(*) FROM told_all UNION ALL SELECT 'fills without a partner', 0""")
 def _(d):
-    """The whole chain; each trade has an entry and an exit fill."""
-    tables = run(CTX, d.candles(), ["M15"], ["M15"], d.ticks(), d.calendar(), cfg={"ict_struct": CFG, "dealing_range_state": RANGE}, ticks_have_sides=True, materialise=cut_lineage)
+    """The whole chain, candles given twice: a feature row and a window a bar, two zones, the structure's events; each trade has an entry and an exit fill."""
+    candles = d.candles()
+    tables = run(CTX, candles.unionByName(candles), ["M15"], ["M15"], d.ticks(), d.calendar(), cfg={"ict_struct": CFG, "dealing_range_state": RANGE}, ticks_have_sides=True, materialise=cut_lineage, universe=d.universe(d.bars()))
     fills = tables["fills"].groupBy("trade_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("fill_type").alias("k"))
-    return fills.agg(F.bool_and((F.col("n") == 2) & (F.col("k") == 2)).alias("paired")).select(F.lit("fills").alias("table"), "paired")
+    alone = fills.where(~((F.col("n") == 2) & (F.col("k") == 2)))
+    found = [(n, tables[n]) for n in ("features", "windows", "zones_state", "features_corr", "market_events")] + [("fills without a partner", alone)]
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows") for n, df in found]
+    return reduce(lambda x, y: x.unionByName(y), parts)
 
 
 # --- trade paths --------------------------------------------------------------------------------------------
