@@ -65,4 +65,58 @@ FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.alike AND 8
 QUALIFY rank <= 5
 """
 
-SQL = {"op12_hard_negatives": HARD_NEGATIVES, "op13_prefix_trie": PREFIX_TRIE}
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ALNUM_WORDS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+SPACED_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+PHRASES = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, {ALNUM_WORDS} AS words FROM documents
+), items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, {ALNUM_WORDS} AS words FROM benchmark
+), windows AS (
+    SELECT DISTINCT item, words[k : least(k + 9, len(words))] AS win
+    FROM (SELECT *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS k FROM items WHERE len(words) > 0)
+), sizes AS (
+    SELECT DISTINCT len(win) AS size FROM windows
+), grams AS (
+    SELECT r, k, size, words[k : k + size - 1] AS win
+    FROM (SELECT r, words, size, unnest(range(1, len(words) - size + 2)) AS k FROM docs, sizes WHERE len(words) >= size)
+), hits AS (
+    SELECT r, k, size, item FROM grams JOIN windows USING (win)
+), counted AS (
+    SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(k, k + size)) AS place FROM hits) GROUP BY r
+), found AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
+)
+SELECT
+    doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN counted USING (r) LEFT JOIN found USING (r)
+"""
+
+PASSAGES = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, {SPACED_WORDS} AS words FROM documents
+), windows AS (
+    SELECT r, doc_id, k, array_to_string(words[k : k + 19], ' ') AS win
+    FROM (SELECT *, unnest(range(1, len(words) - 18)) AS k FROM docs WHERE len(words) >= 20)
+), later AS (
+    SELECT r, k FROM windows QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, k) > 1
+), gone AS (
+    SELECT r, list(DISTINCT place) AS places FROM (SELECT r, unnest(range(k, k + 20)) AS place FROM later) GROUP BY r
+), marked AS (
+    SELECT docs.r, doc_id, words, coalesce(places, []::BIGINT[]) AS places FROM docs LEFT JOIN gone USING (r)
+), split AS (
+    SELECT r, string_agg(word, ' ' ORDER BY place) FILTER (WHERE NOT hit) AS kept
+    FROM (
+        SELECT w.r, w.place, w.word, g.place IS NOT NULL AS hit
+        FROM (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM docs) w
+        LEFT JOIN (SELECT r, unnest(places) AS place FROM gone) g ON g.r = w.r AND g.place = w.place
+    ) GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, len(places)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM marked LEFT JOIN split USING (r)
+"""
+
+SQL = {"op7_phrases": PHRASES, "op10_passages": PASSAGES, "op12_hard_negatives": HARD_NEGATIVES, "op13_prefix_trie": PREFIX_TRIE}
