@@ -5,13 +5,18 @@ at the plane (weight × rank) of each element as a Poisson process that depends
 element's hash alone, so equal elements get equal darts in all documents. Those inside
 the region and below a rank that holds k (ln k + 2) of them in expectation are dealt to k
 coordinates; the earliest of each is the signature, and two signatures agree in a
-coordinate with the probability of the weighted Jaccard similarity.
+coordinate with the probability of the weighted Jaccard similarity. The weight of a run of
+words is how often it stands in the text; for exact tests its copies are numbered, so that
+a weighted set is a plain set of (run, copy).
 
 Bands of the signature put documents into buckets. In each bucket all are compared with
-its leader, exactly; only members that the leader doesn't place are compared further, and
-of these pairs only those that two exact bounds leave open: the triangle inequality, and
-the bits in which parity maps of the two sets differ, which are no more than the elements
-that only one of them has.
+its leader, the member whose bands meet most others, exactly; links contract to classes.
+Members that the leader doesn't place are few in most buckets: they are compared with the
+others that two exact bounds leave open, the triangle inequality and the bits in which
+parity maps of the two sets differ. In a bucket with more than CROWD of them, no product is
+formed: two similar sets of which one isn't similar to the leader must have differences
+to the leader in common, so members are dealt to narrower buckets by the first of their
+rarest differences (as many as the least overlap leaves), and these buckets go the same way.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import kept_table
+from .frames import kept_table, trimmed
 from .text import GOLDEN, NOT_SPACE, buffer_of, hash_spans, mix, pieces, spread, window_hashes, words_of
 
 WORDS, SIMILARITY = 5, 0.8
@@ -31,6 +36,10 @@ SLICE = 1 << 20
 THROWN = 256
 #: Longs of a parity map.
 MAP = 16
+#: Unplaced members of a bucket that are compared with all others, rounds of narrower buckets for more.
+CROWD, ROUNDS = 64, 3
+#: An element in which one of so many members of a crowd differs is common to it.
+COMMON = 64
 # Cumulated Poisson(1) probabilities, as 64-bit thresholds.
 _CDF = np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 16)]))
 POISSON = np.minimum(_CDF * 2.0**64, float(2**64 - 2048)).astype(np.uint64)
@@ -89,7 +98,7 @@ def throw(elements: np.ndarray, weights: np.ndarray, owner: np.ndarray, sets: in
 
 
 def sketches(docs: DataFrame, words: int, bands: int, rows: int, weighted: bool) -> DataFrame:
-    """(doc_id, digest, n, bands) of each row: size of its shingle set, and a hash of each band of its signature. No shuffle."""
+    """(doc_id, digest, n, bands) of each row: total weight of its shingle set, and a hash of each band of its signature. No shuffle."""
     k = bands * rows
 
     def run(batches):
@@ -97,6 +106,7 @@ def sketches(docs: DataFrame, words: int, bands: int, rows: int, weighted: bool)
             for a, b in pieces(batch.column(2), SLICE):
                 sets = [np.unique(s, return_counts=True) for s in shingles(*buffer_of(batch.column(2).slice(a, b - a)), words)]
                 sizes = np.array([len(s) for s, _ in sets])
+                totals = np.array([int(c.sum()) if weighted else len(c) for _, c in sets], np.int64)
                 some = np.flatnonzero(sizes)
                 hashes: list = [[] for _ in sets]
                 if len(some):
@@ -116,16 +126,16 @@ def sketches(docs: DataFrame, words: int, bands: int, rows: int, weighted: bool)
                     for j, v in zip(some.tolist(), key.view(np.int64).tolist(), strict=True):
                         hashes[j] = v
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(sizes.astype(np.int64)), pa.array(hashes, pa.list_(pa.int64()))],
+                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(totals), pa.array(hashes, pa.list_(pa.int64()))],
                     names=["doc_id", "digest", "n", "bands"],
                 )
 
     source = docs.select(F.col("doc_id").cast("long"), digest_of().alias("digest"), "text")
-    return source.mapInArrow(run, "doc_id long, digest string, n long, bands array<long>")
+    return source.mapInArrow(trimmed(run), "doc_id long, digest string, n long, bands array<long>")
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(id, members: ascending distinct shingle hashes with their counts, packed; map: for each of 64 × MAP bits whether an odd number of members falls on it)."""
+def shingle_sets(docs: DataFrame, words: int, weighted: bool) -> DataFrame:
+    """(id, members: ascending distinct hashes of shingles, or of shingles and copy numbers, packed; map: for each of 64 × MAP bits whether an odd number of members falls on it)."""
 
     def run(batches):
         for batch in batches:
@@ -133,13 +143,16 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
                 packed, maps = [], []
                 for s in shingles(*buffer_of(batch.column(1).slice(a, b - a)), words):
                     members, counts = np.unique(s, return_counts=True)
-                    packed.append(members.tobytes() + counts.astype("<u4").tobytes())
+                    if weighted:  # the first copy of a run is the run itself
+                        copy = spread(np.zeros(len(counts), np.int64), counts)
+                        members = np.unique(np.where(copy == 0, np.repeat(members, counts), mix(np.repeat(members, counts) + copy.astype(np.uint64) * GOLDEN)))
+                    packed.append(members.tobytes())
                     odd = np.bincount((mix(members) % np.uint64(64 * MAP)).astype(np.int64), minlength=64 * MAP) & 1
                     maps.append(np.packbits(odd.astype(bool)).view(np.int64).tolist())
                 columns = [batch.column(0).slice(a, b - a), pa.array(packed, pa.binary()), pa.array(maps, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "members", "map"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, members binary, map array<long>")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), "id long, members binary, map array<long>")
 
 
 def near_maps(n, map_, other_n, other_map, similarity: float):
@@ -148,7 +161,12 @@ def near_maps(n, map_, other_n, other_map, similarity: float):
     return differ <= (1 - similarity) / (1 + similarity) * (n + other_n) + 1e-6
 
 
-def compared(pairs: DataFrame, sets: DataFrame, weighted: bool) -> DataFrame:
+def _set(x: pa.Scalar) -> np.ndarray:
+    x = x.as_buffer()
+    return np.frombuffer(x, "<u8", len(x) // 8)
+
+
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (a, b) with their exact similarity."""
     left = sets.select(F.col("id").alias("a"), F.col("members").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("members").alias("right"))
@@ -157,19 +175,75 @@ def compared(pairs: DataFrame, sets: DataFrame, weighted: bool) -> DataFrame:
         for batch in batches:
             out = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = x.as_buffer(), y.as_buffer()
-                n, m = len(x) // 12, len(y) // 12
-                one, two = np.frombuffer(x, "<u8", n), np.frombuffer(y, "<u8", m)
-                both, i, j = np.intersect1d(one, two, assume_unique=True, return_indices=True)
-                if weighted:
-                    v, w = np.frombuffer(x, "<u4", n, 8 * n).astype(np.int64), np.frombuffer(y, "<u4", m, 8 * m).astype(np.int64)
-                    shared = int(np.minimum(v[i], w[j]).sum())
-                    out.append(shared / (int(v.sum() + w.sum()) - shared))
-                else:
-                    out.append(len(both) / (n + m - len(both)))
+                one, two = _set(x), _set(y)
+                shared = len(np.intersect1d(one, two, assume_unique=True))
+                out.append(shared / (len(one) + len(two) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
 
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long, similarity double")
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(trimmed(run), "a long, b long, similarity double")
+
+
+def differences(own: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """What only one of two sets has."""
+    return np.setxor1d(own, lead, assume_unique=True)
+
+
+def difference_keys(own: np.ndarray, lead: np.ndarray, common: np.ndarray, lead_id: int, similarity: float) -> np.ndarray:
+    """Keys of which a set shares one with every set at least that similar, where one of the two isn't so similar to the lead.
+
+    With D the difference of a set to the lead, two similar sets x and y differ in at most d = (1 - s) / (1 + s) (|x| + |y|)
+    elements, and share at least (|Dx| + |Dy| - d) / 2 of their differences, always one. So they share one of the first
+    |Dx| - that + 1 of x and as many of y, in any order of all elements; here those that many differ in (common, the most
+    frequent last) come last. The sizes of D are dealt to classes, and a key holds those of both sides.
+    """
+    first = differences(own, lead)
+    u, n, c = len(first), len(own), (1 - similarity) / (1 + similarity)
+    if not u:
+        return np.zeros(0, np.int64)
+    place = {e: k + 1 for k, e in enumerate(common.tolist())}
+    late = np.array([place.get(e, 0) for e in first.tolist()], np.int64)
+    first = first[np.lexsort((mix(first), late))]
+    wide = max(1, int(c * len(lead) / 2))
+    most = c * (n + n / similarity) + 1e-6
+    out, mine = [], u // wide
+    for k in range(int(max(0, u - most)) // wide, int(u + most) // wide + 1):
+        v, upto = k * wide, k * wide + wide - 1
+        apart = c * (n + min(n / similarity, len(lead) + upto)) + 1e-6
+        shared = max(1, int(np.ceil((u + v - apart) / 2)))
+        if shared <= u:
+            pair = mix(np.array([min(k, mine) << 32 | max(k, mine)], np.uint64))
+            out.append(mix(first[: u - shared + 1] ^ mix(pair + np.uint64(lead_id & (1 << 63) - 1))))
+    return np.unique(np.concatenate(out)).view(np.int64) if out else np.zeros(0, np.int64)
+
+
+def narrower(crowds: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(bucket, id) by difference keys of crowds (lead, id). Elements are common to a crowd if one in COMMON of its members differs in them, so there are few of them."""
+    left = sets.select("id", F.col("members").alias("own"))
+    right = sets.select(F.col("id").alias("lead"), F.col("members").alias("other"))
+
+    def split(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                found = [differences(_set(x), _set(y)) for x, y in zip(*(batch.column(k).slice(start, 512) for k in (2, 3)), strict=True)]
+                lead = np.repeat(batch.column(0).slice(start, 512).to_numpy(), [len(f) for f in found])
+                yield pa.RecordBatch.from_arrays([pa.array(lead), pa.array(np.concatenate(found).view(np.int64))], names=["lead", "element"])
+
+    def keyed(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                keys, ids = [], []
+                for lead, i, x, y, rare in zip(*(batch.column(k).slice(start, 512) for k in range(5)), strict=True):
+                    common = np.array(rare.as_py() or [], np.int64).view(np.uint64)
+                    keys.append(difference_keys(_set(x), _set(y), common, lead.as_py(), similarity))
+                    ids.append(np.full(len(keys[-1]), i.as_py(), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], names=["bucket", "id"])
+
+    both = kept_table(crowds.join(left, "id").join(right, "lead").select("lead", "id", "own", "other"), "crowds")
+    often = both.mapInArrow(trimmed(split), "lead long, element long").groupBy("lead", "element").agg(F.count(F.lit(1)).alias("times"))
+    size = both.groupBy("lead").agg(F.count(F.lit(1)).alias("members"))
+    often = often.where(F.col("times") > 1).join(size, "lead").where(F.col("times") * COMMON >= F.col("members"))
+    common = often.groupBy("lead").agg(F.sort_array(F.collect_list(F.struct("times", "element")))["element"].alias("common"))
+    return both.join(common, "lead", "left").select("lead", "id", "own", "other", "common").mapInArrow(trimmed(keyed), "bucket long, id long").distinct()
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -193,8 +267,71 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             return nodes.select("id").join(labels, "id", "left").select("id", F.coalesce("class", "id").alias("class"))
 
 
+def contracted(nodes: DataFrame, classes: DataFrame, links: DataFrame | None, more: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Classes and links after more links."""
+    if not more.take(1):
+        return classes, links
+    links = more if links is None else kept_table(links.unionByName(more), "links")
+    return kept_table(components(nodes, links), "classes"), links
+
+
+def _met(buckets: DataFrame) -> DataFrame:
+    """(bucket, id, size) of the buckets of several members."""
+    size = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    return buckets.join(size, "bucket")
+
+
+def placed(buckets: DataFrame, sets: DataFrame, classes: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(links (a, b) of members to their bucket's leader; members (bucket, id, n, lead, lead_n, d) of buckets of several classes, d the distance to the leader where it was taken)."""
+    score = buckets.groupBy("id").agg(F.sum("size").alias("score"))
+    info = sets.select("id", "n").join(classes, "id")
+    members = buckets.join(score, "id").join(info, "id")
+    lead = F.max(F.struct("score", (-F.col("id")).alias("minus"), "n", "class")).alias("l")
+    leaders = members.groupBy("bucket").agg(lead).select("bucket", (-F.col("l.minus")).alias("lead"), F.col("l.n").alias("lead_n"), F.col("l.class").alias("lead_class"))
+    members = kept_table(members.drop("score", "size").join(leaders, "bucket"), "members")
+    asked = members.where((F.col("class") != F.col("lead_class")) & alike(F.col("n"), F.col("lead_n"), similarity))
+    pairs = asked.select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
+    measured = kept_table(compared(pairs, sets), "measured")
+    d = measured.select(F.col("a").alias("id"), F.col("b").alias("lead"), (1 - F.col("similarity")).alias("d"))
+    links = measured.where(F.col("similarity") >= similarity).select("a", "b")
+    return links, members.drop("class", "lead_class").join(d, ["id", "lead"], "left")
+
+
+def alike(n, m, similarity: float):
+    """Whether sizes allow that similarity."""
+    return F.least(n, m) >= similarity * F.greatest(n, m)
+
+
+def unplaced(members: DataFrame, sets: DataFrame, classes: DataFrame, similarity: float, narrow: bool) -> tuple[DataFrame, DataFrame | None]:
+    """What leaders left open: (pairs (a, b) still to be compared; with narrow, (lead, id) of the buckets with a crowd of unplaced members, None without any)."""
+    bound = 1 - F.least("n", "lead_n") / F.greatest("n", "lead_n")
+    classed = members.join(classes, "id").join(classes.select(F.col("id").alias("lead"), F.col("class").alias("lead_class")), "lead")
+    out = F.col("class") != F.col("lead_class")
+    mixed = classed.where(out).groupBy("bucket").agg(F.count(F.lit(1)).alias("out"))
+    open_ = classed.where(F.col("id") != F.col("lead")).join(mixed, "bucket").select(
+        "bucket", "id", "lead", "n", "class", "lead_class", "out", F.coalesce("d", bound).alias("low"), F.coalesce("d", F.lit(1.0)).alias("high")
+    )
+    open_ = kept_table(open_, "open")
+    few = F.col("out") <= CROWD if narrow else F.lit(True)
+    maps = sets.select("id", "map")
+    here = open_.where(few).join(maps, "id")
+    x = here.where(out).select("bucket", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "map", "class", "low", "high")])
+    far = 1 - similarity + 1e-9
+    near = (
+        x.join(here, "bucket")
+        .where((F.col("class_x") != F.col("class")) & alike(F.col("n_x"), F.col("n"), similarity))
+        .where(~out | (F.col("id_x") < F.col("id")))
+        .where((F.col("low") - F.col("high_x") <= far) & (F.col("low_x") - F.col("high") <= far))
+        .where(near_maps(F.col("n_x"), F.col("map_x"), F.col("n"), F.col("map"), similarity))
+        .select(F.col("id_x").alias("a"), F.col("id").alias("b"))
+        .distinct()
+    )
+    crowds = open_.where(F.col("out") > CROWD).select("lead", "id").distinct()
+    return near, crowds if narrow and crowds.take(1) else None
+
+
 def text_classes(
-    docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighted: bool = False
+    docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighted: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """(doc_id, digest) of every row of docs, and (digest, least, class_id, leads) of every distinct text.
 
@@ -206,57 +343,24 @@ def text_classes(
     sketch = kept_table(sketches(docs, words, bands, rows, weighted).withColumn("row", F.monotonically_increasing_id()), "sketches")
     texts = kept_table(sketch.groupBy("digest").agg(F.min("row").alias("id"), F.min("doc_id").alias("least")), "texts")
     one = sketch.join(texts.select(F.col("id").alias("row")), "row", "left_semi").select(F.col("row").alias("doc_id"), "n", "bands")
-    banded = one.where(F.size("bands") > 0).select(F.col("doc_id").alias("id"), "n", F.posexplode("bands").alias("band", "key"))
-    leaders = (
-        banded.groupBy("band", "key")
-        .agg(F.min(F.struct("id", "n")).alias("lead"), F.count(F.lit(1)).alias("size"))
-        .where(F.col("size") > 1)
-        .select("band", "key", F.col("lead.id").alias("lead"), F.col("lead.n").alias("lead_n"))
-    )
-    members = kept_table(banded.join(leaders, ["band", "key"]), "members")
-
-    def alike(n, m):  # set sizes bound the similarity; with weights they say nothing
-        return F.lit(True) if weighted else F.least(n, m) >= similarity * F.greatest(n, m)
-
-    pairs = members.where(F.col("id") != F.col("lead")).where(alike(F.col("n"), F.col("lead_n")))
-    pairs = pairs.select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
-    wanted = texts.join(members.select("id").distinct(), "id").select("id", F.col("digest").alias("own"), "least")
+    banded = one.where(F.size("bands") > 0).select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "key"))
+    buckets = kept_table(_met(banded.select(F.xxhash64("band", "key").alias("bucket"), "id")), "buckets")
+    sizes = one.select(F.col("doc_id").alias("id"), "n")
+    wanted = texts.join(buckets.select("id").distinct(), "id").select("id", F.col("digest").alias("own"), "least")
     chosen = docs.select(F.col("doc_id").cast("long"), digest_of().alias("digest"), "text").join(
         wanted, (F.col("digest") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("least"))
     ).select(F.col("id").alias("doc_id"), "text").dropDuplicates(["doc_id"])
-    sets = kept_table(shingle_sets(chosen, words), "sets")
-    measured = kept_table(compared(pairs, sets, weighted), "measured")
-    links = measured.where(F.col("similarity") >= similarity)
-    nodes = texts.select("id")
-    classes = kept_table(components(nodes, links), "classes")
-
-    # What a leader didn't place: d is the distance to the leader, at least low and at most high.
-    d = measured.select(F.col("a").alias("id"), F.col("b").alias("lead"), (1 - F.col("similarity")).alias("d"))
-    bound = F.lit(0.0) if weighted else 1 - F.least("n", "lead_n") / F.greatest("n", "lead_n")
-    classed = members.join(classes, "id").join(classes.select(F.col("id").alias("lead"), F.col("class").alias("lead_class")), "lead")
-    mixed = classed.where(F.col("class") != F.col("lead_class")).select("band", "key").distinct()
-    open_ = (
-        classed.where(F.col("id") != F.col("lead"))
-        .join(mixed, ["band", "key"])
-        .join(d, ["id", "lead"], "left")
-        .join(sets.select("id", "map"), "id")
-        .select("band", "key", "id", "n", "map", "class", "lead_class", F.coalesce("d", bound).alias("low"), F.coalesce("d", F.lit(1.0)).alias("high"))
-    )
-    open_ = kept_table(open_, "open")
-    x = open_.where(F.col("class") != F.col("lead_class")).select("band", "key", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "map", "class", "low", "high")])
-    far = 1 - similarity + 1e-9
-    near = F.lit(True) if weighted else near_maps(F.col("n_x"), F.col("map_x"), F.col("n"), F.col("map"), similarity)
-    more = (
-        x.join(open_, ["band", "key"])
-        .where((F.col("class_x") != F.col("class")) & alike(F.col("n_x"), F.col("n")))
-        .where((F.col("class") == F.col("lead_class")) | (F.col("id_x") < F.col("id")))
-        .where((F.col("low") - F.col("high_x") <= far) & (F.col("low_x") - F.col("high") <= far) & near)
-        .select(F.col("id_x").alias("a"), F.col("id").alias("b"))
-        .distinct()
-    )
-    late = kept_table(compared(more, sets, weighted).where(F.col("similarity") >= similarity), "late")
-    if late.take(1):
-        classes = kept_table(components(nodes, links.unionByName(late)), "classes")
+    sets = kept_table(shingle_sets(chosen, words, weighted).join(sizes, "id"), "sets")
+    classes, links = texts.select("id", F.col("id").alias("class")), None
+    for round_ in range(ROUNDS + 1):
+        found, rest = placed(buckets, sets, classes, similarity)
+        classes, links = contracted(texts, classes, links, found)
+        near, crowds = unplaced(rest, sets, classes, similarity, narrow=round_ < ROUNDS)
+        late = kept_table(compared(near, sets).where(F.col("similarity") >= similarity).select("a", "b"), "late")
+        classes, links = contracted(texts, classes, links, late)
+        if crowds is None:
+            break
+        buckets = kept_table(_met(narrower(crowds, sets, similarity)), "buckets")
     named = texts.join(classes, "id")
     lead = named.groupBy("class").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "id")).alias("lead"))
     return sketch.select("doc_id", "digest"), named.join(lead, "class").select(
@@ -265,13 +369,13 @@ def text_classes(
 
 
 def near_duplicates(
-    docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighted: bool = False
+    docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighted: bool = True
 ) -> DataFrame:
     """(doc_id, class_id) of every row of docs (doc_id, text).
 
-    Two texts are linked where the Jaccard similarity of their runs of ``words`` words is
-    at least ``similarity`` (weighted: counts of runs are weights); a class is what links
-    connect, named by its least doc_id. With the defaults a linked pair shares a bucket
+    Two texts are linked where the weighted Jaccard similarity of their runs of ``words``
+    words, weights being how often a run stands in the text, is at least ``similarity``
+    (weighted=False: each run once); a class is what links connect, named by its least doc_id. With the defaults a linked pair shares a bucket
     with probability over 0.99999. Equal texts are always linked, and collapsed before
     anything else; texts without words (null, empty) equal only their like. Texts are told
     apart by their digests: several texts of one doc_id each have their own class, and a

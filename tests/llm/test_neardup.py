@@ -6,13 +6,17 @@ from barloom.llm.neardup import near_duplicates
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def shingles(text):
-    w = WORD.findall(text or "")
-    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+def shingles(text, weighted):
+    w, seen = WORD.findall(text or ""), {}
+    runs = [tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))] if w else []
+    for k, r in enumerate(runs):  # copies of a run are numbered
+        seen[r] = seen.get(r, 0) + 1
+        runs[k] = (r, seen[r] if weighted else 0)
+    return set(runs)
 
 
-def brute(docs):
-    sets = [shingles(t) for _, t in docs]
+def brute(docs, weighted=True):
+    sets = [shingles(t, weighted) for _, t in docs]
     parent = list(range(len(docs)))
 
     def root(k):
@@ -67,6 +71,76 @@ def test_large_group_of_mixed_distance(spark):
     assert sorted(((r.doc_id, r.class_id) for r in got.collect()), key=str) == brute(docs)
 
 
+def copies(rng, n, words=60, most=3):
+    """Texts that differ from one base, which is not among them, in 1 to `most` words."""
+    base = [f"t{k}" for k in range(words)]
+    out = []
+    for k in range(n):
+        copy = list(base)
+        for at in rng.sample(range(words), rng.randrange(1, most + 1)):
+            copy[at] = f"e{rng.randrange(50 * n)}"
+        out.append((k, " ".join(copy)))
+    return out
+
+
+def test_crowds_go_to_narrower_buckets(spark, monkeypatch):
+    import barloom.llm.neardup as m
+
+    docs = copies(random.Random(4), 160) + [(1000 + i, t + " tail of one kind") for i, t in copies(random.Random(5), 60, most=6)]
+    want = brute(docs)
+    for crowd in (0, 4):
+        monkeypatch.setattr(m, "CROWD", crowd)
+        got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+        assert sorted(((r.doc_id, r.class_id) for r in got.collect()), key=str) == want
+
+
+def test_difference_keys_meet_wherever_sets_are_alike():
+    import numpy as np
+
+    from barloom.llm.neardup import difference_keys
+
+    rng, met = random.Random(6), 0
+    for _ in range(400):
+        lead = set(rng.sample(range(1000), rng.randrange(3, 70)))
+        x = {e for e in lead if rng.random() > 0.2} | set(rng.sample(range(1000, 1100), rng.randrange(0, 14)))
+        y = {e for e in x if rng.random() > 0.06} | set(rng.sample(range(1100, 1200), rng.randrange(0, 4))) | set(rng.sample(sorted(lead), rng.randrange(0, 3)))
+        like = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+        if x and y and like(x, y) and not (like(x, lead) and like(y, lead)):
+            common = np.array(rng.sample(sorted(lead | x), 3), np.uint64)
+            a, b = (set(difference_keys(np.array(sorted(s), np.uint64), np.array(sorted(lead), np.uint64), common, 7, 0.8).tolist()) for s in (x, y))
+            assert a & b
+            met += 1
+    assert met > 60
+
+
+def test_pairs_grow_in_proportion(spark, monkeypatch):
+    """Pairs that are compared for twice and four times the near copies of one text."""
+    import barloom.llm.neardup as m
+
+    counts, real = [], m.compared
+
+    def counting(pairs, sets):
+        counts.append(pairs.count())
+        return real(pairs, sets)
+
+    monkeypatch.setattr(m, "compared", counting)
+    monkeypatch.setattr(m, "CROWD", 4)
+    made = []
+    for n in (300, 600, 1200):
+        counts.clear()
+        near_duplicates(spark.createDataFrame(copies(random.Random(9), n), "doc_id long, text string").repartition(4)).count()
+        made.append(sum(counts))
+    # a text meets the leaders of its bands, at most BANDS, and few others, however large the group
+    assert all(pairs < (m.BANDS + m.CROWD) * n for pairs, n in zip(made, (300, 600, 1200))), made
+    assert made[2] < 2.8 * made[1], made
+
+
+def test_unweighted(spark):
+    docs = copies(random.Random(7), 40) + [(500, "a b c d e " * 30), (501, "a b c d e " * 10)]
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), weighted=False)
+    assert sorted(((r.doc_id, r.class_id) for r in got.collect()), key=str) == brute(docs, weighted=False)
+
+
 def test_weighted(spark):
     docs = [(1, "a b c d e " * 30), (2, "a b c d e " * 29), (3, "a b c d e " * 10)]
     got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), weighted=True)
