@@ -16,7 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .frames import extended
+from .frames import extended, trimmed
 from .text import pieces
 
 # The public pre-tokenization pattern of this vocabulary, white space as in Unicode.
@@ -151,7 +151,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", out: tuple[
                 counts = pa.array([len(c) // 4 for c in coded], pa.int64())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(coded, pa.binary()), counts], names=[*batch.schema.names, *out])
 
-    return source.mapInArrow(run, extended(source.schema, **{out[0]: "binary", out[1]: "long"}))
+    return source.mapInArrow(trimmed(run), extended(source.schema, **{out[0]: "binary", out[1]: "long"}))
 
 
 def decode_documents(coded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -168,4 +168,4 @@ def decode_documents(coded: DataFrame, path: str, ids: str = "ids", out: str = "
                 texts = [decode_ids(vocabulary, i.as_py()) if i.is_valid else "" for i in part.column(place)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out])
 
-    return source.mapInArrow(run, extended(source.schema, **{out: "string"}))
+    return source.mapInArrow(trimmed(run), extended(source.schema, **{out: "string"}))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +37,19 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def trimmed(run):
+    """run (batches → batches), after which the worker gives back the memory that it no longer uses: it goes on to other stages, and two of them share an executor with the JVM."""
+
+    def go(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+
+    return go
+
+
 def extended(schema: T.StructType, **columns: str) -> T.StructType:
     """schema and more columns by name and simple type; schema itself stays as it is."""
     more = T.StructType()

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import kept_table
+from .frames import kept_table, trimmed
 from .text import ALNUM, LOWER, buffer_of, covered, pieces, spread, words_of
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -96,7 +96,7 @@ def positional_index(docs: DataFrame, vocabulary: list[str] | None = None, gap:
                     names=["shard", "term", "n", "places", "ids", "words"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, INDEX)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(run), INDEX)
 
 
 def occurrences(lists: dict[str, np.ndarray], phrase: list[str], slack: int = 0) -> np.ndarray:

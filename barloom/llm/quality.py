@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import extended
+from .frames import extended, trimmed
 from .rules import counts_of
 from .text import NOT_SPACE, buffer_of, hash_spans, per_row, pieces, words_of
 
@@ -129,7 +129,7 @@ def fit_quality(
                 columns += [pa.array([r[k].tolist() for r in rows], kind) for k, kind in enumerate((pa.list_(pa.int64()), pa.list_(pa.float32())))]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "at", "value"])
 
-    rows = found.mapInArrow(run, "doc_id long, mark int, at array<long>, value array<float>").orderBy(F.xxhash64("doc_id", "at")).limit(sample).toArrow()
+    rows = found.mapInArrow(trimmed(run), "doc_id long, mark int, at array<long>, value array<float>").orderBy(F.xxhash64("doc_id", "at")).limit(sample).toArrow()
     if not rows.num_rows:
         return None
     pairs = [(np.array(a, np.int64), np.array(v, np.float32)) for a, v in zip(rows.column("at").to_pylist(), rows.column("value").to_pylist(), strict=True)]
@@ -154,4 +154,4 @@ def score_quality(docs: DataFrame, model: Model | None, text: str = "text", out:
                 scores = shared.value.scores(term_counts(*buffer_of(part.column(place)))) if shared else np.full(b - a, 0.5)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], names=[*batch.schema.names, out])
 
-    return source.mapInArrow(run, extended(source.schema, **{out: "double"}))
+    return source.mapInArrow(trimmed(run), extended(source.schema, **{out: "double"}))
