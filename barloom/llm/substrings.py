@@ -149,6 +149,21 @@ def repeated_starts(data: np.ndarray, bounds: np.ndarray, length: int) -> np.nda
     return flags[shift]
 
 
+def shard_repeats(data: np.ndarray, r: Runs, length: int) -> np.ndarray:
+    """Places of a shard's bytes where a string of ``length`` starts that starts in another run of the shard too, of another content.
+
+    Equal strings have equal anchors, so only stretches whose anchor several kinds of runs
+    share in the shard have their suffixes sorted, one run of each kind; runs of one kind
+    are found by their hash.
+    """
+    shared = np.bincount(r.key_of, minlength=len(r.key_first)) > 1
+    head = r.heads[shared[r.key_of]] if len(r.key_first) else r.heads
+    size = r.high[head] + length - r.low[head]
+    at = spread(r.low[head], size)
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    return at[repeated_starts(data[at], bounds, length)] if len(at) else at
+
+
 def byte_symbols(table: pa.Table):
     data, bounds = buffer_of(table.column("text"))
     return data, CODES[data], bounds
@@ -168,14 +183,13 @@ def remove_substrings(docs: DataFrame, length: int = LENGTH, seed: int = SEED, s
 
     def finish(table: pa.Table, r: Runs, v: Verdict) -> pa.Table:
         data, bounds = buffer_of(table.column("text"))
-        starts = repeated_starts(data, bounds, length)
+        own = shard_repeats(data, r, length)
         repeats = np.zeros(len(r.heads), bool)
         repeats[v.record] = True
         runs = np.flatnonzero(repeats[r.record])
         low, high = r.low[runs], r.high[runs]
         late = late_windows(r, v)
         low, high = np.concatenate([low, late[0]]), np.concatenate([high, late[1]])
-        own = np.flatnonzero(starts)
         gone = covered(np.concatenate([own, low]), np.concatenate([own + length, high + length]), len(data))
         opens = gone.copy()
         opens[1:] &= ~gone[:-1]
