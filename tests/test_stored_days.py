@@ -23,7 +23,7 @@ def folder(spark, tmp_path_factory):
     return at
 
 
-@pytest.mark.parametrize("key", ["S-24", "S-26"])
+@pytest.mark.parametrize("key", ["S-24", "S-26", "S-27"])
 def test_partition_is_the_day(spark, folder, key):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW orders AS SELECT * FROM '{folder}/orders.parquet/*.parquet'")
