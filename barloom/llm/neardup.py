@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import kept_table, trimmed
@@ -277,8 +277,7 @@ def contracted(nodes: DataFrame, classes: DataFrame, links: DataFrame | None, mo
 
 def _met(buckets: DataFrame) -> DataFrame:
     """(bucket, id, size) of the buckets of several members."""
-    size = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
-    return buckets.join(size, "bucket")
+    return buckets.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).where(F.col("size") > 1)
 
 
 def placed(buckets: DataFrame, sets: DataFrame, classes: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
@@ -286,9 +285,11 @@ def placed(buckets: DataFrame, sets: DataFrame, classes: DataFrame, similarity:
     score = buckets.groupBy("id").agg(F.sum("size").alias("score"))
     info = sets.select("id", "n").join(classes, "id")
     members = buckets.join(score, "id").join(info, "id")
-    lead = F.max(F.struct("score", (-F.col("id")).alias("minus"), "n", "class")).alias("l")
-    leaders = members.groupBy("bucket").agg(lead).select("bucket", (-F.col("l.minus")).alias("lead"), F.col("l.n").alias("lead_n"), F.col("l.class").alias("lead_class"))
-    members = kept_table(members.drop("score", "size").join(leaders, "bucket"), "members")
+    lead = F.max(F.struct("score", (-F.col("id")).alias("minus"), "n", "class")).over(Window.partitionBy("bucket"))
+    members = members.withColumn("l", lead).select(
+        "bucket", "id", "n", "class", (-F.col("l.minus")).alias("lead"), F.col("l.n").alias("lead_n"), F.col("l.class").alias("lead_class")
+    )
+    members = kept_table(members, "members")
     asked = members.where((F.col("class") != F.col("lead_class")) & alike(F.col("n"), F.col("lead_n"), similarity))
     pairs = asked.select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
     measured = kept_table(compared(pairs, sets), "measured")
@@ -305,10 +306,11 @@ def alike(n, m, similarity: float):
 def unplaced(members: DataFrame, sets: DataFrame, classes: DataFrame, similarity: float, narrow: bool) -> tuple[DataFrame, DataFrame | None]:
     """What leaders left open: (pairs (a, b) still to be compared; with narrow, (lead, id) of the buckets with a crowd of unplaced members, None without any)."""
     bound = 1 - F.least("n", "lead_n") / F.greatest("n", "lead_n")
-    classed = members.join(classes, "id").join(classes.select(F.col("id").alias("lead"), F.col("class").alias("lead_class")), "lead")
+    own = Window.partitionBy("bucket")  # the leader is a member of its bucket
+    classed = members.join(classes, "id").withColumn("lead_class", F.max(F.when(F.col("id") == F.col("lead"), F.col("class"))).over(own))
     out = F.col("class") != F.col("lead_class")
-    mixed = classed.where(out).groupBy("bucket").agg(F.count(F.lit(1)).alias("out"))
-    open_ = classed.where(F.col("id") != F.col("lead")).join(mixed, "bucket").select(
+    mixed = classed.withColumn("out", F.count(F.when(out, 1)).over(own)).where(F.col("out") > 0)
+    open_ = mixed.where(F.col("id") != F.col("lead")).select(
         "bucket", "id", "lead", "n", "class", "lead_class", "out", F.coalesce("d", bound).alias("low"), F.coalesce("d", F.lit(1.0)).alias("high")
     )
     open_ = kept_table(open_, "open")
