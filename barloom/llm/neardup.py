@@ -280,8 +280,8 @@ def _met(buckets: DataFrame) -> DataFrame:
     return buckets.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).where(F.col("size") > 1)
 
 
-def placed(buckets: DataFrame, sets: DataFrame, classes: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """(links (a, b) of members to their bucket's leader; members (bucket, id, n, lead, lead_n, d) of buckets of several classes, d the distance to the leader where it was taken)."""
+def placed(buckets: DataFrame, sets: DataFrame, classes: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(links (a, b) of members to their bucket's leader; members (bucket, id, n, lead, lead_n); distances (id, lead, d) to leaders that were taken)."""
     score = buckets.groupBy("id").agg(F.sum("size").alias("score"))
     info = sets.select("id", "n").join(classes, "id")
     members = buckets.join(score, "id").join(info, "id")
@@ -295,7 +295,7 @@ def placed(buckets: DataFrame, sets: DataFrame, classes: DataFrame, similarity:
     measured = kept_table(compared(pairs, sets), "measured")
     d = measured.select(F.col("a").alias("id"), F.col("b").alias("lead"), (1 - F.col("similarity")).alias("d"))
     links = measured.where(F.col("similarity") >= similarity).select("a", "b")
-    return links, members.drop("class", "lead_class").join(d, ["id", "lead"], "left")
+    return links, members.drop("class", "lead_class"), d
 
 
 def alike(n, m, similarity: float):
@@ -303,14 +303,14 @@ def alike(n, m, similarity: float):
     return F.least(n, m) >= similarity * F.greatest(n, m)
 
 
-def unplaced(members: DataFrame, sets: DataFrame, classes: DataFrame, similarity: float, narrow: bool) -> tuple[DataFrame, DataFrame | None]:
+def unplaced(members: DataFrame, distances: DataFrame, sets: DataFrame, classes: DataFrame, similarity: float, narrow: bool) -> tuple[DataFrame, DataFrame | None]:
     """What leaders left open: (pairs (a, b) still to be compared; with narrow, (lead, id) of the buckets with a crowd of unplaced members, None without any)."""
     bound = 1 - F.least("n", "lead_n") / F.greatest("n", "lead_n")
     own = Window.partitionBy("bucket")  # the leader is a member of its bucket
     classed = members.join(classes, "id").withColumn("lead_class", F.max(F.when(F.col("id") == F.col("lead"), F.col("class"))).over(own))
     out = F.col("class") != F.col("lead_class")
     mixed = classed.withColumn("out", F.count(F.when(out, 1)).over(own)).where(F.col("out") > 0)
-    open_ = mixed.where(F.col("id") != F.col("lead")).select(
+    open_ = mixed.where(F.col("id") != F.col("lead")).join(distances, ["id", "lead"], "left").select(
         "bucket", "id", "lead", "n", "class", "lead_class", "out", F.coalesce("d", bound).alias("low"), F.coalesce("d", F.lit(1.0)).alias("high")
     )
     open_ = kept_table(open_, "open")
@@ -355,9 +355,9 @@ def text_classes(
     sets = kept_table(shingle_sets(chosen, words, weighted).join(sizes, "id"), "sets")
     classes, links = texts.select("id", F.col("id").alias("class")), None
     for round_ in range(ROUNDS + 1):
-        found, rest = placed(buckets, sets, classes, similarity)
+        found, rest, distances = placed(buckets, sets, classes, similarity)
         classes, links = contracted(texts, classes, links, found)
-        near, crowds = unplaced(rest, sets, classes, similarity, narrow=round_ < ROUNDS)
+        near, crowds = unplaced(rest, distances, sets, classes, similarity, narrow=round_ < ROUNDS)
         late = kept_table(compared(near, sets).where(F.col("similarity") >= similarity).select("a", "b"), "late")
         classes, links = contracted(texts, classes, links, late)
         if crowds is None:
