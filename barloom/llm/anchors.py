@@ -110,16 +110,16 @@ class Runs:
 
         self.span = span
         m, width, low_bits = n - seed + 1, length - seed + 1, np.uint64((1 << POSITION) - 1)
-        at = np.arange(m)
-        hashes = span(at, at + seed)
+        hashes = mix((total[seed:] - total[:m]) * down[:m] + np.uint64(seed * int(GOLDEN) % 2**64))  # span of each run, by slices
         value = np.full(-(-m // width) * width + width, np.iinfo(np.uint64).max, np.uint64)
-        value[:m] = (hashes & ~low_bits) | (at.astype(np.uint64) & low_bits)
+        np.bitwise_or(hashes & ~low_bits, np.arange(m, dtype=np.uint64) & low_bits, out=value[:m])
         blocks = value.reshape(-1, width)
         ahead = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
         behind = np.minimum.accumulate(blocks, axis=1).reshape(-1)
-        least = np.minimum(ahead[starts], behind[starts + width - 1]) & low_bits
-        anchor = starts + ((least.astype(np.int64) - starts) & ((1 << POSITION) - 1))
-        cut = np.flatnonzero(np.diff(anchor, prepend=-1))
+        most = len(value) - width + 1
+        least = np.minimum(ahead[:most], behind[width - 1 :])[starts].view(np.int64)
+        anchor = starts + ((least - starts) & ((1 << POSITION) - 1))
+        cut = np.concatenate([[0], np.flatnonzero(anchor[1:] != anchor[:-1]) + 1])
         self.low, self.row = starts[cut], rows[cut]
         self.high = starts[np.append(cut[1:], len(starts)) - 1]
         anchor = anchor[cut]

@@ -21,7 +21,8 @@ LENGTH, SEED = 200, 40
 SHARD_BYTES, BUCKET_BYTES = 1 << 20, 3 << 20
 BREAK = 0xFF  # no byte of UTF-8
 CODES = mix(np.arange(1, 257, dtype=np.uint64))
-LANE = 256
+#: Suffixes of a lane at most and at least, and lanes that should go side by side.
+LANE, SHORT, LANES = 256, 8, 2048
 PACK = 21
 
 
@@ -91,7 +92,8 @@ def common_prefixes(data: np.ndarray, rest: np.ndarray, slots: np.ndarray, most:
     Kasai: if j stands before i with a common prefix of h, and j + 1 before i + 1, then what
     stands just before i + 1 shares at least h - 1 with it. Suffixes equal over the sorted
     depth may stand the other way round; then, and where i + 1 isn't asked for, the prefix is
-    measured from its start. Lanes of LANE suffixes go on side by side, eight bytes a step.
+    measured from its start. Lanes of up to LANE suffixes go on side by side, eight bytes a
+    step; few suffixes go in shorter lanes, as a step costs the same for few lanes as for many.
     """
     n = len(data)
     some = np.arange(n) if some is None else some
@@ -104,10 +106,11 @@ def common_prefixes(data: np.ndarray, rest: np.ndarray, slots: np.ndarray, most:
     next_to[1:] = some[1:] == some[:-1] + 1
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     loads = np.ndarray(shape=(n + 1,), dtype="<u8", buffer=padded.data, strides=(1,))
-    lanes = np.arange(0, len(some), LANE)
+    wide = min(LANE, max(SHORT, len(some) // LANES))
+    lanes = np.arange(0, len(some), wide)
     have = np.zeros(len(lanes), np.int64)
     last = np.full(len(lanes), -1, np.int64)
-    for step in range(LANE):
+    for step in range(wide):
         at = lanes + step
         if len(at) and at[-1] >= len(some):
             at = at[at < len(some)]

@@ -172,3 +172,29 @@ def test_equal_rows_spread(spark):
 
     got = repeated_windows(d, byte_symbols, lambda v, b, d, s: repeated_starts(v, b, 24), finish, "rows long", 24, 5, "u1", 6000, 6000).collect()
     assert sum(r.rows for r in got) == 600 and max(r.rows for r in got) < 300
+
+
+def test_few_suffixes_take_few_steps(monkeypatch):
+    """Prefixes of a thousand suffixes are measured side by side, not in a handful of long lanes; the results are those of plain comparison."""
+    import barloom.llm.substrings as m
+
+    class Counting:
+        steps = 0
+
+        def __getattr__(self, name):
+            Counting.steps += name == "frexp"
+            return getattr(np, name)
+
+    rng = np.random.default_rng(2)
+    line = rng.integers(97, 123, 300).astype(np.uint8)
+    data = np.concatenate([np.concatenate([rng.integers(97, 123, 100).astype(np.uint8), line]) for _ in range(12)])
+    bounds = np.arange(0, len(data) + 1, 400)
+    seen = {}
+    for row in range(12):
+        for k in range(row * 400, row * 400 + 201):
+            seen.setdefault(data[k : k + 200].tobytes(), []).append(k)
+    want = np.zeros(len(data), bool)
+    want[[k for places in seen.values() if len(places) > 1 for k in places]] = True
+    monkeypatch.setattr(m, "np", Counting())
+    assert (m.repeated_starts(data, bounds, 200) == want).all() and want.sum() >= 12 * 101
+    assert Counting.steps < 400, Counting.steps
