@@ -246,33 +246,35 @@ def narrower(crowds: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.join(common, "lead", "left").select("lead", "id", "own", "other", "common").mapInArrow(trimmed(keyed), "bucket long, id long").distinct()
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(id, class): each node of nodes (id) with the least node that links (a, b) connect it to.
+def components(links: DataFrame) -> DataFrame:
+    """(id, class): each end of links (a, b) with the least node that links connect it to.
 
     Each round takes the least label among neighbours, then the label of that label, so
     chains halve; labels go to the shared folder each round.
     """
-    if not links.take(1):
-        return nodes.select("id", F.col("id").alias("class"))
     ends = links.select("a", "b").union(links.select("b", "a")).distinct()
     linked = kept_table(ends, "links")
-    labels = kept_table(linked.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("class")), "labels")
+    labels = linked.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("class"))
+    labels = kept_table(labels, "labels")
     while True:
         near = linked.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("class").alias("near"))
         lower = labels.join(near.withColumnRenamed("a", "id"), "id").select("id", "class", F.least("class", "near").alias("low"))
         jump = labels.select(F.col("id").alias("low"), F.col("class").alias("low2"))
-        after = kept_table(lower.join(jump, "low").select("id", F.least("low", "low2").alias("class"), (F.least("low", "low2") < F.col("class")).alias("moved")), "labels")
+        after = lower.join(jump, "low").select("id", F.least("low", "low2").alias("class"), (F.least("low", "low2") < F.col("class")).alias("moved"))
+        after = kept_table(after, "labels")
         labels = after.select("id", "class")
         if not after.where("moved").take(1):
-            return nodes.select("id").join(labels, "id", "left").select("id", F.coalesce("class", "id").alias("class"))
+            return labels
 
 
-def contracted(nodes: DataFrame, classes: DataFrame, links: DataFrame | None, more: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Classes and links after more links."""
+def contracted(classes: DataFrame, more: DataFrame) -> DataFrame:
+    """Classes (id, class: its least id) after more links (a, b). Only these are followed, as links between classes: what earlier ones connect has one class already."""
     if not more.take(1):
-        return classes, links
-    links = more if links is None else kept_table(links.unionByName(more), "links")
-    return kept_table(components(nodes, links), "classes"), links
+        return classes
+    between = more.join(classes.select(F.col("id").alias("a"), F.col("class").alias("x")), "a").join(classes.select(F.col("id").alias("b"), F.col("class").alias("y")), "b")
+    between = kept_table(between.where(F.col("x") != F.col("y")).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "between")
+    labels = components(between).select(F.col("id").alias("class"), F.col("class").alias("least_class"))
+    return kept_table(classes.join(labels, "class", "left").select("id", F.coalesce("least_class", "class").alias("class")), "classes")
 
 
 def _met(buckets: DataFrame) -> DataFrame:
@@ -353,13 +355,13 @@ def text_classes(
         wanted, (F.col("digest") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("least"))
     ).select(F.col("id").alias("doc_id"), "text").dropDuplicates(["doc_id"])
     sets = kept_table(shingle_sets(chosen, words, weighted).join(sizes, "id"), "sets")
-    classes, links = texts.select("id", F.col("id").alias("class")), None
+    classes = texts.select("id", F.col("id").alias("class"))
     for round_ in range(ROUNDS + 1):
         found, rest, distances = placed(buckets, sets, classes, similarity)
-        classes, links = contracted(texts, classes, links, found)
+        classes = contracted(classes, found)
         near, crowds = unplaced(rest, distances, sets, classes, similarity, narrow=round_ < ROUNDS)
         late = kept_table(compared(near, sets).where(F.col("similarity") >= similarity).select("a", "b"), "late")
-        classes, links = contracted(texts, classes, links, late)
+        classes = contracted(classes, late)
         if crowds is None:
             break
         buckets = kept_table(_met(narrower(crowds, sets, similarity)), "buckets")

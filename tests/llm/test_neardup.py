@@ -135,6 +135,32 @@ def test_pairs_grow_in_proportion(spark, monkeypatch):
     assert made[2] < 2.8 * made[1], made
 
 
+def test_links_are_followed_once_and_rounds_carry_their_crowds(spark, monkeypatch):
+    """No link between classes is followed again by a later contraction, and narrower buckets read the sets of their crowds alone."""
+    import barloom.llm.neardup as m
+
+    followed, carried, real, narrow = [], [], m.components, m.narrower
+
+    def components(*args):
+        followed.append({tuple(sorted(link)) for link in args[-1].collect()})
+        return real(*args)
+
+    def narrower(crowds, sets, similarity):
+        members = {i for r in crowds.select("id", "lead").collect() for i in r}
+        carried.append(({r.id for r in sets.select("id").collect()}, members))
+        return narrow(crowds, sets, similarity)
+
+    monkeypatch.setattr(m, "components", components)
+    monkeypatch.setattr(m, "narrower", narrower)
+    monkeypatch.setattr(m, "CROWD", 2)
+    docs = copies(random.Random(4), 80, words=150, most=4)
+    for k in range(10):  # pairs that form no crowd
+        docs += [(500 + k, " ".join(f"p{k}_{j}" for j in range(40))), (600 + k, " ".join(f"p{k}_{j}" for j in range(41)))]
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert sorted(((r.doc_id, r.class_id) for r in got.collect()), key=str) == brute(docs)
+    assert len(followed) > 1 and sum(map(len, followed)) == len(set().union(*followed))
+
+
 def test_unweighted(spark):
     docs = copies(random.Random(7), 40) + [(500, "a b c d e " * 30), (501, "a b c d e " * 10)]
     got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), weighted=False)
