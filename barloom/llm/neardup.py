@@ -40,6 +40,8 @@ MAP = 16
 CROWD, ROUNDS = 64, 3
 #: An element in which one of so many members of a crowd differs is common to it.
 COMMON = 64
+#: Ends of links for each file of labels: small ones aren't written in as many files as there are shuffle partitions.
+LABELS = 1 << 15
 # Cumulated Poisson(1) probabilities, as 64-bit thresholds.
 _CDF = np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 16)]))
 POISSON = np.minimum(_CDF * 2.0**64, float(2**64 - 2048)).astype(np.uint64)
@@ -254,14 +256,15 @@ def components(links: DataFrame) -> DataFrame:
     """
     ends = links.select("a", "b").union(links.select("b", "a")).distinct()
     linked = kept_table(ends, "links")
+    files = max(1, linked.count() // LABELS)
     labels = linked.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("class"))
-    labels = kept_table(labels, "labels")
+    labels = kept_table(labels.coalesce(files), "labels")
     while True:
         near = linked.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("class").alias("near"))
         lower = labels.join(near.withColumnRenamed("a", "id"), "id").select("id", "class", F.least("class", "near").alias("low"))
         jump = labels.select(F.col("id").alias("low"), F.col("class").alias("low2"))
         after = lower.join(jump, "low").select("id", F.least("low", "low2").alias("class"), (F.least("low", "low2") < F.col("class")).alias("moved"))
-        after = kept_table(after, "labels")
+        after = kept_table(after.coalesce(files), "labels")
         labels = after.select("id", "class")
         if not after.where("moved").take(1):
             return labels
@@ -364,6 +367,8 @@ def text_classes(
         classes = contracted(classes, late)
         if crowds is None:
             break
+        crowds = kept_table(crowds, "crowds")
+        sets = kept_table(sets.join(crowds.select("id").union(crowds.select("lead")).distinct(), "id", "left_semi"), "sets")  # all that later rounds compare
         buckets = kept_table(_met(narrower(crowds, sets, similarity)), "buckets")
     named = texts.join(classes, "id")
     lead = named.groupBy("class").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "id")).alias("lead"))

@@ -159,6 +159,7 @@ def test_links_are_followed_once_and_rounds_carry_their_crowds(spark, monkeypatc
     got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
     assert sorted(((r.doc_id, r.class_id) for r in got.collect()), key=str) == brute(docs)
     assert len(followed) > 1 and sum(map(len, followed)) == len(set().union(*followed))
+    assert carried and all(sets == members for sets, members in carried)
 
 
 def test_unweighted(spark):
