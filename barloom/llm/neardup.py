@@ -358,7 +358,7 @@ def text_classes(
         wanted, (F.col("digest") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("least"))
     ).select(F.col("id").alias("doc_id"), "text").dropDuplicates(["doc_id"])
     sets = kept_table(shingle_sets(chosen, words, weighted).join(sizes, "id"), "sets")
-    classes = texts.select("id", F.col("id").alias("class"))
+    classes = sets.select("id", F.col("id").alias("class"))  # texts without a bucket keep their own
     for round_ in range(ROUNDS + 1):
         found, rest, distances = placed(buckets, sets, classes, similarity)
         classes = contracted(classes, found)
@@ -370,7 +370,7 @@ def text_classes(
         crowds = kept_table(crowds, "crowds")
         sets = kept_table(sets.join(crowds.select("id").union(crowds.select("lead")).distinct(), "id", "left_semi"), "sets")  # all that later rounds compare
         buckets = kept_table(_met(narrower(crowds, sets, similarity)), "buckets")
-    named = texts.join(classes, "id")
+    named = texts.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id"))
     lead = named.groupBy("class").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "id")).alias("lead"))
     return sketch.select("doc_id", "digest"), named.join(lead, "class").select(
         "digest", "least", F.col("lead.least").alias("class_id"), (F.col("id") == F.col("lead.id")).alias("leads")
