@@ -17,6 +17,8 @@ parity maps of the two sets differ. In a bucket with more than CROWD of them, no
 formed: two similar sets of which one isn't similar to the leader must have differences
 to the leader in common, so members are dealt to narrower buckets by the first of their
 rarest differences (as many as the least overlap leaves), and these buckets go the same way.
+Members whose numbers of differences are of unlike classes have two sides in such a bucket;
+only pairs across are open, so a bucket with one side alone is none.
 """
 
 from __future__ import annotations
@@ -42,11 +44,18 @@ CROWD, ROUNDS = 64, 3
 COMMON = 64
 #: Ends of links for each file of labels: small ones aren't written in as many files as there are shuffle partitions.
 LABELS = 1 << 15
+#: Rows of a bucket, and pairs of sets, for each task: small tables don't go through as many tasks as there are shuffle partitions.
+TASK, PAIRS = 1 << 13, 1 << 10
 # Cumulated Poisson(1) probabilities, as 64-bit thresholds.
 _CDF = np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 16)]))
 POISSON = np.minimum(_CDF * 2.0**64, float(2**64 - 2048)).astype(np.uint64)
 
 
+def in_tasks(df: DataFrame, rows: int, each: int = TASK) -> DataFrame:
+    """df in no more tasks than rows ask for; never in more than it has."""
+    return df.coalesce(max(1, rows // each))
+
+
 def digest_of():
     return F.md5(F.coalesce("text", F.lit("")).cast("binary"))
 
@@ -137,7 +146,7 @@ def sketches(docs: DataFrame, words: int, bands: int, rows: int, weighted: bool)
 
 
 def shingle_sets(docs: DataFrame, words: int, weighted: bool) -> DataFrame:
-    """(id, members: ascending distinct hashes of shingles, or of shingles and copy numbers, packed; map: for each of 64 × MAP bits whether an odd number of members falls on it)."""
+    """(id, members: ascending distinct hashes of shingles, or of shingles and copy numbers, packed; n: how many; map: for each of 64 × MAP bits whether an odd number of members falls on it)."""
 
     def run(batches):
         for batch in batches:
@@ -154,7 +163,8 @@ def shingle_sets(docs: DataFrame, words: int, weighted: bool) -> DataFrame:
                 columns = [batch.column(0).slice(a, b - a), pa.array(packed, pa.binary()), pa.array(maps, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "members", "map"])
 
-    return docs.select("doc_id", "text").mapInArrow(trimmed(run), "id long, members binary, map array<long>")
+    sets = docs.select("doc_id", "text").mapInArrow(trimmed(run), "id long, members binary, map array<long>")
+    return sets.withColumn("n", (F.octet_length("members") / 8).cast("long"))
 
 
 def near_maps(n, map_, other_n, other_map, similarity: float):
@@ -182,7 +192,9 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 out.append(shared / (len(one) + len(two) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
 
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(trimmed(run), "a long, b long, similarity double")
+    pairs = kept_table(pairs.select("a", "b"), "pairs")
+    both = in_tasks(pairs.join(left, "a").join(right, "b"), pairs.count(), PAIRS)
+    return both.select("a", "b", "left", "right").mapInArrow(trimmed(run), "a long, b long, similarity double")
 
 
 def differences(own: np.ndarray, lead: np.ndarray) -> np.ndarray:
@@ -191,23 +203,29 @@ def differences(own: np.ndarray, lead: np.ndarray) -> np.ndarray:
 
 
 def difference_keys(own: np.ndarray, lead: np.ndarray, common: np.ndarray, lead_id: int, similarity: float) -> np.ndarray:
-    """Keys of which a set shares one with every set at least that similar, where one of the two isn't so similar to the lead.
+    """Keys of which a set shares one with every set at least that similar, where one of the two isn't so similar to the lead."""
+    return sided_keys(own, lead, common, lead_id, similarity)[0]
+
+
+def sided_keys(own: np.ndarray, lead: np.ndarray, common: np.ndarray, lead_id: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """difference_keys, and the side that the set has in each: 0 if the key is for sets of its own class, else -1 for the lower of two classes and 1 for the higher.
 
     With D the difference of a set to the lead, two similar sets x and y differ in at most d = (1 - s) / (1 + s) (|x| + |y|)
     elements, and share at least (|Dx| + |Dy| - d) / 2 of their differences, always one. So they share one of the first
     |Dx| - that + 1 of x and as many of y, in any order of all elements; here those that many differ in (common, the most
-    frequent last) come last. The sizes of D are dealt to classes, and a key holds those of both sides.
+    frequent last) come last. The sizes of D are dealt to classes, and a key holds those of both sides,
+    so sets of one side of a key meet by the keys of their own class.
     """
     first = differences(own, lead)
     u, n, c = len(first), len(own), (1 - similarity) / (1 + similarity)
     if not u:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int8)
     place = {e: k + 1 for k, e in enumerate(common.tolist())}
     late = np.array([place.get(e, 0) for e in first.tolist()], np.int64)
     first = first[np.lexsort((mix(first), late))]
     wide = max(1, int(c * len(lead) / 2))
     most = c * (n + n / similarity) + 1e-6
-    out, mine = [], u // wide
+    out, sides, mine = [], [], u // wide
     for k in range(int(max(0, u - most)) // wide, int(u + most) // wide + 1):
         v, upto = k * wide, k * wide + wide - 1
         apart = c * (n + min(n / similarity, len(lead) + upto)) + 1e-6
@@ -215,11 +233,13 @@ def difference_keys(own: np.ndarray, lead: np.ndarray, common: np.ndarray, lead_
         if shared <= u:
             pair = mix(np.array([min(k, mine) << 32 | max(k, mine)], np.uint64))
             out.append(mix(first[: u - shared + 1] ^ mix(pair + np.uint64(lead_id & (1 << 63) - 1))))
-    return np.unique(np.concatenate(out)).view(np.int64) if out else np.zeros(0, np.int64)
+            sides.append(np.full(len(out[-1]), (mine > k) - (mine < k), np.int8))
+    keys, at = np.unique(np.concatenate(out), return_index=True)  # those of its own class at least
+    return keys.view(np.int64), np.concatenate(sides)[at]
 
 
 def narrower(crowds: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(bucket, id) by difference keys of crowds (lead, id). Elements are common to a crowd if one in COMMON of its members differs in them, so there are few of them."""
+    """(bucket, id, n, class, side) by difference keys of crowds (lead, id, class). Elements are common to a crowd if one in COMMON of its members differs in them, so there are few of them."""
     left = sets.select("id", F.col("members").alias("own"))
     right = sets.select(F.col("id").alias("lead"), F.col("members").alias("other"))
 
@@ -233,19 +253,27 @@ def narrower(crowds: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     def keyed(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
-                keys, ids = [], []
-                for lead, i, x, y, rare in zip(*(batch.column(k).slice(start, 512) for k in range(5)), strict=True):
+                keys, sides, sizes = [], [], []
+                rows = batch.slice(start, 512)
+                for lead, x, y, rare in zip(*(rows.column(k) for k in (0, 2, 3, 4)), strict=True):
                     common = np.array(rare.as_py() or [], np.int64).view(np.uint64)
-                    keys.append(difference_keys(_set(x), _set(y), common, lead.as_py(), similarity))
-                    ids.append(np.full(len(keys[-1]), i.as_py(), np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], names=["bucket", "id"])
-
-    both = kept_table(crowds.join(left, "id").join(right, "lead").select("lead", "id", "own", "other"), "crowds")
+                    key, side = sided_keys(_set(x), _set(y), common, lead.as_py(), similarity)
+                    keys.append(key)
+                    sides.append(side)
+                    sizes.append(len(_set(x)))
+                times = [len(k) for k in keys]
+                again = [np.repeat(c, times) for c in (rows.column(1).to_numpy(), np.array(sizes, np.int64), rows.column(5).to_numpy())]
+                columns = [np.concatenate(keys), *again, np.concatenate(sides)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "id", "n", "class", "side"])
+
+    both = crowds.join(left, "id").join(right, "lead").select("lead", "id", "own", "other", "class")
+    both = kept_table(in_tasks(both, crowds.count(), 256), "crowds")
     often = both.mapInArrow(trimmed(split), "lead long, element long").groupBy("lead", "element").agg(F.count(F.lit(1)).alias("times"))
     size = both.groupBy("lead").agg(F.count(F.lit(1)).alias("members"))
     often = often.where(F.col("times") > 1).join(size, "lead").where(F.col("times") * COMMON >= F.col("members"))
     common = often.groupBy("lead").agg(F.sort_array(F.collect_list(F.struct("times", "element")))["element"].alias("common"))
-    return both.join(common, "lead", "left").select("lead", "id", "own", "other", "common").mapInArrow(trimmed(keyed), "bucket long, id long").distinct()
+    keys = both.join(common, "lead", "left").select("lead", "id", "own", "other", "common", "class")
+    return keys.mapInArrow(trimmed(keyed), "bucket long, id long, n long, class long, side byte").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -255,7 +283,7 @@ def components(links: DataFrame) -> DataFrame:
     chains halve; labels go to the shared folder each round.
     """
     ends = links.select("a", "b").union(links.select("b", "a")).distinct()
-    linked = kept_table(ends, "links")
+    linked = kept_table(in_tasks(ends, links.count()), "links")
     files = max(1, linked.count() // LABELS)
     labels = linked.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("class"))
     labels = kept_table(labels.coalesce(files), "labels")
@@ -272,35 +300,43 @@ def components(links: DataFrame) -> DataFrame:
 
 def contracted(classes: DataFrame, more: DataFrame) -> DataFrame:
     """Classes (id, class: its least id) after more links (a, b). Only these are followed, as links between classes: what earlier ones connect has one class already."""
-    if not more.take(1):
+    links = more.count()
+    if not links:
         return classes
     between = more.join(classes.select(F.col("id").alias("a"), F.col("class").alias("x")), "a").join(classes.select(F.col("id").alias("b"), F.col("class").alias("y")), "b")
-    between = kept_table(between.where(F.col("x") != F.col("y")).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "between")
+    between = between.where(F.col("x") != F.col("y")).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    between = kept_table(in_tasks(between, links), "between")
     labels = components(between).select(F.col("id").alias("class"), F.col("class").alias("least_class"))
-    return kept_table(classes.join(labels, "class", "left").select("id", F.coalesce("least_class", "class").alias("class")), "classes")
+    after = classes.join(labels, "class", "left").select("id", F.coalesce("least_class", "class").alias("class"))
+    return kept_table(in_tasks(after, classes.count()), "classes")
 
 
 def _met(buckets: DataFrame) -> DataFrame:
-    """(bucket, id, size) of the buckets of several members."""
-    return buckets.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).where(F.col("size") > 1)
-
-
-def placed(buckets: DataFrame, sets: DataFrame, classes: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(links (a, b) of members to their bucket's leader; members (bucket, id, n, lead, lead_n); distances (id, lead, d) to leaders that were taken)."""
-    score = buckets.groupBy("id").agg(F.sum("size").alias("score"))
-    info = sets.select("id", "n").join(classes, "id")
-    members = buckets.join(score, "id").join(info, "id")
+    """buckets of several members, not all of one side, with size (members) and less (those of the smaller side, or all without sides)."""
+    own = Window.partitionBy("bucket")
+    low, high = (F.count(F.when(F.col("side") == k, 1)).over(own) for k in (-1, 1))
+    sized = buckets.withColumn("size", F.count(F.lit(1)).over(own))
+    if "side" not in buckets.columns:
+        return sized.where(F.col("size") > 1).withColumn("side", F.lit(0).cast("byte")).withColumn("less", F.col("size"))
+    less = F.when(F.col("side") == 0, F.col("size")).otherwise(F.least(low, high))
+    return sized.withColumn("less", less).where((F.col("size") > 1) & (F.col("less") > 0))
+
+
+def placed(buckets: DataFrame, sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of buckets (bucket, id, n, class, side, size, less): links (a, b) of members to their bucket's leader; members with lead, lead_n, lead_class; distances (id, lead, d, tied) to leaders that were taken."""
+    rows = buckets.count()
+    scored = buckets.withColumn("score", F.sum("size").over(Window.partitionBy("id")))
     lead = F.max(F.struct("score", (-F.col("id")).alias("minus"), "n", "class")).over(Window.partitionBy("bucket"))
-    members = members.withColumn("l", lead).select(
-        "bucket", "id", "n", "class", (-F.col("l.minus")).alias("lead"), F.col("l.n").alias("lead_n"), F.col("l.class").alias("lead_class")
+    members = scored.withColumn("l", lead).select(
+        "bucket", "id", "n", "class", "side", "less", (-F.col("l.minus")).alias("lead"), F.col("l.n").alias("lead_n"), F.col("l.class").alias("lead_class")
     )
-    members = kept_table(members, "members")
+    members = kept_table(in_tasks(members, rows), "members")
     asked = members.where((F.col("class") != F.col("lead_class")) & alike(F.col("n"), F.col("lead_n"), similarity))
-    pairs = asked.select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
+    pairs = in_tasks(asked.select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct(), rows)
     measured = kept_table(compared(pairs, sets), "measured")
-    d = measured.select(F.col("a").alias("id"), F.col("b").alias("lead"), (1 - F.col("similarity")).alias("d"))
-    links = measured.where(F.col("similarity") >= similarity).select("a", "b")
-    return links, members.drop("class", "lead_class"), d
+    tied = F.col("similarity") >= similarity
+    d = measured.select(F.col("a").alias("id"), F.col("b").alias("lead"), (1 - F.col("similarity")).alias("d"), tied.alias("tied"))
+    return measured.where(tied).select("a", "b"), members, d
 
 
 def alike(n, m, similarity: float):
@@ -310,31 +346,35 @@ def alike(n, m, similarity: float):
 
 def unplaced(members: DataFrame, distances: DataFrame, sets: DataFrame, classes: DataFrame, similarity: float, narrow: bool) -> tuple[DataFrame, DataFrame | None]:
     """What leaders left open: (pairs (a, b) still to be compared; with narrow, (lead, id) of the buckets with a crowd of unplaced members, None without any)."""
+    rows = members.count()
     bound = 1 - F.least("n", "lead_n") / F.greatest("n", "lead_n")
     own = Window.partitionBy("bucket")  # the leader is a member of its bucket
-    classed = members.join(classes, "id").withColumn("lead_class", F.max(F.when(F.col("id") == F.col("lead"), F.col("class"))).over(own))
+    met = members.join(distances, ["id", "lead"], "left")
+    loose = (F.col("id") != F.col("lead")) & (F.col("class") != F.col("lead_class")) & ~F.coalesce("tied", F.lit(False))
+    met = met.withColumn("loose", F.max(loose).over(own)).where("loose").drop("class", "lead_class")  # the others hold one class
+    classed = met.join(sets.select("id", "map").join(classes, "id"), "id")
+    classed = classed.withColumn("lead_class", F.max(F.when(F.col("id") == F.col("lead"), F.col("class"))).over(own))
     out = F.col("class") != F.col("lead_class")
     mixed = classed.withColumn("out", F.count(F.when(out, 1)).over(own)).where(F.col("out") > 0)
-    open_ = mixed.where(F.col("id") != F.col("lead")).join(distances, ["id", "lead"], "left").select(
-        "bucket", "id", "lead", "n", "class", "lead_class", "out", F.coalesce("d", bound).alias("low"), F.coalesce("d", F.lit(1.0)).alias("high")
+    open_ = mixed.where(F.col("id") != F.col("lead")).select(
+        "bucket", "id", "lead", "n", "map", "class", "lead_class", "side", F.coalesce("d", bound).alias("low"), F.coalesce("d", F.lit(1.0)).alias("high"), F.least("out", "less").alias("crowd")
     )
-    open_ = kept_table(open_, "open")
-    few = F.col("out") <= CROWD if narrow else F.lit(True)
-    maps = sets.select("id", "map")
-    here = open_.where(few).join(maps, "id")
-    x = here.where(out).select("bucket", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "map", "class", "low", "high")])
+    open_ = kept_table(in_tasks(open_, rows), "open")
+    here = open_.where(F.col("crowd") <= CROWD) if narrow else open_
+    x = here.where(out).select("bucket", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "map", "class", "side", "low", "high")])
     far = 1 - similarity + 1e-9
     near = (
         x.join(here, "bucket")
         .where((F.col("class_x") != F.col("class")) & alike(F.col("n_x"), F.col("n"), similarity))
+        .where((F.col("side") == 0) | (F.col("side_x") != F.col("side")))
         .where(~out | (F.col("id_x") < F.col("id")))
         .where((F.col("low") - F.col("high_x") <= far) & (F.col("low_x") - F.col("high") <= far))
         .where(near_maps(F.col("n_x"), F.col("map_x"), F.col("n"), F.col("map"), similarity))
         .select(F.col("id_x").alias("a"), F.col("id").alias("b"))
         .distinct()
     )
-    crowds = open_.where(F.col("out") > CROWD).select("lead", "id").distinct()
-    return near, crowds if narrow and crowds.take(1) else None
+    crowds = open_.where(F.col("crowd") > CROWD).select("lead", "id").distinct()
+    return in_tasks(near, rows), crowds if narrow and crowds.take(1) else None
 
 
 def text_classes(
@@ -348,27 +388,28 @@ def text_classes(
     there is one, leads.
     """
     sketch = kept_table(sketches(docs, words, bands, rows, weighted).withColumn("row", F.monotonically_increasing_id()), "sketches")
-    texts = kept_table(sketch.groupBy("digest").agg(F.min("row").alias("id"), F.min("doc_id").alias("least")), "texts")
+    texts = sketch.groupBy("digest").agg(F.min("row").alias("id"), F.min("doc_id").alias("least"))
+    texts = kept_table(in_tasks(texts, sketch.count()), "texts")
     one = sketch.join(texts.select(F.col("id").alias("row")), "row", "left_semi").select(F.col("row").alias("doc_id"), "n", "bands")
-    banded = one.where(F.size("bands") > 0).select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "key"))
-    buckets = kept_table(_met(banded.select(F.xxhash64("band", "key").alias("bucket"), "id")), "buckets")
-    sizes = one.select(F.col("doc_id").alias("id"), "n")
+    banded = one.where(F.size("bands") > 0).select(F.col("doc_id").alias("id"), "n", F.posexplode("bands").alias("band", "key"))
+    buckets = kept_table(_met(banded.select(F.xxhash64("band", "key").alias("bucket"), "id", "n", F.col("id").alias("class"))), "buckets")
     wanted = texts.join(buckets.select("id").distinct(), "id").select("id", F.col("digest").alias("own"), "least")
     chosen = docs.select(F.col("doc_id").cast("long"), digest_of().alias("digest"), "text").join(
         wanted, (F.col("digest") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("least"))
     ).select(F.col("id").alias("doc_id"), "text").dropDuplicates(["doc_id"])
-    sets = kept_table(shingle_sets(chosen, words, weighted).join(sizes, "id"), "sets")
+    sets = kept_table(shingle_sets(in_tasks(chosen, buckets.count()), words, weighted), "sets")
     classes = sets.select("id", F.col("id").alias("class"))  # texts without a bucket keep their own
     for round_ in range(ROUNDS + 1):
-        found, rest, distances = placed(buckets, sets, classes, similarity)
+        found, rest, distances = placed(buckets, sets, similarity)
         classes = contracted(classes, found)
         near, crowds = unplaced(rest, distances, sets, classes, similarity, narrow=round_ < ROUNDS)
         late = kept_table(compared(near, sets).where(F.col("similarity") >= similarity).select("a", "b"), "late")
         classes = contracted(classes, late)
         if crowds is None:
             break
-        crowds = kept_table(crowds, "crowds")
-        sets = kept_table(sets.join(crowds.select("id").union(crowds.select("lead")).distinct(), "id", "left_semi"), "sets")  # all that later rounds compare
+        crowds = kept_table(in_tasks(crowds.join(classes, "id"), rest.count()), "crowds")
+        wanted = sets.join(crowds.select("id").union(crowds.select("lead")).distinct(), "id", "left_semi")
+        sets = kept_table(in_tasks(wanted, crowds.count()), "sets")  # all that later rounds compare
         buckets = kept_table(_met(narrower(crowds, sets, similarity)), "buckets")
     named = texts.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id"))
     lead = named.groupBy("class").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "id")).alias("lead"))

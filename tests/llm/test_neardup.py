@@ -162,6 +162,54 @@ def test_links_are_followed_once_and_rounds_carry_their_crowds(spark, monkeypatc
     assert carried and all(sets == members for sets, members in carried)
 
 
+def test_narrower_buckets_hold_pairs_to_compare(spark, monkeypatch):
+    """Rows of narrower buckets: a crowd whose texts differ from its leader in unlike numbers of elements makes few, as most keys bring together one side alone."""
+    import barloom.llm.neardup as m
+
+    made, real = [], m.placed
+
+    def placed(buckets, *args):
+        made.append(buckets.groupBy("bucket").pivot("side", [-1, 0, 1]).count().fillna(0).collect() if "side" in buckets.columns else None)
+        made.append(buckets.count())
+        return real(buckets, *args)
+
+    monkeypatch.setattr(m, "placed", placed)
+    monkeypatch.setattr(m, "CROWD", 4)
+    rng, docs = random.Random(14), []
+    base = [f"t{k}" for k in range(60)]
+    for k in range(240):
+        copy = list(base)
+        for at in rng.sample(range(60), 2 + k % 5):
+            copy[at] = f"e{k}_{at}"
+        docs.append((k, " ".join(copy)))
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert sorted(((r.doc_id, r.class_id) for r in got.collect()), key=str) == brute(docs)
+    rows, later = made[1::2], made[2::2]
+    assert len(rows) > 1 and sum(rows[1:]) < 240, rows
+    for buckets in later:
+        assert all(r["0"] > 1 or r["-1"] and r["1"] for r in buckets)
+
+
+def test_sided_keys_meet_across():
+    """Similar sets share a key in which both are of one class, or one is of the lower and one of the higher."""
+    import numpy as np
+
+    from barloom.llm.neardup import sided_keys
+
+    rng, met = random.Random(15), 0
+    for _ in range(400):
+        lead = set(rng.sample(range(1000), rng.randrange(3, 70)))
+        x = {e for e in lead if rng.random() > 0.2} | set(rng.sample(range(1000, 1100), rng.randrange(0, 14)))
+        y = {e for e in x if rng.random() > 0.06} | set(rng.sample(range(1100, 1200), rng.randrange(0, 4)))
+        like = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+        if x and y and like(x, y) and not (like(x, lead) and like(y, lead)):
+            common = np.array(rng.sample(sorted(lead | x), 3), np.uint64)
+            one, two = (dict(zip(*map(np.ndarray.tolist, sided_keys(np.array(sorted(s), np.uint64), np.array(sorted(lead), np.uint64), common, 7, 0.8)))) for s in (x, y))
+            assert any(one[k] + two[k] == 0 for k in one.keys() & two.keys())
+            met += 1
+    assert met > 60
+
+
 def test_unweighted(spark):
     docs = copies(random.Random(7), 40) + [(500, "a b c d e " * 30), (501, "a b c d e " * 10)]
     got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), weighted=False)
