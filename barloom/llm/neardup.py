@@ -52,7 +52,7 @@ POISSON = np.minimum(_CDF * 2.0**64, float(2**64 - 2048)).astype(np.uint64)
 
 
 def in_tasks(df: DataFrame, rows: int, each: int = TASK) -> DataFrame:
-    """df in no more tasks than rows ask for; never in more than it has."""
+    """df in no more tasks than rows ask for, those that it reads or makes, whichever are more; never in more than it has."""
     return df.coalesce(max(1, rows // each))
 
 
@@ -193,7 +193,7 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
 
     pairs = kept_table(pairs.select("a", "b"), "pairs")
-    both = in_tasks(pairs.join(left, "a").join(right, "b"), pairs.count(), PAIRS)
+    both = in_tasks(pairs.join(left, "a").join(right, "b"), max(pairs.count(), sets.count()), PAIRS)
     return both.select("a", "b", "left", "right").mapInArrow(trimmed(run), "a long, b long, similarity double")
 
 
@@ -300,15 +300,15 @@ def components(links: DataFrame) -> DataFrame:
 
 def contracted(classes: DataFrame, more: DataFrame) -> DataFrame:
     """Classes (id, class: its least id) after more links (a, b). Only these are followed, as links between classes: what earlier ones connect has one class already."""
-    links = more.count()
+    links, texts = more.count(), classes.count()
     if not links:
         return classes
     between = more.join(classes.select(F.col("id").alias("a"), F.col("class").alias("x")), "a").join(classes.select(F.col("id").alias("b"), F.col("class").alias("y")), "b")
     between = between.where(F.col("x") != F.col("y")).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-    between = kept_table(in_tasks(between, links), "between")
+    between = kept_table(in_tasks(between, max(links, texts)), "between")
     labels = components(between).select(F.col("id").alias("class"), F.col("class").alias("least_class"))
     after = classes.join(labels, "class", "left").select("id", F.coalesce("least_class", "class").alias("class"))
-    return kept_table(in_tasks(after, classes.count()), "classes")
+    return kept_table(in_tasks(after, texts), "classes")
 
 
 def _met(buckets: DataFrame) -> DataFrame:
@@ -409,7 +409,7 @@ def text_classes(
             break
         crowds = kept_table(in_tasks(crowds.join(classes, "id"), rest.count()), "crowds")
         wanted = sets.join(crowds.select("id").union(crowds.select("lead")).distinct(), "id", "left_semi")
-        sets = kept_table(in_tasks(wanted, crowds.count()), "sets")  # all that later rounds compare
+        sets = kept_table(in_tasks(wanted, sets.count(), PAIRS), "sets")  # all that later rounds compare
         buckets = kept_table(_met(narrower(crowds, sets, similarity)), "buckets")
     named = texts.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id"))
     lead = named.groupBy("class").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "id")).alias("lead"))
